@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kiln.session import checkpoint_root
+
 
 def _moments(df: DataFrame, keys, features, label) -> DataFrame:
     p = len(features)
@@ -116,7 +118,11 @@ def group_fit(df: DataFrame, keys, features, label: str) -> DataFrame:
     """D3: one linear model per group: keys, intercept, coef, model (JSON),
     in-sample mse, n_used. Two passes: moments, then residuals."""
     keys = list(keys)
-    models = ols(df, features, label, keys)
+    checkpoint_root(df.sparkSession)
+    # The model table (one row per group) is used twice below; writing it
+    # once to the shared checkpoint folder saves a second moment pass and
+    # cuts the lineage a lost executor would otherwise recompute.
+    models = ols(df, features, label, keys).checkpoint(eager=True)
     scored = group_score(df.na.drop(subset=list(features) + [label]), models, keys, features)
     err = (F.col(label).cast("double") - F.col("prediction"))
     mse = scored.groupBy(*keys).agg(F.avg(err * err).alias("mse"))

@@ -106,29 +106,49 @@ def _range_buckets(df: DataFrame, key: str, parts: int) -> Column:
 
 
 def prefix_sum(df: DataFrame, order_by, weight: Column | None = None, out: str = "_cum",
-               parts: int | None = None) -> DataFrame:
+               parts: int | None = None, by=None) -> DataFrame:
     """Inclusive running total of ``weight`` (default 1, i.e. a dense row
-    number) in ``order_by`` order, computed in parallel.
+    number) in ``order_by`` order, optionally restarting per ``by`` group,
+    computed in parallel.
 
     Rows are cut into key ranges; each range is numbered by a window of
     bounded size, and the totals of all earlier ranges (one row per range,
     safe to broadcast) are added. The first order column must be numeric;
-    the full order must be unique.
+    the full order must be unique within a group. ``by`` is meant for a
+    few groups (their cut points come to the driver: ``parts`` numbers per
+    group).
     """
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    by = [by] if isinstance(by, str) else list(by or [])
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    b = df.withColumn("_b", _range_buckets(df, keys[0], n))
-    w = (Window.partitionBy("_b").orderBy(*keys)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if by and n > 1:
+        probs = [i / n for i in range(1, n)]
+        cut_rows = df.groupBy(*by).agg(
+            F.percentile_approx(F.col(keys[0]).cast("double"), probs, n * 20).alias("_cuts")).collect()
+        bucket = None
+        for r in cut_rows:
+            cond = reduce(lambda a, b: a & b, [F.col(k) == F.lit(r[k]) for k in by])
+            e = bucket_by_cuts(F.col(keys[0]), r["_cuts"])
+            bucket = F.when(cond, e) if bucket is None else bucket.when(cond, e)
+        bucket = bucket if bucket is not None else F.lit(0)
+    elif by:
+        bucket = F.lit(0)
+    else:
+        bucket = _range_buckets(df, keys[0], n)
+    b = df.withColumn("_b", bucket)
+    part = by + ["_b"]
     if weight is None:
-        local = b.withColumn("_loc", F.row_number().over(Window.partitionBy("_b").orderBy(*keys)).cast("long"))
-        totals = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_t"))
+        local = b.withColumn("_loc", F.row_number().over(Window.partitionBy(*part).orderBy(*keys)).cast("long"))
+        totals = b.groupBy(*part).agg(F.count(F.lit(1)).alias("_t"))
     else:
+        w = (Window.partitionBy(*part).orderBy(*keys)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         local = b.withColumn("_loc", F.sum(weight).over(w))
-        totals = b.groupBy("_b").agg(F.sum(weight).alias("_t"))
-    offsets = totals.select("_b", (F.sum("_t").over(Window.orderBy("_b")) - F.col("_t")).alias("_off"))
-    # one row per range: bounded by ``n``, so the broadcast is safe
-    return (local.join(F.broadcast(offsets), "_b")
+        totals = b.groupBy(*part).agg(F.sum(weight).alias("_t"))
+    offsets = totals.select(*part, (F.sum("_t").over(Window.partitionBy(*by).orderBy("_b"))
+                                    - F.col("_t")).alias("_off"))
+    # one row per range and group: bounded by ``n`` times the few groups
+    return (local.join(F.broadcast(offsets), part)
             .withColumn(out, F.col("_off") + F.col("_loc")).drop("_b", "_loc", "_off"))
 
 
@@ -287,47 +307,66 @@ def agg_max(df: DataFrame, c: str, by=(), out: str | None = None) -> DataFrame:
     return df.groupBy(*by).agg(F.max(c).alias(out or f"max_{c}"))
 
 
-def exact_quantile(df: DataFrame, c: str, q: float = 0.5, partitions: int | None = None) -> DataFrame:
-    """Exact, interpolated quantile of one column, without holding the
-    column in one buffer: count rows per distinct value (a partial
-    aggregate, so a hot value costs nothing), take a parallel running total
-    over the distinct values, and keep the value(s) whose rank range holds
-    the target rank. One small action counts the rows."""
-    x = df.select(F.col(f"`{c}`").cast(DoubleType()).alias("_v")).filter(F.col("_v").isNotNull())
-    counts = x.groupBy("_v").agg(F.count(F.lit(1)).alias("_k"))
-    n = counts.agg(F.sum("_k")).first()[0] or 0
+def exact_quantiles(df: DataFrame, cols, q: float = 0.5, partitions: int | None = None) -> DataFrame:
+    """Exact, interpolated quantile of each column in ``cols``:
+    (column, value). The columns are unpivoted, rows are counted per
+    distinct value (a partial aggregate, so a hot value costs nothing),
+    a parallel running total over the distinct values gives each value its
+    rank range, and the value(s) holding the target rank are kept. No
+    column is ever held in one buffer. One small action counts the rows
+    of each column."""
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("_c"), F.col(f"`{c}`").cast(DoubleType()).alias("_v")) for c in cols])))
+    counts = long.filter(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    ns = {r["_c"]: r["n"] for r in counts.groupBy("_c").agg(F.sum("_k").alias("n")).collect()}
     spark = df.sparkSession
-    if n == 0:
-        return spark.range(1).select(F.lit(None).cast(DoubleType()).alias(c))
-    p = (n - 1) * q + 1
-    lo, hi = int(p // 1), int(-(-p // 1))
-    cum = prefix_sum(counts, "_v", F.col("_k"), "_cum", partitions)
-    # rank range of a value: (cum - k, cum]
-    hits = cum.filter(((F.col("_cum") - F.col("_k") < lo) & (F.col("_cum") >= lo))
-                      | ((F.col("_cum") - F.col("_k") < hi) & (F.col("_cum") >= hi)))
-    in_range = lambda r: (F.col("_cum") - F.col("_k") < r) & (F.col("_cum") >= r)
-    v_lo = F.max(F.when(in_range(lo), F.col("_v")))
-    v_hi = F.max(F.when(in_range(hi), F.col("_v")))
-    return hits.agg((v_lo + (v_hi - v_lo) * F.lit(p - lo)).alias(c))
+    if not ns:
+        return spark.createDataFrame([], "column string, value double")
+    pos = {c: (n - 1) * q + 1 for c, n in ns.items()}
+    lo = {c: int(p // 1) for c, p in pos.items()}
+    hi = {c: int(-(-p // 1)) for c, p in pos.items()}
+
+    def per_col(m: dict) -> Column:
+        e = None
+        for c, v in m.items():
+            e = F.when(F.col("_c") == c, F.lit(v)) if e is None else e.when(F.col("_c") == c, F.lit(v))
+        return e
+
+    lo_e, hi_e = per_col(lo), per_col(hi)
+    frac_e = per_col({c: float(pos[c] - lo[c]) for c in ns})
+    cum = prefix_sum(counts.filter(F.col("_c").isin(list(ns))), "_v", F.col("_k"), "_cum", partitions, by="_c")
+
+    def holds(r: Column) -> Column:  # rank range of a value: (cum - k, cum]
+        return (F.col("_cum") - F.col("_k") < r) & (F.col("_cum") >= r)
+
+    hits = cum.filter(holds(lo_e) | holds(hi_e))
+    v_lo = F.max(F.when(holds(lo_e), F.col("_v")))
+    v_hi = F.max(F.when(holds(hi_e), F.col("_v")))
+    return hits.groupBy("_c").agg((v_lo + (v_hi - v_lo) * F.first(frac_e)).alias("value")) \
+        .select(F.col("_c").alias("column"), "value")
+
+
+def exact_quantile(df: DataFrame, c: str, q: float = 0.5, partitions: int | None = None) -> DataFrame:
+    """One column's exact quantile as a one-row frame named ``c``."""
+    return exact_quantiles(df, [c], q, partitions).select(F.col("value").alias(c))
 
 
 def median_var(df: DataFrame, cols, exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """(column, median, var) per column. ``exact=True`` ranks each
-    column distributedly; ``exact=False`` uses ``percentile_approx``."""
+    """(column, median, var) per column. ``exact=True`` ranks all
+    columns in one distributed pass; ``exact=False`` uses
+    ``percentile_approx``."""
     var = df.agg(*[F.var_samp(f"`{c}`").alias(f"v{i}") for i, c in enumerate(cols)])
     var_long = var.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"v{i}").alias("var")) for i, c in enumerate(cols)])))
     if exact:
-        med_long = union_all(*[exact_quantile(df, c).select(F.lit(c).alias("column"),
-                                                            F.col(f"`{c}`").alias("median"))
-                               for c in cols])
+        med_long = exact_quantiles(df, cols, 0.5).withColumnRenamed("value", "median")
     else:
         med = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), 0.5, accuracy)
                        .cast("double").alias(f"q{i}") for i, c in enumerate(cols)])
         med_long = med.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("median"))
             for i, c in enumerate(cols)])))
-    return med_long.join(var_long, "column").select("column", "median", "var")
+    return var_long.join(med_long, "column", "left").select("column", "median", "var")
 
 
 def corr_pairs(df: DataFrame, cols) -> DataFrame:

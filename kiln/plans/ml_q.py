@@ -26,8 +26,8 @@ PART_TRAIN = "(SELECT * FROM part WHERE (p_partkey * 7919 + 42) % 10007 < 8006)"
 PART_TEST = "(SELECT * FROM part WHERE (p_partkey * 7919 + 42) % 10007 >= 8006)"
 PART_FIT = (f"(SELECT regr_intercept(p_retailprice, p_partkey) AS a, "
             f"regr_slope(p_retailprice, p_partkey) AS b FROM {PART_TRAIN})")
-PART_PRED_SQL = (f"SELECT t.p_partkey, round(m.a + m.b * t.p_partkey, 4) AS prediction "
-                 f"FROM {PART_TEST} t, {PART_FIT} m")
+PART_PRED_SQL = (f"SELECT t.p_partkey, (t.p_partkey * 7919 + 42) % 10007 < 8006 AS is_train, "
+                 f"round(m.a + m.b * t.p_partkey, 4) AS prediction FROM part t, {PART_FIT} m")
 LI_FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -50,6 +50,16 @@ def part_linear(spark, sf, scale: bool = False):
     return L.fit_pipeline(train, part_linear_stages(scale)), train, test
 
 
+def part_flagged(spark, sf):
+    """All part rows with the train/test flag of the 80/20 key split."""
+    return R.with_split(table(spark, sf, "part"), "p_partkey", 0.8, 42)
+
+
+def part_predictions(model, spark, sf):
+    return L.score(model, part_flagged(spark, sf)).select(
+        "p_partkey", "is_train", rnd("prediction", 4).alias("prediction"))
+
+
 def lineitem_labeled(spark, sf):
     return table(spark, sf, "lineitem").withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
 
@@ -59,25 +69,25 @@ def lineitem_labeled(spark, sf):
 
 @query("linreg_fit", PART_PRED_SQL)
 def linreg_fit(spark, sf):
-    model, _, test = part_linear(spark, sf)
-    return L.score(model, test).select("p_partkey", rnd("prediction", 4).alias("prediction"))
+    model, _, _ = part_linear(spark, sf)
+    return part_predictions(model, spark, sf)
 
 
 @query("staged_predict", PART_PRED_SQL)
 def staged_predict(spark, sf):
     """Assembler -> scaler -> linear model, fitted once."""
-    model, _, test = part_linear(spark, sf, scale=True)
-    return L.score(model, test).select("p_partkey", rnd("prediction", 4).alias("prediction"))
+    model, _, _ = part_linear(spark, sf, scale=True)
+    return part_predictions(model, spark, sf)
 
 
 @query("model_reload", PART_PRED_SQL)
 def model_reload(spark, sf):
     """Save a fitted pipeline, load it back, score with the copy."""
-    model, _, test = part_linear(spark, sf, scale=True)
+    model, _, _ = part_linear(spark, sf, scale=True)
     path = scratch_path(spark, "model")
     L.save_model(model, path)
     again = L.load_model(path)
-    return L.score(again, test).select("p_partkey", rnd("prediction", 4).alias("prediction"))
+    return part_predictions(again, spark, sf)
 
 
 @query("batch_score", f"""
@@ -107,12 +117,11 @@ def sink_predictions(spark, sf):
 
 @query("linreg_elastic")
 def linreg_elastic(spark, sf):
-    li = lineitem_labeled(spark, sf)
-    train, test = R.split(li, "l_orderkey", 0.8, 42)
-    model = L.fit_pipeline(train, [M.assembler(LI_FEATS, "raw"), M.scaler("raw", "features", True, True),
-                                   L.estimator("linear", "features", "net", regParam=0.1,
-                                               elasticNetParam=0.5)])
-    return L.score(model, test).select("l_orderkey", "l_linenumber", "net", "prediction")
+    li = R.with_split(lineitem_labeled(spark, sf), "l_orderkey", 0.8, 42)
+    model = L.fit_pipeline(li.filter("is_train"), [
+        M.assembler(LI_FEATS, "raw"), M.scaler("raw", "features", True, True),
+        L.estimator("linear", "features", "net", regParam=0.1, elasticNetParam=0.5)])
+    return L.score(model, li).select("l_orderkey", "l_linenumber", "is_train", "net", "prediction")
 
 
 def _stump_sql(x: str, y: str, src: str) -> str:
@@ -179,39 +188,40 @@ def tree_rules(spark, sf):
 
 
 def _li_tree_model(spark, sf, kind: str, **params):
-    li = lineitem_labeled(spark, sf)
-    train, test = R.split(li, "l_orderkey", 0.8, 42)
-    model = L.fit_pipeline(train, [M.assembler(LI_FEATS, "features"),
-                                   L.estimator(kind, "features", "net", **params)])
-    return model, test
+    """Fitted on the training rows; returns the model and all rows, flagged."""
+    li = R.with_split(lineitem_labeled(spark, sf), "l_orderkey", 0.8, 42)
+    model = L.fit_pipeline(li.filter("is_train"), [M.assembler(LI_FEATS, "features"),
+                                                   L.estimator(kind, "features", "net", **params)])
+    return model, li
 
 
 @query("forest_reg")
 def forest_reg(spark, sf):
-    model, test = _li_tree_model(spark, sf, "forest", numTrees=20, maxDepth=5, minInstancesPerNode=1, seed=42)
-    return L.score(model, test).select("l_orderkey", "l_linenumber", "net", "prediction")
+    model, rows = _li_tree_model(spark, sf, "forest", numTrees=20, maxDepth=5, minInstancesPerNode=1, seed=42)
+    return L.score(model, rows).select("l_orderkey", "l_linenumber", "is_train", "net", "prediction")
 
 
 @query("gbt_reg")
 def gbt_reg(spark, sf):
-    model, test = _li_tree_model(spark, sf, "gbt", maxIter=10, maxDepth=3, stepSize=0.1, seed=42)
-    return L.score(model, test).select("l_orderkey", "l_linenumber", "net", "prediction")
+    model, rows = _li_tree_model(spark, sf, "gbt", maxIter=10, maxDepth=3, stepSize=0.1, seed=42)
+    return L.score(model, rows).select("l_orderkey", "l_linenumber", "is_train", "net", "prediction")
 
 
 @query("gbt_large")
 def gbt_large(spark, sf):
     """L6 re-aimed as a cluster fit: 20 rounds of depth 5 by default."""
-    model, test = _li_tree_model(spark, sf, "gbt", maxIter=20, maxDepth=5, stepSize=0.1, seed=42)
-    return E.eval_regression(L.score(model, test), "net")
+    model, rows = _li_tree_model(spark, sf, "gbt", maxIter=20, maxDepth=5, stepSize=0.1, seed=42)
+    return E.eval_by_group(L.score(model, rows), ["is_train"], "net")
 
 
 @query("forest_clf")
 def forest_clf(spark, sf):
     """Multiclass forest, 100 trees, on the embedding vectors."""
-    emb = table(spark, sf, "embeddings").withColumn("features", array_to_vector("embedding"))
-    train, test = R.split(emb, "vec_id", 0.8, 42)
-    model = L.estimator("forest_clf", "features", "label", numTrees=100, maxDepth=5, seed=42).fit(train)
-    return L.score(model, test).select("vec_id", "label", "prediction")
+    emb = R.with_split(table(spark, sf, "embeddings").withColumn("features", array_to_vector("embedding")),
+                       "vec_id", 0.8, 42)
+    model = L.estimator("forest_clf", "features", "label", numTrees=100, maxDepth=5, seed=42).fit(
+        emb.filter("is_train"))
+    return L.score(model, emb).select("vec_id", "is_train", "label", "prediction")
 
 
 @query("feature_importance")
@@ -340,27 +350,29 @@ def vector_array(spark, sf):
 
 
 def _scaled(spark, sf, mean: bool):
-    li = table(spark, sf, "lineitem")
-    train, test = R.split(li, "l_orderkey", 0.8, 42)
+    """Scaler fitted on the training rows, applied to every row."""
+    li = R.with_split(table(spark, sf, "lineitem"), "l_orderkey", 0.8, 42)
     stages = [M.assembler(["l_quantity", "l_extendedprice"], "raw"), M.scaler("raw", "z", mean=mean, std=True)]
-    model = L.fit_pipeline(train, stages)
-    z = L.score(model, test)
-    return z.select("l_orderkey", "l_linenumber", *M.vector_columns(z, "z", 2, digits=6))
+    model = L.fit_pipeline(li.filter("is_train"), stages)
+    z = L.score(model, li)
+    return z.select("l_orderkey", "l_linenumber", "is_train", *M.vector_columns(z, "z", 2, digits=6))
 
 
 @query("scale_mean_std", f"""
 WITH s AS (SELECT avg(l_quantity) AS m0, stddev_samp(l_quantity) AS s0, avg(l_extendedprice) AS m1,
                   stddev_samp(l_extendedprice) AS s1 FROM {LI_TRAIN})
-SELECT {LI_KEY}, round((l_quantity - m0) / s0, 6) AS z_0, round((l_extendedprice - m1) / s1, 6) AS z_1
-FROM {LI_TEST} t, s""")
+SELECT {LI_KEY}, (l_orderkey * 7919 + 42) % 10007 < 8006 AS is_train,
+       round((l_quantity - m0) / s0, 6) AS z_0, round((l_extendedprice - m1) / s1, 6) AS z_1
+FROM lineitem t, s""")
 def scale_mean_std(spark, sf):
     return _scaled(spark, sf, True)
 
 
 @query("scale_std", f"""
 WITH s AS (SELECT stddev_samp(l_quantity) AS s0, stddev_samp(l_extendedprice) AS s1 FROM {LI_TRAIN})
-SELECT {LI_KEY}, round(l_quantity / s0, 6) AS z_0, round(l_extendedprice / s1, 6) AS z_1
-FROM {LI_TEST} t, s""")
+SELECT {LI_KEY}, (l_orderkey * 7919 + 42) % 10007 < 8006 AS is_train,
+       round(l_quantity / s0, 6) AS z_0, round(l_extendedprice / s1, 6) AS z_1
+FROM lineitem t, s""")
 def scale_std(spark, sf):
     return _scaled(spark, sf, False)
 
@@ -420,28 +432,29 @@ s AS (SELECT avg(y) AS my, avg(x0) AS m0, avg(x1) AS m1, covar_pop(x0, x0) AS c0
              covar_pop(x1, x1) AS c11, covar_pop(x0, y) AS cy0, covar_pop(x1, y) AS cy1 FROM tr),
 b AS (SELECT my, m0, m1, (c11 * cy0 - c01 * cy1) / (c00 * c11 - c01 * c01) AS b0,
              (c00 * cy1 - c01 * cy0) / (c00 * c11 - c01 * c01) AS b1 FROM s)
-SELECT t.p_partkey, round(b.my - b.b0 * b.m0 - b.b1 * b.m1 + b.b0 * t.p_partkey + b.b1 * t.p_size, 4) AS prediction
-FROM {PART_TEST} t, b"""
+SELECT t.p_partkey, (t.p_partkey * 7919 + 42) % 10007 < 8006 AS is_train,
+       round(b.my - b.b0 * b.m0 - b.b1 * b.m1 + b.b0 * t.p_partkey + b.b1 * t.p_size, 4) AS prediction
+FROM part t, b"""
 
 
 def part_ols2(spark, sf):
-    train, test = part_split(spark, sf)
+    train, _ = part_split(spark, sf)
     model = LIN.ols(train, ["p_partkey", "p_size"], "p_retailprice").first()  # p + 1 numbers
-    return model, test
+    return model, part_flagged(spark, sf)
 
 
 @query("udf_score_cols", OLS2_SQL)
 def udf_score_cols(spark, sf):
     model, test = part_ols2(spark, sf)
     s = U.score_cols(test, model, ["p_partkey", "p_size"])
-    return s.select("p_partkey", rnd("prediction", 4).alias("prediction"))
+    return s.select("p_partkey", "is_train", rnd("prediction", 4).alias("prediction"))
 
 
 @query("udf_score_struct", OLS2_SQL)
 def udf_score_struct(spark, sf):
     model, test = part_ols2(spark, sf)
     s = U.score_struct(test, model, ["p_partkey", "p_size"])
-    return s.select("p_partkey", rnd("prediction", 4).alias("prediction"))
+    return s.select("p_partkey", "is_train", rnd("prediction", 4).alias("prediction"))
 
 
 GROUP_MOMENTS_SQL = """

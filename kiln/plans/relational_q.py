@@ -382,10 +382,10 @@ def split_train_test(spark, sf):
 
 
 @query("split_ratio", """
-SELECT o_orderkey, o_totalprice FROM orders WHERE (o_orderkey * 7919 + 7) % 10007 >= 9507""")
+SELECT o_orderkey, o_totalprice, (o_orderkey * 7919 + 7) % 10007 < 9507 AS is_train FROM orders""")
 def split_ratio(spark, sf):
-    _, test = R.split(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 0.95, 7)
-    return test
+    """R2: a 95/5 split; every row, flagged with its part."""
+    return R.with_split(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 0.95, 7)
 
 
 @query("kfold_assign", """

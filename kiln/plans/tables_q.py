@@ -285,8 +285,8 @@ def schema_check(spark, sf):
     train, test = R.split(part, "p_partkey", 0.8, 42)
     model = L.fit_pipeline(train, part_linear_stages())
     sig = K.signature(train, ["p_partkey", "p_retailprice"])
-    K.check_signature(test, sig)  # raises on a missing or retyped column
-    return L.score(model, test).select("p_partkey", "prediction")
+    K.check_signature(part, sig)  # raises on a missing or retyped column
+    return L.score(model, part).select("p_partkey", "prediction")
 
 
 @query("run_inputs", """

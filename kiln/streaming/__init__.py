@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming operators (no stream sources or sinks,
+watermarks, windows over event time, or stateful operators), so nothing is
+built here. The batch scorers (``kiln.ml.models.score`` and the pandas UDFs in
+``kiln.functions.udfs``) are plain column transformations and apply unchanged
+to a streaming DataFrame.
+"""

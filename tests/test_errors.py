@@ -49,3 +49,12 @@ def test_zorder_refused_on_clustered(spark, sf):
     Y.cluster_by(spark, root, ["o_custkey"])
     with pytest.raises(Y.LayoutError):
         Y.zorder(spark, root, ["o_totalprice"])
+
+
+def test_scan_by_name_and_schema(spark, sf):
+    from kiln.sources.tables import scan_table, sink, use_schema
+    use_schema(spark, "kiln_test_db")
+    n = spark.read.parquet(f"{sf}/nation.parquet")
+    sink(n, "nations_named", "overwrite")
+    assert sorted(scan_table(spark, "kiln_test_db.nations_named").collect()) == sorted(n.collect())
+    spark.catalog.setCurrentDatabase("default")

@@ -40,8 +40,12 @@ def test_row_id_window_is_partitioned(spark, sf):
 
 
 def test_group_fit_uses_aggregates_not_python(spark, sf):
+    from kiln.ml import linear as LIN
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    p = plan(LIN.ols(li, ["l_quantity", "l_discount"], "l_extendedprice", ["l_suppkey"]))
+    assert "FlatMapGroupsInPandas" not in p and "partial_covar_pop" in p
     p = plan(E.queries()["group_fit"](spark, sf))
-    assert "FlatMapGroupsInPandas" not in p and "covar_pop" in p
+    assert "FlatMapGroupsInPandas" not in p and "ArrowEvalPython" not in p
 
 
 def test_group_count_partial_aggregation(spark, sf):
