@@ -253,7 +253,7 @@ def eval_rmse(spark, sf):
 
 
 @query("eval_r2", f"""
-SELECT round(1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)), 6) AS r2 FROM {PART_SCORED_SQL}""")
+SELECT round(1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)), 6) + 0.0 AS r2 FROM {PART_SCORED_SQL}""")
 def eval_r2(spark, sf):
     return E.eval_regression(part_scored(spark, sf), "p_retailprice").select(rnd("r2").alias("r2"))
 
@@ -305,7 +305,7 @@ WITH base AS (SELECT avg(p_retailprice) AS mu FROM {PART_TRAIN}),
 u AS (SELECT 'linear' AS model, y, yhat FROM {PART_SCORED_SQL}
       UNION ALL SELECT 'mean', t.p_retailprice, b.mu FROM {PART_TEST} t, base b)
 SELECT model, round(sqrt(avg((y - yhat) * (y - yhat))), 6) AS rmse,
-       round(1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)), 6) AS r2,
+       round(1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)), 6) + 0.0 AS r2,
        round(avg((y - yhat) * (y - yhat)), 4) AS mse, round(avg(abs(y - yhat)), 6) AS mae, count(*) AS n
 FROM u GROUP BY model""")
 def compare_models(spark, sf):
@@ -362,7 +362,7 @@ def _scaled(spark, sf, mean: bool):
 WITH s AS (SELECT avg(l_quantity) AS m0, stddev_samp(l_quantity) AS s0, avg(l_extendedprice) AS m1,
                   stddev_samp(l_extendedprice) AS s1 FROM {LI_TRAIN})
 SELECT {LI_KEY}, (l_orderkey * 7919 + 42) % 10007 < 8006 AS is_train,
-       round((l_quantity - m0) / s0, 6) AS z_0, round((l_extendedprice - m1) / s1, 6) AS z_1
+       round((l_quantity - m0) / s0, 6) + 0.0 AS z_0, round((l_extendedprice - m1) / s1, 6) + 0.0 AS z_1
 FROM lineitem t, s""")
 def scale_mean_std(spark, sf):
     return _scaled(spark, sf, True)
@@ -469,7 +469,7 @@ m AS (SELECT l_suppkey, n_used, b0, b1, my - b0 * m0 - b1 * m1 AS a FROM b)"""
 
 
 @query("group_fit", GROUP_MOMENTS_SQL + """
-SELECT m.l_suppkey, round(m.a, 2) AS intercept, round(m.b0, 4) AS coef_0, round(m.b1, 2) AS coef_1,
+SELECT m.l_suppkey, round(m.a, 2) + 0.0 AS intercept, round(m.b0, 4) + 0.0 AS coef_0, round(m.b1, 2) + 0.0 AS coef_1,
        round(avg((l.l_extendedprice - (m.a + m.b0 * l.l_quantity + m.b1 * l.l_discount)) ^ 2), 0) AS mse,
        m.n_used
 FROM m JOIN lineitem l USING (l_suppkey)

@@ -180,14 +180,16 @@ def join_inner(spark, sf):
 
 
 @query("join_left", """
-SELECT c.c_custkey, c.c_name, s.n_orders, s.total_price
+SELECT c.c_custkey, c.c_name, COALESCE(s.n_orders, 0) AS n_orders, s.total_price
 FROM customer c LEFT JOIN (
   SELECT o_custkey AS c_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
   FROM orders GROUP BY o_custkey) s ON c.c_custkey = s.c_custkey""")
 def join_left(spark, sf):
     s = (table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
          .agg(F.count(F.lit(1)).alias("n_orders"), rnd(F.sum("o_totalprice"), 2).alias("total_price")))
-    return R.join_left(table(spark, sf, "customer").select("c_custkey", "c_name"), s, ["c_custkey"])
+    j = R.join_left(table(spark, sf, "customer").select("c_custkey", "c_name"), s, ["c_custkey"])
+    # a customer without orders has 0 orders and no total (null stays null)
+    return j.withColumn("n_orders", F.coalesce("n_orders", F.lit(0).cast("long")))
 
 
 @query("join_asof", """
@@ -279,7 +281,7 @@ _PAIRS = [(a, b) for i, a in enumerate(LI4) for b in LI4[i + 1:]]
 
 
 @query("corr_pairs", " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem" for a, b in _PAIRS))
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) + 0.0 AS r FROM lineitem" for a, b in _PAIRS))
 def corr_pairs(spark, sf):
     c = R.corr_pairs(table(spark, sf, "lineitem"), LI4)
     return c.select("a", "b", rnd("r").alias("r"))

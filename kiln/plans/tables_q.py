@@ -193,7 +193,7 @@ def ft_convert(spark, sf):
 
 
 @query("ft_training_set", """
-SELECT c.c_acctbal, c.c_nationkey, o.n_orders
+SELECT c.c_acctbal, c.c_nationkey, COALESCE(o.n_orders, 0) AS n_orders
 FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) o
 ON c.c_custkey = o.o_custkey""")
 def ft_training_set(spark, sf):
@@ -201,7 +201,8 @@ def ft_training_set(spark, sf):
     feats = FT.read(spark, root).select("c_custkey", "c_acctbal", "c_nationkey")
     labels = (table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
               .agg(F.count(F.lit(1)).alias("n_orders")))
-    return FT.training_set(feats, labels, ["c_custkey"])
+    ts = FT.training_set(feats, labels, ["c_custkey"])
+    return ts.withColumn("n_orders", F.coalesce("n_orders", F.lit(0).cast("long")))
 
 
 # ---------------------------------------------------------------- K
