@@ -40,7 +40,7 @@ def compact(spark: SparkSession, root: str, target_bytes: int = DEFAULT_TARGET_B
     n = _n_files(cur.n_bytes, target_bytes)
     keys = meta.get("cluster_by") or []
     if keys:
-        out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        out = V.range_layout(df, keys, n)
     else:
         out = df.coalesce(n)
     return V.write_version(out, root, "OPTIMIZE", ts, prepared=True)
@@ -103,7 +103,7 @@ def zorder(spark: SparkSession, root: str, cols, bits: int = 8, target_bytes: in
     cuts = zorder_cuts(df, cols, bits)
     z = z_value(cols, cuts, bits)
     n = _n_files(cur.n_bytes, target_bytes)
-    out = df.withColumn("_z", z).repartitionByRange(n, "_z").sortWithinPartitions("_z").drop("_z")
+    out = V.range_layout(df.withColumn("_z", z), ["_z"], n).drop("_z")
     return V.write_version(out, root, "ZORDER", ts, prepared=True)
 
 

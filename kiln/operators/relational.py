@@ -396,14 +396,53 @@ def pivot_agg(df: DataFrame, keys, pivot: str, values, agg: Column, prefix: str
 # ---------------------------------------------------------------- W: windows
 
 
-def rolling_mean(df: DataFrame, keys, order, c: str, n: int, out: str | None = None) -> DataFrame:
-    """Mean of the last ``n`` rows per key (null until ``n`` rows exist,
-    as pandas ``rolling(n).mean()``). Meant for series already reduced by
-    a group-by (one row per key and period)."""
+def key_row_index(df: DataFrame, keys, order, bucket: Column, out: str = "_idx") -> DataFrame:
+    """1-based position of each row within its key in ``order`` order,
+    computed without one task per key: rows are numbered inside (key,
+    bucket) groups, where ``bucket`` grows with the order, and the row
+    counts of earlier buckets (a table of one row per key and bucket) are
+    added."""
+    keys, order = list(keys), [order] if isinstance(order, (str, Column)) else list(order)
+    b = df.withColumn("_b", bucket)
+    part = keys + ["_b"]
+    local = b.withColumn("_loc", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+    totals = b.groupBy(*part).agg(F.count(F.lit(1)).alias("_t"))
+    offsets = totals.select(*part, (F.sum("_t").over(Window.partitionBy(*keys).orderBy("_b"))
+                                    - F.col("_t")).alias("_off"))
+    return (local.join(offsets, part).withColumn(out, F.col("_off") + F.col("_loc"))
+            .drop("_b", "_loc", "_off"))
+
+
+def rolling_mean(df: DataFrame, keys, order, c: str, n: int, out: str | None = None,
+                 bucket: str | Column | None = None) -> DataFrame:
+    """Mean of the last ``n`` rows per key in ``order`` (null until ``n``
+    non-null values are in the window, as pandas ``rolling(n).mean()``).
+
+    Without ``bucket``: one sliding window per key, right for series already
+    reduced by a group-by (one row per key and period). With ``bucket`` (a
+    ``date_trunc`` unit for a time order column, or a Column that grows with
+    the order), a key holding a large share of all rows is spread out: rows
+    get a per-key index (``key_row_index``), each value is sent to the ``n``
+    windows that contain it, and windows are summed by (key, end index),
+    which is balanced whatever the key skew. The window end keeps its row.
+    """
+    keys = list(keys)
     order = [order] if isinstance(order, str) else list(order)
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(n - 1), 0)
-    return df.withColumn(out or f"{c}_mean{n}", F.when(
-        F.count(F.col(c)).over(w) == n, F.avg(F.col(c)).over(w)))
+    out = out or f"{c}_mean{n}"
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(n - 1), 0)
+        return df.withColumn(out, F.when(F.count(F.col(c)).over(w) == n, F.avg(F.col(c)).over(w)))
+    bexpr = F.date_trunc(bucket, F.col(order[0])) if isinstance(bucket, str) else bucket
+    indexed = key_row_index(df, keys, order, bexpr)
+    row = F.struct(*[F.col(f"`{x}`") for x in df.columns])
+    spread = indexed.select(*keys, F.col(c).alias("_v"), row.alias("_row"),
+                            F.posexplode(F.sequence(F.col("_idx"), F.col("_idx") + n - 1)).alias("_j", "_end"))
+    # only the copy that ends its own window carries the row through the shuffle
+    spread = spread.withColumn("_row", F.when(F.col("_j") == 0, F.col("_row")))
+    agg = spread.groupBy(*keys, "_end").agg(
+        F.count("_v").alias("_k"), F.sum("_v").alias("_s"), F.max("_row").alias("_self"))
+    return agg.filter(F.col("_self").isNotNull()).select(
+        "_self.*", F.when(F.col("_k") == n, F.col("_s") / F.col("_k")).alias(out))
 
 
 # ---------------------------------------------------------------- T: order

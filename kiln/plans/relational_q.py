@@ -337,6 +337,18 @@ def rolling_mean(spark, sf):
     return r.select("event_type", "day", rnd("total").alias("total"), rnd("total_mean3").alias("total_mean3"))
 
 
+@query("rolling_mean_rows", """
+SELECT event_id, user_id, ts, value,
+       round(CASE WHEN count(value) OVER w = 5 THEN avg(value) OVER w END, 6) AS value_mean5
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""")
+def rolling_mean_rows(spark, sf):
+    """W1 on raw rows: per user, the mean of the last 5 event values,
+    spread by day buckets so a hot user is not one task."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    r = R.rolling_mean(ev, ["user_id"], ["ts", "event_id"], "value", 5, out="value_mean5", bucket="day")
+    return r.select("event_id", "user_id", "ts", "value", rnd("value_mean5").alias("value_mean5"))
+
+
 # ---------------------------------------------------------------- T
 
 

@@ -89,8 +89,19 @@ def _cluster(df: DataFrame, meta: dict) -> DataFrame:
     if not keys:
         return df
     # Range partitioning on the keys gives each output file a narrow key
-    # range, so min/max statistics let later scans skip files.
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # range, so min/max statistics let later scans skip files. The row hash
+    # after the keys lets one hot key value span several files.
+    return range_layout(df, keys)
+
+
+def range_layout(df: DataFrame, keys, n: int | None = None) -> DataFrame:
+    """Range partitions on ``keys`` plus a deterministic row hash as a
+    tie-breaker (equal keys may be split across partitions), sorted inside
+    each partition by the keys."""
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    ranged = df.withColumn("_tie", tie)
+    ranged = (ranged.repartitionByRange(n, *keys, "_tie") if n else ranged.repartitionByRange(*keys, "_tie"))
+    return ranged.sortWithinPartitions(*keys).drop("_tie")
 
 
 def write_version(df: DataFrame, root: str, operation: str = "WRITE", ts: _dt.datetime | None = None,

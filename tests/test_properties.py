@@ -152,3 +152,17 @@ def test_within_tolerance_zero_safe(spark, p, a):
 def test_split_bucket_matches_integer_formula(spark):
     got = spark.range(0, 50).select("id", split_bucket("id", 42).alias("b")).collect()
     assert all(r.b == (r.id * 7919 + 42) % 10007 for r in got)
+
+
+def test_rolling_mean_bucketed_equals_plain_with_one_hot_key(spark, sf):
+    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts", "value")
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("event_id")))
+    hot = hot.withColumn("value", F.when(F.col("event_id") % 7 == 0, None).otherwise(F.col("value")))
+    a = R.rolling_mean(hot, ["user_id"], ["ts", "event_id"], "value", 4, out="m", bucket="hour")
+    b = R.rolling_mean(hot, ["user_id"], ["ts", "event_id"], "value", 4, out="m")
+    key = lambda r: r.event_id
+    ra, rb = sorted(a.collect(), key=key), sorted(b.collect(), key=key)
+    assert len(ra) == len(rb) == ev.count()
+    for x, y in zip(ra, rb):
+        assert x.event_id == y.event_id and (x.m is None) == (y.m is None)
+        assert x.m is None or abs(x.m - y.m) < 1e-9
