@@ -160,8 +160,8 @@ def _planted_sql(x: str, cut: float) -> str:
 WITH c AS (SELECT (max({x}) FILTER (WHERE {x} < {cut}) + min({x}) FILTER (WHERE {x} >= {cut})) / 2 AS t
            FROM lineitem)
 SELECT 0 AS leaf, 1 AS depth, 0 AS step, '{x}' AS feature, '<=' AS op, round(t, 6) AS threshold,
-       CAST(NULL AS VARCHAR) AS categories, 0.0 AS prediction FROM c
-UNION ALL SELECT 1, 1, 0, '{x}', '>', round(t, 6), CAST(NULL AS VARCHAR), 1.0 FROM c"""
+       CAST(NULL AS VARCHAR) AS categories, CAST(0 AS DOUBLE) AS prediction FROM c
+UNION ALL SELECT 1, 1, 0, '{x}', '>', round(t, 6), CAST(NULL AS VARCHAR), CAST(1 AS DOUBLE) FROM c"""
 
 
 def _planted_stump(spark, sf, x: str, cut: float, other: str):

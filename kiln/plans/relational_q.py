@@ -331,7 +331,8 @@ SELECT event_type, day, round(total, 6) AS total,
        round(CASE WHEN count(total) OVER w = 3 THEN avg(total) OVER w END, 6) AS total_mean3
 FROM d WINDOW w AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""")
 def rolling_mean(spark, sf):
-    daily = (table(spark, sf, "events").groupBy("event_type", F.date_trunc("day", "ts").alias("day"))
+    daily = (table(spark, sf, "events")
+             .groupBy("event_type", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"))
              .agg(F.sum("value").alias("total")))
     r = R.rolling_mean(daily, ["event_type"], "day", "total", 3, out="total_mean3")
     return r.select("event_type", "day", rnd("total").alias("total"), rnd("total_mean3").alias("total_mean3"))

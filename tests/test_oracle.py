@@ -29,10 +29,17 @@ def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_oracle(spark, sf, duck, key):
-    got = E.queries()[key](spark, sf).toPandas()
-    want = duck.execute(E.oracle_sql()[key]).df()
+    df = E.queries()[key](spark, sf)
+    rel = duck.sql(E.oracle_sql()[key])
+    assert {n: SPARK_TO_DUCK.get(t, t) for n, t in df.dtypes} == dict(zip(rel.columns, map(str, rel.types)))
+    got = df.toPandas()
+    want = rel.df()
     c1, r1 = _rows(got)
     c2, r2 = _rows(want)
     assert c1 == c2
