@@ -8,6 +8,7 @@ and is the faster choice; the UDFs are for models written in Python.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# pandas-on-Spark asks for this with pyarrow >= 2; set it before first use.
+os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
+
 
 def _model_dict(model) -> dict:
     """Accept a dict or a Row with ``intercept`` and ``coef``."""

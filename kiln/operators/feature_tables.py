@@ -28,13 +28,14 @@ def check_keys(df: DataFrame, keys) -> None:
     Duplicates are found with a grouped count (partial aggregation), and
     at most ``REPORT_LIMIT`` examples are returned to the driver."""
     keys = list(keys)
-    nulls = df.filter(" OR ".join(f"`{k}` IS NULL" for k in keys)).limit(1).count()
-    if nulls:
+    any_null = " OR ".join(f"`{k}` IS NULL" for k in keys)
+    # one grouped pass finds both: a null key is a group of its own
+    bad = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(f"_n > 1 OR {any_null}").limit(REPORT_LIMIT).collect())
+    if any(any(r[k] is None for k in keys) for r in bad):
         raise KeyViolation(f"primary key {keys} has null values")
-    dups = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-            .limit(REPORT_LIMIT).collect())
-    if dups:
-        raise KeyViolation(f"primary key {keys} is not unique, e.g. {[tuple(r)[:-1] for r in dups]}")
+    if bad:
+        raise KeyViolation(f"primary key {keys} is not unique, e.g. {[tuple(r)[:-1] for r in bad]}")
 
 
 def create(spark: SparkSession, root: str, keys, df: DataFrame | None = None, schema: StructType | None = None,

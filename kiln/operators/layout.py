@@ -64,7 +64,16 @@ def expire(spark: SparkSession, root: str, hours: float = MIN_RETENTION_HOURS,
     keep = {r.version for r in rows if r.version == current or r.ts >= cutoff}
     drop = {r.version for r in rows} - keep - already
     live = {s for r in rows if r.version in keep for s in r.segments}
-    dead = sorted({s for r in rows if r.version in drop for s in r.segments} - live)
+    dead = {s for r in rows if r.version in drop for s in r.segments} - live
+    # segments no manifest row names (a write that failed before its
+    # manifest row landed), once older than the cutoff
+    named = {_norm(s) for r in rows for s in r.segments}
+    cutoff_ms = (cutoff - _dt.datetime(1970, 1, 1)).total_seconds() * 1000
+    for path, mtime in fs.list_dirs(spark, root):
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        if name.startswith("seg-") and _norm(path) not in named and mtime < cutoff_ms:
+            dead.add(path)
+    dead = sorted(dead)
     if not dry_run:
         for seg in dead:
             fs.delete(spark, seg)
@@ -74,6 +83,15 @@ def expire(spark: SparkSession, root: str, hours: float = MIN_RETENTION_HOURS,
     return dead
 
 
+def _norm(path: str) -> str:
+    """Compare paths without scheme and trailing slash (file:/x vs /x)."""
+    p = path.rstrip("/")
+    for pre in ("file://", "file:"):
+        if p.startswith(pre):
+            return p[len(pre):]
+    return p
+
+
 def z_value(cols, cuts: dict, bits: int | None = None) -> Column:
     """Z-order value from fixed cut points per column: the bucket of each
     column (number of its cuts <= value) with bits interleaved."""

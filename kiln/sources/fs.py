@@ -76,3 +76,11 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     finally:
         stream.close()
     return bytes(data).decode("utf-8")
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path, modification time in ms) of the sub-directories of ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [(st.getPath().toString(), int(st.getModificationTime())) for st in fs.listStatus(p) if st.isDirectory()]

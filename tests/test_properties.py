@@ -166,3 +166,17 @@ def test_rolling_mean_bucketed_equals_plain_with_one_hot_key(spark, sf):
     for x, y in zip(ra, rb):
         assert x.event_id == y.event_id and (x.m is None) == (y.m is None)
         assert x.m is None or abs(x.m - y.m) < 1e-9
+
+
+def test_expire_removes_orphan_segments(spark, sf):
+    from kiln.sources import fs
+    o = orders(spark, sf)
+    root = scratch_path(spark, "t-orphan")
+    V.write_version(o, root, "WRITE", dt.datetime(2024, 1, 1))
+    o.limit(5).write.parquet(f"{root}/seg-00000099-deadbeef")  # a write whose manifest row never landed
+    far = dt.datetime.now() + dt.timedelta(days=30)
+    dry = Y.expire(spark, root, hours=1, now=far, dry_run=True, force=True)
+    assert any("seg-00000099-deadbeef" in d for d in dry)
+    Y.expire(spark, root, hours=1, now=far, dry_run=False, force=True)
+    assert not fs.exists(spark, f"{root}/seg-00000099-deadbeef")
+    assert V.read_as_of(spark, root).count() == o.count()
