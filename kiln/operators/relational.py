@@ -379,6 +379,18 @@ def corr_pairs(df: DataFrame, cols) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
+def corr_matrix(df: DataFrame, cols, method: str = "pearson") -> DataFrame:
+    """A8 as a matrix: (a, b, r) for every ordered pair, from
+    ``ml.stat.Correlation`` (``pearson`` or ``spearman``; the rank-based
+    one sorts distributedly). Only the p x p matrix reaches the driver."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=list(cols), outputCol="_x", handleInvalid="skip").transform(df)
+    m = Correlation.corr(vec, "_x", method).first()[0].toArray()
+    rows = [(a, b, float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
 def group_agg(df: DataFrame, keys, aggs: dict) -> DataFrame:
     """``aggs`` maps output name -> aggregate Column."""
     return df.groupBy(*keys).agg(*[v.alias(k) for k, v in aggs.items()])
@@ -491,9 +503,15 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
 
 
-def split(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def split(df: DataFrame, key: str | None, ratio: float = 0.8, seed: int = 42,
+          method: str = "hash") -> tuple[DataFrame, DataFrame]:
     """Reproducible train/test split by a hash of the key. Unlike a
-    random split, the parts do not change with partitioning or retries."""
+    random split, the parts do not change with partitioning or retries.
+    ``method="random"`` is Spark's ``randomSplit`` (no key needed, but the
+    parts depend on the input partitioning)."""
+    if method == "random":
+        a, b_ = df.randomSplit([ratio, 1.0 - ratio], seed)
+        return a, b_
     b = split_bucket(key, seed, is_integral(df, key))
     t = split_threshold(ratio)
     return df.filter(b < t), df.filter(b >= t)
