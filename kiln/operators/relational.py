@@ -105,8 +105,22 @@ def _range_buckets(df: DataFrame, key: str, parts: int) -> Column:
     return bucket_by_cuts(F.col(key), cuts)
 
 
+def _group_cuts_expr(key: str, by: list, cut_rows) -> Column:
+    """CASE over the groups: each group's bucket from its own cut points."""
+    bucket = None
+    for r in cut_rows:
+        cond = reduce(lambda a, b: a & b, [F.col(k) == F.lit(r[k]) for k in by])
+        e = bucket_by_cuts(F.col(key), r["_cuts"])
+        bucket = F.when(cond, e) if bucket is None else bucket.when(cond, e)
+    return bucket if bucket is not None else F.lit(0)
+
+
+def group_cut_probs(parts: int) -> list[float]:
+    return [i / parts for i in range(1, parts)]
+
+
 def prefix_sum(df: DataFrame, order_by, weight: Column | None = None, out: str = "_cum",
-               parts: int | None = None, by=None) -> DataFrame:
+               parts: int | None = None, by=None, cut_rows=None) -> DataFrame:
     """Inclusive running total of ``weight`` (default 1, i.e. a dense row
     number) in ``order_by`` order, optionally restarting per ``by`` group,
     computed in parallel.
@@ -121,16 +135,12 @@ def prefix_sum(df: DataFrame, order_by, weight: Column | None = None, out: str =
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     by = [by] if isinstance(by, str) else list(by or [])
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if by and n > 1:
-        probs = [i / n for i in range(1, n)]
-        cut_rows = df.groupBy(*by).agg(
-            F.percentile_approx(F.col(keys[0]).cast("double"), probs, n * 20).alias("_cuts")).collect()
-        bucket = None
-        for r in cut_rows:
-            cond = reduce(lambda a, b: a & b, [F.col(k) == F.lit(r[k]) for k in by])
-            e = bucket_by_cuts(F.col(keys[0]), r["_cuts"])
-            bucket = F.when(cond, e) if bucket is None else bucket.when(cond, e)
-        bucket = bucket if bucket is not None else F.lit(0)
+    if by and cut_rows is not None:
+        bucket = _group_cuts_expr(keys[0], by, cut_rows)
+    elif by and n > 1:
+        cut_rows = df.groupBy(*by).agg(F.percentile_approx(
+            F.col(keys[0]).cast("double"), group_cut_probs(n), n * 20).alias("_cuts")).collect()
+        bucket = _group_cuts_expr(keys[0], by, cut_rows)
     elif by:
         bucket = F.lit(0)
     else:
@@ -318,7 +328,11 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, partitions: int | None
     long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("_c"), F.col(f"`{c}`").cast(DoubleType()).alias("_v")) for c in cols])))
     counts = long.filter(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_k"))
-    ns = {r["_c"]: r["n"] for r in counts.groupBy("_c").agg(F.sum("_k").alias("n")).collect()}
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # row totals and range cut points of every column in one small job
+    stats = counts.groupBy("_c").agg(F.sum("_k").alias("n"), F.percentile_approx(
+        "_v", group_cut_probs(max(parts, 2)), max(parts, 2) * 20).alias("_cuts")).collect()
+    ns = {r["_c"]: r["n"] for r in stats}
     spark = df.sparkSession
     if not ns:
         return spark.createDataFrame([], "column string, value double")
@@ -334,7 +348,7 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, partitions: int | None
 
     lo_e, hi_e = per_col(lo), per_col(hi)
     frac_e = per_col({c: float(pos[c] - lo[c]) for c in ns})
-    cum = prefix_sum(counts.filter(F.col("_c").isin(list(ns))), "_v", F.col("_k"), "_cum", partitions, by="_c")
+    cum = prefix_sum(counts, "_v", F.col("_k"), "_cum", parts, by="_c", cut_rows=stats)
 
     def holds(r: Column) -> Column:  # rank range of a value: (cum - k, cum]
         return (F.col("_cum") - F.col("_k") < r) & (F.col("_cum") >= r)
