@@ -14,6 +14,8 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from kiln.session import checkpoint_root
+
 ESTIMATORS = {
     "linear": LinearRegression,                 # L1, L2 (regParam, elasticNetParam)
     "tree": DecisionTreeRegressor,              # L3
@@ -27,16 +29,28 @@ ESTIMATORS = {
 MAX_TREE_DEPTH = 30
 
 
+# Boosting and deep trees checkpoint their per-iteration state every
+# ``checkpointInterval`` iterations (Spark's default, 10) into the shared
+# checkpoint folder that ``fit_pipeline`` makes sure is set, so a long fit
+# never replays its whole lineage after a lost executor. Deep trees also
+# cache per-row node ids instead of re-walking the tree at every level.
+DEEP_TREE = 10
+
+
 def estimator(kind: str, features: str = "features", label: str = "label", **params):
     """An unfitted estimator of ``kind`` with its parameters."""
     cls = ESTIMATORS[kind]
     if "maxDepth" in params:
         params["maxDepth"] = min(int(params["maxDepth"]), MAX_TREE_DEPTH)
+    if kind in ("forest", "gbt", "forest_clf", "tree", "tree_clf") and params.get("maxDepth", 5) >= DEEP_TREE:
+        params = {"cacheNodeIds": True, **params}
     return cls(featuresCol=features, labelCol=label, **params)
 
 
 def fit_pipeline(df: DataFrame, stages) -> PipelineModel:
-    """Fit all stages once, in order."""
+    """Fit all stages once, in order (the checkpoint folder is set
+    first, so iterative stages can cut their lineage)."""
+    checkpoint_root(df.sparkSession)
     return Pipeline(stages=list(stages)).fit(df)
 
 
