@@ -51,3 +51,13 @@ def test_group_fit_uses_aggregates_not_python(spark, sf):
 def test_group_count_partial_aggregation(spark, sf):
     p = plan(E.queries()["group_count"](spark, sf))
     assert "partial_count" in p
+
+
+def test_best_row_per_group_limits_before_shuffle(spark, sf):
+    p = plan(E.queries()["best_trial"](spark, sf))
+    assert "WindowGroupLimit" in p
+
+
+def test_rolling_rows_spread_by_bucket(spark, sf):
+    p = plan(E.queries()["rolling_mean_rows"](spark, sf))
+    assert "hashpartitioning(user_id" in p and "_b" in p and "_end" in p
