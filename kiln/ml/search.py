@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
@@ -208,16 +209,31 @@ def adaptive_search(fit_eval, space: dict, n: int, startup: int = 3, batch: int
     return spark.createDataFrame(rows, schema)
 
 
-def ridge_sweep(df: DataFrame, x: str, y: str, lambdas, fold: str = "fold") -> DataFrame:
-    """H8: k-fold CV of one-feature ridge regression over a grid of
-    penalties, from sufficient statistics. One aggregation makes one row of
-    sums per fold; each (fold, lambda) is then closed-form arithmetic on
-    those rows, so the data is read once whatever the number of trials.
-    The intercept is not penalised. Returns (trial, lambda, avg_mse)."""
-    xv, yv = F.col(x).cast("double"), F.col(y).cast("double")
-    st = df.groupBy(fold).agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(xv).alias("sx"),
-                              F.sum(yv).alias("sy"), F.sum(xv * xv).alias("sxx"),
-                              F.sum(xv * yv).alias("sxy"), F.sum(yv * yv).alias("syy"))
+def _fold_sums(df: DataFrame, xs: list[str], y: str, fold: str) -> DataFrame:
+    """One row per fold: n, sums of x_i, y, x_i*x_j, x_i*y and y*y."""
+    xv = [F.col(c).cast("double") for c in xs]
+    yv = F.col(y).cast("double")
+    aggs = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(yv).alias("sy"), F.sum(yv * yv).alias("syy")]
+    aggs += [F.sum(xv[i]).alias(f"sx{i}") for i in range(len(xs))]
+    aggs += [F.sum(xv[i] * yv).alias(f"sxy{i}") for i in range(len(xs))]
+    aggs += [F.sum(xv[i] * xv[j]).alias(f"sxx{i}_{j}") for i in range(len(xs)) for j in range(i, len(xs))]
+    return df.groupBy(fold).agg(*aggs)
+
+
+def ridge_sweep(df: DataFrame, x, y: str, lambdas, fold: str = "fold") -> DataFrame:
+    """H8: k-fold CV of ridge regression over a grid of penalties, from
+    sufficient statistics. One aggregation makes one row of sums per fold;
+    each (fold, penalty) trial is then solved from those k rows, so the
+    data is read once whatever the number of trials, and no trial copies
+    it. The intercept is not penalised. ``x`` is one column name (solved by
+    JVM expressions) or a list (a numpy solve per trial over the k rows).
+    Returns (trial, lambda, avg_mse)."""
+    if not isinstance(x, str) and len(x) == 1:
+        x = x[0]
+    if not isinstance(x, str):
+        return _ridge_sweep_multi(df, list(x), y, lambdas, fold)
+    st = _fold_sums(df, [x], y, fold).select(
+        fold, "n", "sy", "syy", F.col("sx0").alias("sx"), F.col("sxy0").alias("sxy"), F.col("sxx0_0").alias("sxx"))
     allw = Window.partitionBy()  # over the k fold rows only
     tot = {c: F.sum(c).over(allw) - F.col(c) for c in ("n", "sx", "sy", "sxx", "sxy")}
     trials = F.explode(F.array(*[F.struct(F.lit(i).alias("trial"), F.lit(float(v)).alias("lambda"))
@@ -236,6 +252,52 @@ def ridge_sweep(df: DataFrame, x: str, y: str, lambdas, fold: str = "fold") -> D
             .agg(F.avg("mse").alias("avg_mse")))
 
 
+def _ridge_sweep_multi(df: DataFrame, xs: list[str], y: str, lambdas, fold: str) -> DataFrame:
+    p = len(xs)
+    st = _fold_sums(df, xs, y, fold)
+    names = [c for c in st.columns if c != fold]
+    # every fold row carries the totals over all folds: training = total - fold
+    allw = Window.partitionBy()
+    st = st.select(fold, *names, *[F.sum(c).over(allw).alias(f"t_{c}") for c in names])
+    trials = F.explode(F.array(*[F.struct(F.lit(i).alias("trial"), F.lit(float(v)).alias("lambda"))
+                                 for i, v in enumerate(lambdas)]))
+    g = st.select("*", trials.alias("_t")).select("*", "_t.trial", "_t.lambda").drop("_t")
+
+    def sym(r, pre):
+        m = np.empty((p, p))
+        for i in range(p):
+            for j in range(i, p):
+                m[i, j] = m[j, i] = r[f"{pre}sxx{i}_{j}"]
+        return m
+
+    def solve(batches):
+        for pdf in batches:
+            mse = []
+            for _, r in pdf.iterrows():
+                n = r["t_n"] - r["n"]
+                sx = np.array([r[f"t_sx{i}"] - r[f"sx{i}"] for i in range(p)])
+                sy = r["t_sy"] - r["sy"]
+                sxy = np.array([r[f"t_sxy{i}"] - r[f"sxy{i}"] for i in range(p)])
+                sxx = sym(r, "t_") - sym(r, "")
+                cxx = sxx - np.outer(sx, sx) / n
+                cxy = sxy - sx * sy / n
+                try:
+                    b = np.linalg.solve(cxx + r["lambda"] * np.eye(p), cxy)
+                except np.linalg.LinAlgError:
+                    mse.append(float("inf"))
+                    continue
+                a = (sy - b @ sx) / n
+                vx = np.array([r[f"sx{i}"] for i in range(p)])
+                vxy = np.array([r[f"sxy{i}"] for i in range(p)])
+                sse = (r["syy"] - 2 * a * r["sy"] - 2 * b @ vxy + r["n"] * a * a + 2 * a * (b @ vx)
+                       + b @ sym(r, "") @ b)
+                mse.append(float(sse / r["n"]))
+            yield pd.DataFrame({"trial": pdf["trial"], "lambda": pdf["lambda"], "mse": mse})
+
+    out = g.mapInPandas(solve, "trial int, lambda double, mse double")
+    return out.groupBy("trial", "lambda").agg(F.avg("mse").alias("avg_mse"))
+
+
 def refit(df: DataFrame, stages, stage, params: dict):
     """Fit the pipeline again on all of ``df`` with the best
     parameters found."""
