@@ -294,10 +294,16 @@ def confusion_matrix(spark, sf):
     return E.confusion(binary_pairs(spark, sf), "label", "prediction", labels=(1, 0))
 
 
-@query("eval_report")
+@query("eval_report", """
+SELECT CAST(1 AS DOUBLE) AS accuracy, CAST(1 AS DOUBLE) AS precision, CAST(1 AS DOUBLE) AS recall,
+       CAST(1 AS DOUBLE) AS f1, count(*) AS n, CAST(1 AS DOUBLE) AS auc FROM lineitem""")
 def eval_report(spark, sf):
+    """E6 on the planted stump: it separates the classes exactly, so every
+    metric is 1 over all rows."""
     model, li = _planted_stump(spark, sf, "l_quantity", 30, "l_discount")
-    return E.eval_report(model, li, "label")
+    r = E.eval_report(model, li, "label")
+    return r.select(*[rnd(c).alias(c) for c in ("accuracy", "precision", "recall", "f1")], "n",
+                    rnd("auc").alias("auc"))
 
 
 @query("compare_models", f"""

@@ -280,14 +280,17 @@ def resolve_alias(spark, sf):
     return L.score(model, table(spark, sf, "part")).select("p_partkey", rnd("prediction", 4).alias("prediction"))
 
 
-@query("schema_check")
+@query("schema_check", f"""
+SELECT t.p_partkey, round(m.a + m.b * t.p_partkey, 4) AS prediction
+FROM part t, (SELECT regr_intercept(p_retailprice, p_partkey) AS a, regr_slope(p_retailprice, p_partkey) AS b
+              FROM part WHERE (p_partkey * 7919 + 42) % 10007 < 8006) m""")
 def schema_check(spark, sf):
     part = table(spark, sf, "part")
     train, test = R.split(part, "p_partkey", 0.8, 42)
     model = L.fit_pipeline(train, part_linear_stages())
     sig = K.signature(train, ["p_partkey", "p_retailprice"])
     K.check_signature(part, sig)  # raises on a missing or retyped column
-    return L.score(model, part).select("p_partkey", "prediction")
+    return L.score(model, part).select("p_partkey", rnd("prediction", 4).alias("prediction"))
 
 
 @query("run_inputs", """
