@@ -196,3 +196,11 @@ def test_partitioned_feature_table_roundtrip(spark, sf):
     merged = {r.c_custkey: r.c_acctbal for r in FT.read(spark, root).collect()}
     assert all(merged[r.c_custkey] == 0.0 for r in upd.collect())
     assert FT.metadata(spark, root)["partition_by"] == ["c_mktsegment"]
+
+
+def test_asof_tolerance_drops_stale_matches(spark):
+    l_ = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 5)), (1, dt.datetime(2024, 1, 1, 1, 30))],
+                               "k int, t timestamp")
+    r = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 1), 5.0)], "k int, t timestamp, v double")
+    got = {row.t: row.v for row in R.join_asof(l_, r, ["k"], "t", cols=["v"], tolerance="1 HOUR").collect()}
+    assert got[dt.datetime(2024, 1, 1, 1, 30)] == 5.0 and got[dt.datetime(2024, 1, 1, 5)] is None
