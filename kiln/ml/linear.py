@@ -67,21 +67,29 @@ def ols(df: DataFrame, features, label: str, keys=()) -> DataFrame:
                T.StructField("coef", T.ArrayType(T.DoubleType())),
                T.StructField("n_used", T.LongType())])
 
+        iu = [(i, j) for i in range(p) for j in range(i, p)]
+
         def solve(batches):
+            # one batched solve per Arrow batch of group rows; groups with a
+            # singular system fall back to least squares one by one
             for pdf in batches:
-                inter, coefs = [], []
-                for _, r in pdf.iterrows():
-                    c = np.empty((p, p))
-                    for i in range(p):
-                        for j in range(i, p):
-                            c[i, j] = c[j, i] = r[f"_c{i}_{j}"]
-                    cy = np.array([r[f"_cy{i}"] for i in range(p)])
-                    beta = np.linalg.lstsq(c, cy, rcond=None)[0]
-                    coefs.append(beta.tolist())
-                    inter.append(float(r["_my"] - sum(beta[i] * r[f"_m{i}"] for i in range(p))))
+                m = len(pdf)
+                c = np.empty((m, p, p))
+                for i, j in iu:
+                    c[:, i, j] = c[:, j, i] = pdf[f"_c{i}_{j}"].to_numpy(float)
+                cy = np.column_stack([pdf[f"_cy{i}"].to_numpy(float) for i in range(p)])
+                beta = np.full((m, p), np.nan)
+                ok = np.isfinite(c).all(axis=(1, 2)) & np.isfinite(cy).all(axis=1)
+                ok &= np.abs(np.linalg.det(np.where(ok[:, None, None], c, np.eye(p)))) > 0
+                if ok.any():
+                    beta[ok] = np.linalg.solve(c[ok], cy[ok][..., None])[..., 0]
+                for r in np.flatnonzero(~ok):
+                    if np.isfinite(c[r]).all() and np.isfinite(cy[r]).all():
+                        beta[r] = np.linalg.lstsq(c[r], cy[r], rcond=None)[0]
+                means = np.column_stack([pdf[f"_m{i}"].to_numpy(float) for i in range(p)])
                 out = pdf[keys].copy() if keys else pd.DataFrame(index=pdf.index)
-                out["intercept"] = inter
-                out["coef"] = coefs
+                out["intercept"] = pdf["_my"].to_numpy(float) - (beta * means).sum(axis=1)
+                out["coef"] = list(beta)
                 out["n_used"] = pdf["n_used"].astype("int64")
                 yield out
 

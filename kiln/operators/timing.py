@@ -32,13 +32,20 @@ def time_query(spark: SparkSession, fn: Callable[[], DataFrame], runs: int = 5,
 
 
 def timed(spark: SparkSession, fns: dict[str, Callable[[], DataFrame]], runs: int = 5,
-          warmup: int = 1) -> DataFrame:
-    """One row per named callable: (name, median_s, min_s, max_s, runs)."""
+          warmup: int = 1, inputs: dict[str, str] | None = None) -> DataFrame:
+    """One row per named callable: (name, median_s, min_s, max_s, runs,
+    files, bytes); files and bytes are those under ``inputs[name]`` (a
+    path), when given."""
+    from kiln.sources import fs
     rows = []
     for name, fn in fns.items():
         t = time_query(spark, fn, runs, warmup)
-        rows.append((name, t["median_s"], t["min_s"], t["max_s"], t["runs"]))
-    return spark.createDataFrame(rows, "name string, median_s double, min_s double, max_s double, runs int")
+        files = nbytes = None
+        if inputs and name in inputs:
+            files, nbytes = fs.size_of(spark, inputs[name])
+        rows.append((name, t["median_s"], t["min_s"], t["max_s"], t["runs"], files, nbytes))
+    return spark.createDataFrame(
+        rows, "name string, median_s double, min_s double, max_s double, runs int, files int, bytes bigint")
 
 
 def layout_report(spark: SparkSession, query: Callable[[], DataFrame], job: Callable[[], object],

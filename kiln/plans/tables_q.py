@@ -395,9 +395,10 @@ def timing_report(spark, sf):
     """One job (means of numeric columns) done two ways."""
     li = table(spark, sf, "lineitem")
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    src = f"{sf}/lineitem.parquet"
     return TM.timed(spark, {
         "one_pass": lambda: R.mean_all(li, cols),
         "per_column_union": lambda: R.union_all(*[li.agg(F.avg(c).alias("avg")) for c in cols]),
         "eval_regression": lambda: E.eval_regression(li.withColumn("p", F.col("l_extendedprice")),
                                                      "l_extendedprice", "p"),
-    }, runs=3)
+    }, runs=3, inputs={"one_pass": src, "per_column_union": src, "eval_regression": src})

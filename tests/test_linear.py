@@ -53,3 +53,13 @@ def test_ridge_sweep_several_features_matches_numpy(spark, sf):
     one = {r.trial: r.avg_mse for r in H.ridge_sweep(li, "l_quantity", y, lams, "fold").collect()}
     gen = {r.trial: r.avg_mse for r in H._ridge_sweep_multi(li, ["l_quantity"], y, lams, "fold").collect()}
     assert all(abs(one[t] - gen[t]) < 1e-6 * gen[t] for t in one)
+
+
+def test_group_ols_singular_group_falls_back(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").withColumn("g", F.col("l_suppkey") % 2)
+    li = li.withColumn("const", F.when(F.col("g") == 0, F.lit(1.0)).otherwise(F.col("l_tax")))
+    fit = {r.g: r for r in LIN.ols(li, ["l_quantity", "l_discount", "const"], "l_extendedprice", ["g"]).collect()}
+    assert set(fit) == {0, 1}
+    assert all(np.isfinite(fit[g].coef).all() and np.isfinite(fit[g].intercept) for g in fit)
+    # the constant column carries no slope in the singular group (minimum-norm solution)
+    assert abs(fit[0].coef[2]) < 1e-6
