@@ -115,7 +115,13 @@ def _group_cuts_expr(key: str, by: list, cut_rows) -> Column:
     return bucket if bucket is not None else F.lit(0)
 
 
-def group_cut_probs(parts: int) -> list[float]:
+# Largest number of cut points in one per-group CASE expression; with many
+# groups each group gets fewer ranges, so generated code stays small.
+MAX_GROUP_CUTS = 20000
+
+
+def group_cut_probs(parts: int, groups: int = 1) -> list[float]:
+    parts = max(2, min(parts, MAX_GROUP_CUTS // max(1, groups)))
     return [i / parts for i in range(1, parts)]
 
 
@@ -331,7 +337,7 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, partitions: int | None
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # row totals and range cut points of every column in one small job
     stats = counts.groupBy("_c").agg(F.sum("_k").alias("n"), F.percentile_approx(
-        "_v", group_cut_probs(max(parts, 2)), max(parts, 2) * 20).alias("_cuts")).collect()
+        "_v", group_cut_probs(parts, len(cols)), max(parts, 2) * 20).alias("_cuts")).collect()
     ns = {r["_c"]: r["n"] for r in stats}
     spark = df.sparkSession
     if not ns:
