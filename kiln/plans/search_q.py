@@ -67,7 +67,12 @@ def adaptive_search(spark, sf):
         return E.eval_regression(L.score(model, test), "p_retailprice").first()["rmse"]
 
     space = {"regParam": ("float", 0.0, 2.0), "elasticNetParam": ("float", 0.0, 1.0)}
-    return H.adaptive_search(fit_eval, space, n=10, startup=3, batch=4, seed=123, spark=spark)
+    try:
+        # the trial table is built from the metrics, not from the cached frames
+        return H.adaptive_search(fit_eval, space, n=10, startup=3, batch=4, seed=123, spark=spark)
+    finally:
+        train.unpersist()
+        test.unpersist()
 
 
 _SWEEP_SQL = """
