@@ -204,3 +204,16 @@ def test_asof_tolerance_drops_stale_matches(spark):
     r = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 1), 5.0)], "k int, t timestamp, v double")
     got = {row.t: row.v for row in R.join_asof(l_, r, ["k"], "t", cols=["v"], tolerance="1 HOUR").collect()}
     assert got[dt.datetime(2024, 1, 1, 1, 30)] == 5.0 and got[dt.datetime(2024, 1, 1, 5)] is None
+
+
+def test_asof_hot_key_bucketed_equals_plain(spark, sf):
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    # a third of all rows under one key
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+    req = hot.select(F.col("event_id").alias("req_id"), "user_id",
+                     (F.col("ts") + F.expr("INTERVAL 7 MINUTES")).alias("req_ts"))
+    feat = hot.select("user_id", "ts", "value", "event_id")
+    a = R.join_asof(req, feat, ["user_id"], "req_ts", right_ts="ts", cols=["value", "event_id"], bucket="hour")
+    b = R.join_asof(req, feat, ["user_id"], "req_ts", right_ts="ts", cols=["value", "event_id"], bucket=None)
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert a.filter("user_id = -1").count() == hot.filter("user_id = -1").count()
