@@ -20,7 +20,7 @@ import datetime as _dt
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,13 +75,17 @@ def write_meta(spark: SparkSession, root: str, meta: dict) -> None:
     fs.write_text(spark, f"{root}/_meta.json", json.dumps(meta, sort_keys=True))
 
 
-def _write_segment(df: DataFrame, root: str, version: int, partition_by=()) -> str:
+def _write_segment(df: DataFrame, root: str, version: int, partition_by=()) -> tuple[str, int]:
+    """Write one segment; returns (path, rows written). The row count is
+    observed on the write itself (metrics of successful write tasks), so
+    no second pass over the new files is needed."""
     seg = f"{root}/seg-{version:08d}-{uuid.uuid4().hex[:8]}"
-    w = df.write.mode("errorifexists")
+    obs = Observation(f"rows-{uuid.uuid4().hex[:8]}")
+    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(seg)
-    return seg
+    return seg, int(obs.get["n"])
 
 
 def _cluster(df: DataFrame, meta: dict) -> DataFrame:
@@ -116,8 +120,7 @@ def write_version(df: DataFrame, root: str, operation: str = "WRITE", ts: _dt.da
     cur = latest(spark, root)
     version = 0 if cur is None else cur.version + 1
     data = df if prepared else _cluster(df, meta)
-    seg = _write_segment(data, root, version, partition_by or meta.get("partition_by", ()))
-    new_rows = spark.read.parquet(seg).count()  # answered from Parquet footers
+    seg, new_rows = _write_segment(data, root, version, partition_by or meta.get("partition_by", ()))
     files, nbytes = fs.size_of(spark, seg)
     if mode == "append" and cur is not None:
         segments = list(cur.segments) + [seg]
