@@ -115,6 +115,28 @@ def sink_predictions(spark, sf):
                        rnd("prediction", 4).alias("prediction"))
 
 
+RIDGE_LAMBDA = 1.0
+
+
+@query("linreg_ridge", f"""
+WITH s AS (SELECT avg(p_partkey) AS mx, avg(p_retailprice) AS my, covar_pop(p_partkey, p_retailprice) AS cxy,
+                  var_pop(p_partkey) AS vx, stddev_pop(p_retailprice) AS sy FROM {PART_TRAIN}),
+m AS (SELECT cxy / (vx * (1 + {RIDGE_LAMBDA} / sy)) AS b, mx, my FROM s)
+SELECT t.p_partkey, (t.p_partkey * 7919 + 42) % 10007 < 8006 AS is_train,
+       round(m.my - m.b * m.mx + m.b * t.p_partkey, 4) AS prediction
+FROM part t, m""")
+def linreg_ridge(spark, sf):
+    """L2 with the mixing at 0 (ridge). With standardisation, Spark's
+    objective penalises the coefficient on the standardised feature, scaled by
+    the label's (population) deviation, so one feature has the closed form
+    b = cov(x, y) / (var(x) * (1 + lambda / sd(y)))."""
+    train, _ = part_split(spark, sf)
+    model = L.fit_pipeline(train, [M.assembler(["p_partkey"], "features"),
+                                   L.estimator("linear", "features", "p_retailprice", regParam=RIDGE_LAMBDA,
+                                               elasticNetParam=0.0, solver="normal")])
+    return part_predictions(model, spark, sf)
+
+
 @query("linreg_elastic")
 def linreg_elastic(spark, sf):
     li = R.with_split(lineitem_labeled(spark, sf), "l_orderkey", 0.8, 42)
