@@ -62,16 +62,25 @@ e AS (SELECT m.trial, m.reg, m.k, sqrt(avg((d.y - (m.my - m.b * m.mx + m.b * d.x
 SELECT trial, reg AS regParam, round(avg(rmse), 6) AS avg_rmse FROM e GROUP BY trial, reg"""
 
 
+def ridge_stages():
+    lr = L.estimator("linear", "features", "p_retailprice", elasticNetParam=0.0, solver="normal")
+    return [M.assembler(["p_partkey"], "features"), lr], lr
+
+
+def ridge_cv(spark, sf):
+    train, test = part_folds(spark, sf)
+    stages, lr = ridge_stages()
+    res = H.cv_search(train, stages, lr, {"regParam": RIDGE_GRID}, "p_retailprice", "rmse", "fold",
+                      parallelism=4)
+    return res, train, test
+
+
 @query("trial_table", _RIDGE_CV_SQL)
 def trial_table(spark, sf):
     """H2 + H4: 3-fold cross-validated ridge over a grid of penalties; the
     trial table (trial, regParam, avg_rmse). Each fold's fit has the closed
     form of Spark's standardised ridge, so SQL can check every trial."""
-    train, _ = part_folds(spark, sf)
-    lr = L.estimator("linear", "features", "p_retailprice", elasticNetParam=0.0, solver="normal")
-    stages = [M.assembler(["p_partkey"], "features"), lr]
-    res = H.cv_search(train, stages, lr, {"regParam": RIDGE_GRID}, "p_retailprice", "rmse", "fold",
-                      parallelism=4)
+    res, _, _ = ridge_cv(spark, sf)
     return H.trials(res).select("trial", "regParam", rnd("avg_rmse").alias("avg_rmse"))
 
 
@@ -124,15 +133,33 @@ def trial_sweep(spark, sf):
                       rnd("avg_mse", 4).alias("avg_mse"))
 
 
-@query("refit_best")
+_REFIT_SQL = """
+WITH cv AS (""" + _RIDGE_CV_SQL.strip().replace("round(avg(rmse), 6) AS avg_rmse", "avg(rmse) AS avg_rmse") + """),
+best AS (SELECT regParam AS reg FROM cv ORDER BY avg_rmse, trial LIMIT 1),
+tr AS (SELECT CAST(p_partkey AS DOUBLE) AS x, p_retailprice AS y FROM part
+       WHERE (p_partkey * 7919 + 42) % 10007 < 8006),
+te AS (SELECT CAST(p_partkey AS DOUBLE) AS x, p_retailprice AS y FROM part
+       WHERE (p_partkey * 7919 + 42) % 10007 >= 8006),
+st AS (SELECT avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS cxy, var_pop(x) AS vx, stddev_pop(y) AS sy FROM tr),
+models AS (SELECT 'tuned' AS model, st.cxy / (st.vx * (1 + best.reg / st.sy)) AS b, st.mx, st.my FROM st, best
+           UNION ALL SELECT 'untuned', st.cxy / st.vx, st.mx, st.my FROM st),
+p AS (SELECT models.model, te.y, models.my - models.b * models.mx + models.b * te.x AS yhat FROM models, te)
+SELECT model, round(sqrt(avg((y - yhat) * (y - yhat))), 6) AS rmse,
+       round(1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)), 6) + 0.0 AS r2,
+       round(avg((y - yhat) * (y - yhat)), 4) AS mse, round(avg(abs(y - yhat)), 6) AS mae, count(*) AS n
+FROM p GROUP BY model"""
+
+
+@query("refit_best", _REFIT_SQL)
 def refit_best(spark, sf):
-    """Best grid point refitted on all training rows and compared
-    with the untuned model on the test rows."""
-    train, test = part_folds(spark, sf)
-    stages, lr = part_stages()
-    res = H.cv_search(train, stages, lr, GRID, "p_retailprice", "rmse", "fold", parallelism=4)
-    best_stages, best_lr = part_stages()
+    """The best penalty of the cross-validated ridge grid, refitted on
+    all training rows, compared with the untuned (unpenalised) model on the
+    test rows."""
+    res, train, test = ridge_cv(spark, sf)
+    best_stages, best_lr = ridge_stages()
     tuned = H.refit(train, best_stages, best_lr, res.best_params)
-    plain_stages, _ = part_stages()
+    plain_stages, _ = ridge_stages()
     untuned = L.fit_pipeline(train, plain_stages)
-    return E.compare({"tuned": L.score(tuned, test), "untuned": L.score(untuned, test)}, "p_retailprice")
+    cmp = E.compare({"tuned": L.score(tuned, test), "untuned": L.score(untuned, test)}, "p_retailprice")
+    return cmp.select("model", rnd("rmse").alias("rmse"), rnd("r2").alias("r2"), rnd("mse", 4).alias("mse"),
+                      rnd("mae").alias("mae"), "n")
