@@ -80,16 +80,31 @@ def cv_search(df: DataFrame, stages, stage, grid: dict, label: str, metric: str
 
 
 def tvs_search(df: DataFrame, stages, stage, grid: dict, label: str, metric: str = "rmse",
-               ratio: float = 0.8, parallelism: int = 4, seed: int = 42) -> SearchResult:
-    """H3: grid search on one train/validation split."""
+               ratio: float = 0.8, parallelism: int = 4, seed: int = 42, key: str | None = None) -> SearchResult:
+    """H3: grid search on one train/validation split. With ``key`` the split
+    is the reproducible key-hash split (``relational.split``) and the grid
+    points are fitted on up to ``parallelism`` driver threads; without it,
+    Spark's ``TrainValidationSplit`` (whose random split depends on the
+    input partitioning)."""
     maps = _maps(stage, grid)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
-    tvs = TrainValidationSplit(estimator=Pipeline(stages=list(stages)), estimatorParamMaps=maps,
-                               evaluator=ev, trainRatio=ratio, parallelism=parallelism, seed=seed)
-    model = tvs.fit(df)
-    _, best = _best(maps, model.validationMetrics, ev.isLargerBetter())
-    trials = _trial_frame(df.sparkSession, stage, maps, model.validationMetrics, metric)
-    return SearchResult(model.bestModel, best, trials)
+    pipe = Pipeline(stages=list(stages))
+    if key is None:
+        tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, trainRatio=ratio,
+                                   parallelism=parallelism, seed=seed)
+        model = tvs.fit(df)
+        metrics, best_model = model.validationMetrics, model.bestModel
+    else:
+        from kiln.operators.relational import split
+        train, valid = split(df, key, ratio, seed)
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            metrics = list(pool.map(lambda m: ev.evaluate(pipe.fit(train, m).transform(valid)), maps))
+        best_model = None
+    i, best = _best(maps, metrics, ev.isLargerBetter())
+    if best_model is None:
+        best_model = pipe.fit(train, maps[i])
+    trials = _trial_frame(df.sparkSession, stage, maps, metrics, metric)
+    return SearchResult(best_model, best, trials)
 
 
 def trials(result: SearchResult) -> DataFrame:

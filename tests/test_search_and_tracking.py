@@ -69,3 +69,24 @@ def test_input_digest_ignores_order(spark, sf):
     a = K.input_digest(o).first()
     b = K.input_digest(o.orderBy(F.desc("o_orderkey")).repartition(3)).first()
     assert a == b
+
+
+def test_tvs_library_and_key_split_paths(spark, sf):
+    from kiln.ml import features as M
+    from kiln.ml import models as L
+    part = spark.read.parquet(f"{sf}/part.parquet")
+
+    def stages():
+        lr = L.estimator("linear", "features", "p_retailprice")
+        return [M.assembler(["p_partkey"], "features"), lr], lr
+    s1, lr1 = stages()
+    lib = H.tvs_search(part, s1, lr1, {"regParam": [0.0, 1.0]}, "p_retailprice", seed=3)
+    s2, lr2 = stages()
+    keyed = H.tvs_search(part, s2, lr2, {"regParam": [0.0, 1.0]}, "p_retailprice", seed=3, key="p_partkey")
+    assert lib.trials.count() == keyed.trials.count() == 2
+    again = H.tvs_search(part.repartition(5), *stages(), {"regParam": [0.0, 1.0]}, "p_retailprice", seed=3,
+                         key="p_partkey")
+    a, b = sorted(keyed.trials.collect()), sorted(again.trials.collect())
+    assert [(r.trial, r.regParam) for r in a] == [(r.trial, r.regParam) for r in b]
+    assert all(abs(x.rmse - y.rmse) <= 1e-9 + 1e-9 * abs(y.rmse) for x, y in zip(a, b))
+    assert keyed.best_model.transform(part).count() == part.count()
