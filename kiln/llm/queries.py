@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import byte_bpe, packing, quality
+from kiln.llm import byte_bpe, packing, quality, simhash, substrings
 from kiln.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -18,6 +18,45 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def words_line(text) -> Column:
+    """The words of a text joined by one space."""
+    return F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "))
+
+
+@query("op3_substring_dedup", """
+    WITH w AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+    win AS (
+        SELECT doc_id, i, md5(array_to_string(words[i:i + 34], ' ')) AS h
+        FROM w, LATERAL (SELECT unnest(range(1, len(words) - 33)) AS i)),
+    dup AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+    gone AS (
+        SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM win WHERE h IN (SELECT h FROM dup)),
+    per AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+    each AS (
+        SELECT w.doc_id, p, words[p] AS word, g.p IS NOT NULL AS cut
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM w) w
+        LEFT JOIN gone g USING (doc_id, p))
+    SELECT w.doc_id, len(words) AS n_words, coalesce(len(per.ps), 0) AS n_removed,
+           sha256(coalesce(k.kept, '')) AS kept_sha256
+    FROM w LEFT JOIN per USING (doc_id)
+    LEFT JOIN (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept FROM each WHERE NOT cut GROUP BY doc_id) k
+    USING (doc_id)""")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of repeated 35-word windows."""
+    docs = table(spark, sf_dir, "documents")
+    kept = substrings.remove_repeats(docs, carry=["doc_id"])
+    return kept.select("doc.doc_id", "n_words", "n_removed", F.sha2(words_line("text"), 256).alias("kept_sha256"))
+
+
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = simhash.near_duplicates(docs, carry=["doc_id"])
+    return found.select("doc.doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack every document; one row per piece."""
