@@ -173,9 +173,10 @@ def class_links(classes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> D
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS, carry: list[str] | None = None) -> DataFrame:
-    """Rows ``(doc, fp, component_id)``; ``component_id`` is the smallest id
-    reachable over links of at most ``radius`` differing bits (null only if
-    no document of the component has an id).
+    """Rows ``(doc, fp, component_id, representative)``; ``component_id`` is
+    the smallest id reachable over links of at most ``radius`` differing bits
+    (null only if no document of the component has an id), and one row of each
+    component, with that id, is its representative.
 
     Repeated rows fall into one component; an empty table gives an empty
     result.
@@ -183,12 +184,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not 0 <= radius < BITS:
         raise ValueError("radius must lie between 0 and 63")
     ids = carry if carry is None or id_col in carry else [*carry, id_col]
-    marked = _written(fingerprints(docs, text_col, shingle, ids), "fingerprints")
+    marked = _written(fingerprints(docs, text_col, shingle, ids).withColumn("row", F.monotonically_increasing_id()),
+                      "fingerprints")
     doc_id = F.col("doc").getField(id_col)
-    classes = _written(marked.groupBy("fp").agg(F.min(doc_id).alias("least")), "classes")
+    first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), "row")).alias("first")
+    classes = _written(marked.groupBy("fp").agg(first), "classes")
     roots = components(class_links(classes.select("fp"), radius))
     labelled = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "least")
-    least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = labelled.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc", "fp", "component_id")
+        "fp", F.coalesce("root", "fp").alias("root"), "first")
+    least = labelled.groupBy("root").agg(F.min("first").alias("first"))
+    named = labelled.select("fp", "root").join(least, "root").select("fp", "first")
+    return marked.join(named, "fp").select("doc", "fp", F.col("first.id").alias("component_id"),
+                                           (F.col("row") == F.col("first.row")).alias("representative"))
