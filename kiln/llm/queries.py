@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import byte_bpe, chat, packing, pii, quality, simhash, substrings
+from kiln.llm import byte_bpe, chat, embeddings, packing, pii, quality, simhash, substrings
 from kiln.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -82,6 +82,27 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc.doc_id", "n_words", "n_removed", F.sha2(words_line("text"), 256).alias("kept_sha256"))
 
 
+@query("op4_embedding_dedup", """
+    WITH RECURSIVE good AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    link AS MATERIALIZED (
+        SELECT a.vec_id AS u, b.vec_id AS v FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+    reach AS (
+        SELECT vec_id AS u, vec_id AS v FROM embeddings
+        UNION SELECT reach.u, link.v FROM reach JOIN link ON reach.v = link.u),
+    c AS (SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u),
+    n AS (SELECT u AS vec_id, count(*) AS n FROM link GROUP BY u)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM c LEFT JOIN n USING (vec_id)""")
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector, within its label."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
