@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import byte_bpe, chat, embeddings, packing, pii, quality, simhash, substrings
+from kiln.llm import byte_bpe, chat, embeddings, html_main, packing, pii, quality, simhash, substrings
 from kiln.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -122,6 +122,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.labelled("spans").alias("spans"))
 
 
+@query("op8_html_main_text")
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = html_main.main_text(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+    return out.select("doc.page_id", "doc.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack every document; one row per piece."""
