@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import byte_bpe, chat, embeddings, html_main, packing, pii, quality, simhash, substrings
+from kiln.llm import byte_bpe, chat, embeddings, html_main, packing, pii, quality, simhash, substrings, suffix_lm
 from kiln.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -103,6 +103,12 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query("op5_lm_score")
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by a suffix tree and by word counts."""
+    return suffix_lm.score(table(spark, sf_dir, "documents"))
+
+
 @query("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
