@@ -35,8 +35,11 @@ from pyspark.sql import functions as F
 
 CHUNK_CHARS = 16384
 OVERLAP = 1024
-#: Pieces a worker remembers before it starts anew (a cache, not a limit).
-CACHE_PIECES = 1_000_000
+#: Pieces in each of the two generations that a worker remembers (a cache, not
+#: a limit).
+CACHE_PIECES = 200_000
+#: Rows that a worker turns into one output frame.
+FRAME_ROWS = 500
 #: Pre-tokens of more bytes than this are merged with a heap.
 LONG_PIECE = 400
 
@@ -71,7 +74,6 @@ class Encoder:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.ranks = ranks
-        self.by_id = {i: b for b, i in ranks.items()}
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.core = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={})
@@ -136,29 +138,48 @@ class Encoder:
         units = self.units(text)
         return self.cache.first(units[0]) + b"".join(map(self.cache.__getitem__, units[1:]))
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.by_id.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
 
 class _Cache(dict):
-    """Unit without its boundary space -> ids of space + unit."""
+    """Unit without its boundary space -> ids of space + unit. When full, it
+    becomes the old generation; units seen again come back from there."""
 
     def __init__(self, owner: Encoder):
         super().__init__()
         self.owner = owner
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, unit: str) -> bytes:
+        ids = self.old.get(unit)
+        if ids is None:
+            ids = self.owner.piece_ids(" " + unit)
+            if len(unit) > 64:
+                return ids
         if len(self) >= CACHE_PIECES:
+            self.old = dict(self)
             self.clear()
-        ids = self.owner.piece_ids(" " + unit)
-        if len(unit) <= 64:
-            self[unit] = ids
+        self[unit] = ids
         return ids
 
     def first(self, unit: str) -> bytes:
         return self.owner.piece_ids(unit) if unit else b""
 
 
+@lru_cache(maxsize=4)
+def token_bytes(ranks_path: str | None = None) -> list[bytes]:
+    """Raw bytes of every id."""
+    with open(ranks_path or _default("byte_bpe_50k.tiktoken"), "rb") as f:
+        pairs = [(int(b), base64.b64decode(a)) for a, b in map(bytes.split, f)]
+    out = [b""] * (max(i for i, _ in pairs) + 1)
+    for i, raw in pairs:
+        out[i] = raw
+    return out
+
+
+def _frames(pdf: pd.DataFrame):
+    for i in range(0, len(pdf), FRAME_ROWS):
+        yield pdf.iloc[i:i + FRAME_ROWS]
+
+
 def _bounds(text: str, at: int) -> np.ndarray:
     """Boundaries of a chunk that starts at ``at``, as offsets in the text."""
     return np.array([m.start() + at for m in BOUNDARY.finditer(text)], np.int64)
@@ -208,7 +229,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
 
     def here(batches):
         enc = encoder(ranks_path)
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in _frames(batch)):
             ids = [enc.encode(t) for t in pdf["text"]]
             yield pd.DataFrame({"id": pdf["id"], "n_tokens": [len(x) // 4 for x in ids], "ids": ids})
 
@@ -265,9 +286,8 @@ def decode(encoded: DataFrame, ids_col: str = "ids", ranks_path: str | None = No
     kinds = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes)
 
     def run(batches):
-        enc = encoder(ranks_path)
-        for pdf in batches:
-            pdf["decoded"] = [enc.decode(x or b"") for x in pdf[ids_col]]
-            yield pdf
+        raw = token_bytes(ranks_path).__getitem__
+        for pdf in (part for batch in batches for part in _frames(batch)):
+            yield pdf.assign(decoded=[b"".join(map(raw, np.frombuffer(x or b"", "<u4").tolist())) for x in pdf[ids_col]])
 
     return encoded.mapInPandas(run, f"{kinds}, decoded binary")
