@@ -65,7 +65,8 @@ def _runs(k1, k2, data, offs, window, gram) -> pa.RecordBatch | None:
         return None
     ok = whole(w.first, len(sig), window)
     fresh = ok.copy()
-    fresh[1:] &= ~ok[:-1] | (sig[1:] != sig[:-1])
+    text = w.doc[:len(sig)]
+    fresh[1:] &= ~ok[:-1] | (sig[1:] != sig[:-1]) | (text[1:] != text[:-1])
     begin = np.flatnonzero(fresh)
     if not len(begin):
         return None
