@@ -18,8 +18,10 @@ from kiln.session import scratch_path
 
 def _with_text(rows: DataFrame, text: Column, columns: list[str]) -> DataFrame:
     """The columns of ``doc`` with another text."""
-    new = {"text": text, "n_chars": F.length(text).cast("long")}
-    return rows.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in columns])
+    # a name of its own first: inside lambdas a column of the same select would win
+    rows = rows.select("doc", text.alias("new_text"))
+    new = {"text": F.col("new_text"), "n_chars": F.length("new_text").cast("long")}
+    return rows.select(*[(new[c] if c in new else F.col("doc").getField(c)).alias(c) for c in columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -312,7 +312,7 @@ def brute_repeats(texts, size):
 def test_substring_dedup(docs, odd, size, runs, tree, monkeypatch):
     monkeypatch.setattr(substrings.repeats, "__defaults__", (size, substrings.GRAM, runs))
     monkeypatch.setattr(substrings, "TREE_WORDS", tree)
-    out = substrings.remove_repeats(docs, window=size).collect()
+    out = substrings.remove_repeats(docs, window=size, carry=["doc_id", "text"]).collect()
     want = Counter((t, " ".join(k), n, g) for (_, t, *_), (k, n, g) in zip(odd, brute_repeats([r[1] for r in odd], size)))
     got = Counter((r["doc"]["text"], " ".join(words(r["text"])), r["n_words"], r["n_removed"]) for r in out)
     assert got == want
