@@ -25,7 +25,9 @@ def col_of(c) -> Column:
 def _bucket(key, seed: int, multiplier: int, integral: bool) -> Column:
     k = col_of(key)
     if integral:
-        return F.pmod(k.cast("long") * F.lit(multiplier) + F.lit(seed), F.lit(SPLIT_MODULUS))
+        # reduced first, so that no key is too large; only the key modulo the
+        # modulus matters, so keys that step by it all get one bucket
+        return F.pmod(F.pmod(k.cast("long"), F.lit(SPLIT_MODULUS)) * F.lit(multiplier) + F.lit(seed), F.lit(SPLIT_MODULUS))
     # Any other key type: a 64-bit hash of the key and the seed.
     return F.pmod(F.xxhash64(k, F.lit(seed) + F.lit(multiplier)), F.lit(SPLIT_MODULUS))
 

@@ -8,14 +8,16 @@ before the shuffle.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, NumericType, StringType
+from pyspark.sql.types import DoubleType, IntegerType, MapType, NumericType, StringType
 
-from kiln.functions.exprs import (bucket_by_cuts, col_of, fold_of, is_integral, split_bucket,
+from kiln.functions.exprs import (col_of, fold_of, is_integral, split_bucket,
                                   split_threshold, within_tolerance)
+from kiln.operators.ranges import numbered, ranged, rolling
 
 # ---------------------------------------------------------------- P: rows
 
@@ -94,90 +96,17 @@ def clean_names(df: DataFrame, char: str = ".") -> DataFrame:
     return df.withColumnsRenamed({c: c.replace(char, "") for c in df.columns if char in c})
 
 
-def _range_buckets(df: DataFrame, key: str, parts: int) -> Column:
-    """A bucket number that grows with ``key``: cut points from
-    ``approxQuantile`` (``parts - 1`` numbers on the driver), then a binary
-    search in a CASE tree. Deterministic, so every plan branch agrees."""
-    if parts <= 1:
-        return F.lit(0)
-    probs = [i / parts for i in range(1, parts)]
-    cuts = df.approxQuantile(key, probs, 1.0 / (parts * 20))
-    return bucket_by_cuts(F.col(key), cuts)
-
-
-def _group_cuts_expr(key: str, by: list, cut_rows) -> Column:
-    """CASE over the groups: each group's bucket from its own cut points."""
-    bucket = None
-    for r in cut_rows:
-        cond = reduce(lambda a, b: a & b, [F.col(k) == F.lit(r[k]) for k in by])
-        e = bucket_by_cuts(F.col(key), r["_cuts"])
-        bucket = F.when(cond, e) if bucket is None else bucket.when(cond, e)
-    return bucket if bucket is not None else F.lit(0)
-
-
-# Largest number of cut points in one per-group CASE expression; with many
-# groups each group gets fewer ranges, so generated code stays small.
-MAX_GROUP_CUTS = 20000
-
-
-def group_cut_probs(parts: int, groups: int = 1) -> list[float]:
-    parts = max(2, min(parts, MAX_GROUP_CUTS // max(1, groups)))
-    return [i / parts for i in range(1, parts)]
-
-
-def prefix_sum(df: DataFrame, order_by, weight: Column | None = None, out: str = "_cum",
-               parts: int | None = None, by=None, cut_rows=None) -> DataFrame:
-    """Inclusive running total of ``weight`` (default 1, i.e. a dense row
-    number) in ``order_by`` order, optionally restarting per ``by`` group,
-    computed in parallel.
-
-    Rows are cut into key ranges; each range is numbered by a window of
-    bounded size, and the totals of all earlier ranges (one row per range,
-    safe to broadcast) are added. The first order column must be numeric;
-    the full order must be unique within a group. ``by`` is meant for a
-    few groups (their cut points come to the driver: ``parts`` numbers per
-    group).
-    """
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    by = [by] if isinstance(by, str) else list(by or [])
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if by and cut_rows is not None:
-        bucket = _group_cuts_expr(keys[0], by, cut_rows)
-    elif by and n > 1:
-        cut_rows = df.groupBy(*by).agg(F.percentile_approx(
-            F.col(keys[0]).cast("double"), group_cut_probs(n), n * 20).alias("_cuts")).collect()
-        bucket = _group_cuts_expr(keys[0], by, cut_rows)
-    elif by:
-        bucket = F.lit(0)
-    else:
-        bucket = _range_buckets(df, keys[0], n)
-    b = df.withColumn("_b", bucket)
-    part = by + ["_b"]
-    if weight is None:
-        local = b.withColumn("_loc", F.row_number().over(Window.partitionBy(*part).orderBy(*keys)).cast("long"))
-        totals = b.groupBy(*part).agg(F.count(F.lit(1)).alias("_t"))
-    else:
-        w = (Window.partitionBy(*part).orderBy(*keys)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        local = b.withColumn("_loc", F.sum(weight).over(w))
-        totals = b.groupBy(*part).agg(F.sum(weight).alias("_t"))
-    offsets = totals.select(*part, (F.sum("_t").over(Window.partitionBy(*by).orderBy("_b"))
-                                    - F.col("_t")).alias("_off"))
-    # one row per range and group: bounded by ``n`` times the few groups
-    return (local.join(F.broadcast(offsets), part)
-            .withColumn(out, F.col("_off") + F.col("_loc")).drop("_b", "_loc", "_off"))
-
-
 def with_row_id(df: DataFrame, out: str = "ID", order_by=None, partitions: int | None = None) -> DataFrame:
     """A 64-bit row id.
 
     Without ``order_by``: unique, not dense (``monotonically_increasing_id``).
-    With ``order_by`` (a unique key, first column numeric): dense 1..n in key
-    order, computed in parallel by ``prefix_sum``; no single-task window.
+    With ``order_by`` (any sortable columns): dense 1..n in key order, null
+    keys first, computed over key ranges; no single-task window. The number
+    of ranges never changes the ids of a unique key.
     """
     if order_by is None:
         return df.withColumn(out, F.monotonically_increasing_id())
-    return prefix_sum(df, order_by, None, out, partitions)
+    return numbered(df, order_by, out, partitions)
 
 
 def with_month(df: DataFrame, c: str, out: str) -> DataFrame:
@@ -230,45 +159,40 @@ def join_cast(left: DataFrame, right: DataFrame, key: str, type: str | None = No
 
 
 def join_asof(left: DataFrame, right: DataFrame, keys, ts: str, cols=None, right_ts: str | None = None,
-              tolerance: str | None = None, bucket: str | None = "day",
-              prefix: str = "") -> DataFrame:
+              tolerance: str | None = None, parts: int | None = None, prefix: str = "") -> DataFrame:
     """Point-in-time lookup. For every left row, the right row with the
     same keys and the greatest ``right_ts <= ts`` (an equal time matches).
-
-    Both sides are unioned and scanned in time order; the matched right row
-    travels as one struct so null feature values are kept as values.
-
-    Skew: with ``bucket`` (a ``date_trunc`` unit) the scan is split into
-    (key, time bucket) groups, so a key holding a third of all rows is
-    spread over many tasks. A small table of the last right row per
-    (key, bucket) carries matches across bucket borders.
+    Rows with a null key or time match nothing; every left row is kept.
+
+    Both sides are unioned, put into ranges of (key, time) that follow the
+    data, and scanned in time order within (key, range), so a key that holds
+    a third of all rows is spread over a third of the ranges. A table of the
+    last right row per (key, range) carries matches across range borders.
+    The matched right row travels as one struct so null feature values are
+    kept as values.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     right_ts = right_ts or ts
     cols = list(cols) if cols is not None else [c for c in right.columns if c not in keys + [right_ts]]
     feat = F.struct(F.col(right_ts).alias("_ts"), *[F.col(c).alias(f"{prefix}{c}") for c in cols])
     lcols = [c for c in left.columns if c not in keys]
-    r = right.select(*keys, F.col(right_ts).alias("_t"), F.lit(0).alias("_side"), feat.alias("_f"))
+    r = right.na.drop(subset=keys + [right_ts]).select(
+        *keys, F.col(right_ts).alias("_t"), F.lit(0).alias("_side"), feat.alias("_f"))
     lrow = F.struct(*[F.col(c) for c in lcols])
     l_ = left.select(*keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"), lrow.alias("_l"))
     u = r.withColumn("_l", F.lit(None).cast(l_.schema["_l"].dataType)).unionByName(
         l_.withColumn("_f", F.lit(None).cast(r.schema["_f"].dataType)))
-    part = list(keys)
-    if bucket:
-        u = u.withColumn("_b", F.date_trunc(bucket, F.col("_t")))
-        part.append("_b")
-    w = (Window.partitionBy(*part).orderBy("_t", "_side", "_f")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    scanned = u.withColumn("_m", F.last("_f", ignorenulls=True).over(w))
-    out = scanned.filter(F.col("_side") == 1)
-    if bucket:
-        # last right row of each (key, bucket), plus the buckets that hold
-        # left rows: one row per (key, bucket), far smaller than the input
-        finals = (u.groupBy(*part).agg(F.max("_f").alias("_fin")))
-        wc = (Window.partitionBy(*keys).orderBy("_b")
-              .rowsBetween(Window.unboundedPreceding, -1))
-        carry = finals.select(*part, F.last("_fin", ignorenulls=True).over(wc).alias("_carry"))
-        out = out.join(carry, part, "left").withColumn("_m", F.coalesce("_m", "_carry"))
+    u = ranged(u, [*keys, "_t", "_side", "_f"], parts)
+    part = [*keys, "_p"]
+    w = Window.partitionBy(*part).orderBy("_loc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = u.withColumn("_m", F.last("_f", ignorenulls=True).over(w)).filter(F.col("_side") == 1)
+    # last right row of each (key, range): one row each, far smaller than the input
+    last = F.max(F.when(F.col("_side") == 0, F.struct("_loc", "_f")))
+    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (u.groupBy(*part).agg(last["_f"].alias("_fin"))
+             .select(*part, F.last("_fin", ignorenulls=True).over(before).alias("_carry")).filter("_carry is not null"))
+    # carried rows have keys, so rows with a null key rightly find none
+    out = out.join(carry, part, "left").withColumn("_m", F.when(F.col("_t").isNotNull(), F.coalesce("_m", "_carry")))
     if tolerance:
         out = out.withColumn("_m", F.when(
             F.col("_m._ts") >= F.col("_t") - F.expr(f"INTERVAL {tolerance}"), F.col("_m")))
@@ -323,52 +247,81 @@ def agg_max(df: DataFrame, c: str, by=(), out: str | None = None) -> DataFrame:
     return df.groupBy(*by).agg(F.max(c).alias(out or f"max_{c}"))
 
 
-def exact_quantiles(df: DataFrame, cols, q: float = 0.5, partitions: int | None = None) -> DataFrame:
-    """Exact, interpolated quantile of each column in ``cols``:
-    (column, value). The columns are unpivoted, rows are counted per
-    distinct value (a partial aggregate, so a hot value costs nothing),
-    a parallel running total over the distinct values gives each value its
-    rank range, and the value(s) holding the target rank are kept. No
-    column is ever held in one buffer. One small action counts the rows
-    of each column."""
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("_c"), F.col(f"`{c}`").cast(DoubleType()).alias("_v")) for c in cols])))
-    counts = long.filter(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_k"))
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # row totals and range cut points of every column in one small job
-    stats = counts.groupBy("_c").agg(F.sum("_k").alias("n"), F.percentile_approx(
-        "_v", group_cut_probs(parts, len(cols)), max(parts, 2) * 20).alias("_cuts")).collect()
-    ns = {r["_c"]: r["n"] for r in stats}
-    spark = df.sparkSession
-    if not ns:
-        return spark.createDataFrame([], "column string, value double")
-    pos = {c: (n - 1) * q + 1 for c, n in ns.items()}
-    lo = {c: int(p // 1) for c, p in pos.items()}
-    hi = {c: int(-(-p // 1)) for c, p in pos.items()}
-
-    def per_col(m: dict) -> Column:
-        e = None
-        for c, v in m.items():
-            e = F.when(F.col("_c") == c, F.lit(v)) if e is None else e.when(F.col("_c") == c, F.lit(v))
-        return e
-
-    lo_e, hi_e = per_col(lo), per_col(hi)
-    frac_e = per_col({c: float(pos[c] - lo[c]) for c in ns})
-    cum = prefix_sum(counts, "_v", F.col("_k"), "_cum", parts, by="_c", cut_rows=stats)
-
-    def holds(r: Column) -> Column:  # rank range of a value: (cum - k, cum]
-        return (F.col("_cum") - F.col("_k") < r) & (F.col("_cum") >= r)
+#: Accuracy of the sketch that brackets an exact quantile.
+BRACKET_ACCURACY = 10000
+#: Distinct values of one column that are ranked in one task; a bracket that
+#: holds more is narrowed again.
+BRACKET_VALUES = 1_000_000
 
-    hits = cum.filter(holds(lo_e) | holds(hi_e))
-    v_lo = F.max(F.when(holds(lo_e), F.col("_v")))
-    v_hi = F.max(F.when(holds(hi_e), F.col("_v")))
-    return hits.groupBy("_c").agg((v_lo + (v_hi - v_lo) * F.first(frac_e)).alias("value")) \
-        .select(F.col("_c").alias("column"), "value")
 
+def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = BRACKET_ACCURACY,
+                    values: int = BRACKET_VALUES) -> DataFrame:
+    """Exact, interpolated quantile of each column in ``cols``: (column,
+    value); a column without values is left out.
 
-def exact_quantile(df: DataFrame, c: str, q: float = 0.5, partitions: int | None = None) -> DataFrame:
-    """One column's exact quantile as a one-row frame named ``c``."""
-    return exact_quantiles(df, [c], q, partitions).select(F.col("value").alias(c))
+    A mergeable sketch gives two values around the wanted rank. One more pass
+    counts the values below them and keeps, per distinct value in between,
+    its count (a partial aggregate, so a hot value costs nothing). A bracket
+    with many distinct values is narrowed by another sketch. The data itself
+    is never shuffled.
+    """
+    spark = df.sparkSession
+    num = {c: F.col(f"`{c}`").cast(DoubleType()) for c in cols}
+    stats = df.agg(*[F.count(num[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    state = {c: {"n": stats[i], "rank": (stats[i] - 1) * q + 1, "lo": float("-inf"), "hi": float("nan"), "below": 0}
+             for i, c in enumerate(cols) if stats[i]}      # NaN is the largest double
+    eps = 2.0 / accuracy
+    out = []
+    while state:
+        def inside(c):
+            return num[c].between(F.lit(state[c]["lo"]), F.lit(state[c]["hi"]))
+
+        aggs, todo = [], list(state)
+        for i, c in enumerate(todo):
+            s = state[c]
+            size = s.get("size", s["n"])
+            ends = [max(0.0, (math.floor(s["rank"]) - s["below"] - 1) / size - eps),
+                    min(1.0, (math.ceil(s["rank"]) - s["below"]) / size + eps)]
+            aggs.append(F.percentile_approx(F.when(inside(c), num[c]), ends, accuracy).alias(f"b{i}"))
+        cut = df.agg(*aggs).first()
+        aggs = []
+        for i, c in enumerate(todo):
+            lo, hi = cut[i]
+            v = num[c]
+            mid = v.between(F.lit(lo), F.lit(hi))
+            aggs += [F.count(F.when(v < F.lit(lo), 1)).alias(f"u{i}"), F.count(F.when(mid, 1)).alias(f"k{i}"),
+                     F.approx_count_distinct(F.when(mid, v)).alias(f"d{i}")]
+        found = df.agg(*aggs).first()
+        ready = []
+        for i, c in enumerate(todo):
+            s, (lo, hi) = state[c], cut[i]
+            below, size, distinct = found[3 * i:3 * i + 3]
+            if below < math.floor(s["rank"]) and math.ceil(s["rank"]) <= below + size:
+                narrower = size < s.get("size", s["n"] + 1)
+                s.update(lo=lo, hi=hi, below=below, size=size)
+                if distinct <= values or not narrower:
+                    ready.append(c)
+            else:                                           # the sketch missed: rank what is left as it is
+                ready.append(c)
+        if ready:
+            parts = [df.filter(inside(c)).select(F.lit(c).alias("column"), num[c].alias("v")) for c in ready]
+            counts = reduce(lambda a, b: a.unionByName(b), parts).groupBy("column", "v").agg(F.count(F.lit(1)).alias("k"))
+            per = [(c, state[c]["below"], float(math.floor(state[c]["rank"])), float(math.ceil(state[c]["rank"])),
+                    state[c]["rank"] - math.floor(state[c]["rank"])) for c in ready]
+            want = spark.createDataFrame(per, "column string, below long, a double, b double, part double")
+            ranked = counts.join(want, "column").withColumn(
+                "upto", F.col("below") + F.sum("k").over(Window.partitionBy("column").orderBy("v")))
+
+            def at(r):
+                return F.max(F.when((F.col("upto") - F.col("k") < F.col(r)) & (F.col("upto") >= F.col(r)), F.col("v")))
+
+            out.append(ranked.groupBy("column").agg(at("a").alias("x"), at("b").alias("y"), F.max("part").alias("part"))
+                       .select("column", (F.col("x") + (F.col("y") - F.col("x")) * F.col("part")).alias("value")))
+        for c in ready:
+            del state[c]
+    if not out:
+        return spark.createDataFrame([], "column string, value double")
+    return reduce(lambda a, b: a.unionByName(b), out)
 
 
 def median_var(df: DataFrame, cols, exact: bool = True, accuracy: int = 10000) -> DataFrame:
@@ -428,53 +381,24 @@ def pivot_agg(df: DataFrame, keys, pivot: str, values, agg: Column, prefix: str
 # ---------------------------------------------------------------- W: windows
 
 
-def key_row_index(df: DataFrame, keys, order, bucket: Column, out: str = "_idx") -> DataFrame:
-    """1-based position of each row within its key in ``order`` order,
-    computed without one task per key: rows are numbered inside (key,
-    bucket) groups, where ``bucket`` grows with the order, and the row
-    counts of earlier buckets (a table of one row per key and bucket) are
-    added."""
-    keys, order = list(keys), [order] if isinstance(order, (str, Column)) else list(order)
-    b = df.withColumn("_b", bucket)
-    part = keys + ["_b"]
-    local = b.withColumn("_loc", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
-    totals = b.groupBy(*part).agg(F.count(F.lit(1)).alias("_t"))
-    offsets = totals.select(*part, (F.sum("_t").over(Window.partitionBy(*keys).orderBy("_b"))
-                                    - F.col("_t")).alias("_off"))
-    return (local.join(offsets, part).withColumn(out, F.col("_off") + F.col("_loc"))
-            .drop("_b", "_loc", "_off"))
-
-
-def rolling_mean(df: DataFrame, keys, order, c: str, n: int, out: str | None = None,
-                 bucket: str | Column | None = None) -> DataFrame:
+def rolling_mean(df: DataFrame, keys, order, c: str, n: int, out: str | None = None, spread: bool = False,
+                 parts: int | None = None) -> DataFrame:
     """Mean of the last ``n`` rows per key in ``order`` (null until ``n``
-    non-null values are in the window, as pandas ``rolling(n).mean()``).
-
-    Without ``bucket``: one sliding window per key, right for series already
-    reduced by a group-by (one row per key and period). With ``bucket`` (a
-    ``date_trunc`` unit for a time order column, or a Column that grows with
-    the order), a key holding a large share of all rows is spread out: rows
-    get a per-key index (``key_row_index``), each value is sent to the ``n``
-    windows that contain it, and windows are summed by (key, end index),
-    which is balanced whatever the key skew. The window end keeps its row.
+    non-null values are in the window, as pandas ``rolling(n).mean()``). Null
+    keys form one group and null orders come first; no row is dropped.
+
+    Without ``spread``: one sliding window per key, right for series already
+    reduced by a group-by (one row per key and period). With it, windows run
+    inside (key, range) over data-driven ranges, so a key that holds a large
+    share of all rows is spread out (see ``ranges.rolling``).
     """
     keys = list(keys)
     order = [order] if isinstance(order, str) else list(order)
     out = out or f"{c}_mean{n}"
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(n - 1), 0)
-        return df.withColumn(out, F.when(F.count(F.col(c)).over(w) == n, F.avg(F.col(c)).over(w)))
-    bexpr = F.date_trunc(bucket, F.col(order[0])) if isinstance(bucket, str) else bucket
-    indexed = key_row_index(df, keys, order, bexpr)
-    row = F.struct(*[F.col(f"`{x}`") for x in df.columns])
-    spread = indexed.select(*keys, F.col(c).alias("_v"), row.alias("_row"),
-                            F.posexplode(F.sequence(F.col("_idx"), F.col("_idx") + n - 1)).alias("_j", "_end"))
-    # only the copy that ends its own window carries the row through the shuffle
-    spread = spread.withColumn("_row", F.when(F.col("_j") == 0, F.col("_row")))
-    agg = spread.groupBy(*keys, "_end").agg(
-        F.count("_v").alias("_k"), F.sum("_v").alias("_s"), F.max("_row").alias("_self"))
-    return agg.filter(F.col("_self").isNotNull()).select(
-        "_self.*", F.when(F.col("_k") == n, F.col("_s") / F.col("_k")).alias(out))
+    if spread:
+        return rolling(df, keys, order, c, n, out, parts)
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(n - 1), 0)
+    return df.withColumn(out, F.when(F.count(F.col(c)).over(w) == n, F.avg(F.col(c)).over(w)))
 
 
 # ---------------------------------------------------------------- T: order
@@ -518,9 +442,11 @@ def replicate(df: DataFrame, n: int, out: str = "copy") -> DataFrame:
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    """A seeded, reproducible full shuffle (range-partitioned sort on a
-    hash of key and seed)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
+    """A seeded, reproducible full shuffle: a range-partitioned sort on a
+    hash of the whole row and the seed, then on ``key``, so that rows of one
+    hot key neither stay together nor share a task."""
+    row = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return df.orderBy(F.xxhash64(*row, F.lit(seed)), F.col(key))
 
 
 def split(df: DataFrame, key: str | None, ratio: float = 0.8, seed: int = 42,

@@ -346,7 +346,7 @@ def rolling_mean_rows(spark, sf):
     """W1 on raw rows: per user, the mean of the last 5 event values,
     spread by day buckets so a hot user is not one task."""
     ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    r = R.rolling_mean(ev, ["user_id"], ["ts", "event_id"], "value", 5, out="value_mean5", bucket="day")
+    r = R.rolling_mean(ev, ["user_id"], ["ts", "event_id"], "value", 5, out="value_mean5", spread=True)
     return r.select("event_id", "user_id", "ts", "value", rnd("value_mean5").alias("value_mean5"))
 
 

@@ -27,16 +27,18 @@ def test_flagship_scoring_has_no_python(spark, sf):
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
-def test_asof_windows_are_split_by_time_bucket(spark, sf):
+def test_asof_windows_are_split_by_range(spark, sf):
     p = plan(E.queries()["join_asof"](spark, sf))
-    assert "hashpartitioning(user_id" in p and "_b" in p
+    assert "hashpartitioning(user_id" in p and "_p" in p and "SinglePartition" not in p
 
 
 def test_row_id_window_is_partitioned(spark, sf):
     o = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey")
     p = plan(R.with_row_id(o, "rid", "o_orderkey"))
     # the only single-partition exchange is over the per-range totals
-    assert "hashpartitioning(_b" in p
+    assert p.count("SinglePartition") == 1 and "hashpartitioning(_p" in p
+    many = plan(R.with_row_id(o, "rid", "o_orderkey", partitions=500))
+    assert len(many) < 1.2 * len(p)  # no expression grows with the ranges
 
 
 def test_group_fit_uses_aggregates_not_python(spark, sf):
@@ -58,6 +60,6 @@ def test_best_row_per_group_limits_before_shuffle(spark, sf):
     assert "WindowGroupLimit" in p
 
 
-def test_rolling_rows_spread_by_bucket(spark, sf):
+def test_rolling_rows_spread_by_range(spark, sf):
     p = plan(E.queries()["rolling_mean_rows"](spark, sf))
-    assert "hashpartitioning(user_id" in p and "_b" in p and "_end" in p
+    assert "hashpartitioning(user_id" in p and "_p" in p and "SinglePartition" not in p

@@ -62,7 +62,7 @@ def test_asof_never_looks_ahead(spark, sf):
     # every request matches at least itself (equal time is allowed)
     assert out.filter(F.col("ts_matched").isNull()).count() == 0
     # bucketed and unbucketed plans agree
-    plain = R.join_asof(req, feat, ["user_id"], "req_ts", right_ts="ts", cols=["value"], bucket=None)
+    plain = R.join_asof(req, feat, ["user_id"], "req_ts", right_ts="ts", cols=["value"], parts=1)
     assert sorted(out.collect()) == sorted(plain.collect())
 
 
@@ -158,7 +158,7 @@ def test_rolling_mean_bucketed_equals_plain_with_one_hot_key(spark, sf):
     ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts", "value")
     hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("event_id")))
     hot = hot.withColumn("value", F.when(F.col("event_id") % 7 == 0, None).otherwise(F.col("value")))
-    a = R.rolling_mean(hot, ["user_id"], ["ts", "event_id"], "value", 4, out="m", bucket="hour")
+    a = R.rolling_mean(hot, ["user_id"], ["ts", "event_id"], "value", 4, out="m", spread=True, parts=16)
     b = R.rolling_mean(hot, ["user_id"], ["ts", "event_id"], "value", 4, out="m")
     key = lambda r: r.event_id
     ra, rb = sorted(a.collect(), key=key), sorted(b.collect(), key=key)
@@ -213,7 +213,7 @@ def test_asof_hot_key_bucketed_equals_plain(spark, sf):
     req = hot.select(F.col("event_id").alias("req_id"), "user_id",
                      (F.col("ts") + F.expr("INTERVAL 7 MINUTES")).alias("req_ts"))
     feat = hot.select("user_id", "ts", "value", "event_id")
-    a = R.join_asof(req, feat, ["user_id"], "req_ts", right_ts="ts", cols=["value", "event_id"], bucket="hour")
-    b = R.join_asof(req, feat, ["user_id"], "req_ts", right_ts="ts", cols=["value", "event_id"], bucket=None)
+    a = R.join_asof(req, feat, ["user_id"], "req_ts", right_ts="ts", cols=["value", "event_id"], parts=16)
+    b = R.join_asof(req, feat, ["user_id"], "req_ts", right_ts="ts", cols=["value", "event_id"], parts=1)
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.filter("user_id = -1").count() == hot.filter("user_id = -1").count()
