@@ -21,6 +21,10 @@ from pyspark.sql import types as T
 from kiln.session import checkpoint_root
 
 
+#: A determinant below this share of the product of variances is singular.
+SINGULAR = 1e-12
+
+
 def _moments(df: DataFrame, keys, features, label) -> DataFrame:
     p = len(features)
     x = [F.col(c).cast("double") for c in features]
@@ -34,13 +38,20 @@ def _moments(df: DataFrame, keys, features, label) -> DataFrame:
 
 
 def _solve_small(p: int) -> tuple[Column, list[Column]]:
-    """Closed form for one or two features, as Column expressions."""
+    """Closed form for one or two features, as Column expressions. A singular
+    system gets the solution of least norm, as with more features."""
     if p == 1:
-        b = [F.try_divide(F.col("_cy0"), F.col("_c0_0"))]
+        b = [F.when(F.col("_c0_0") > 0, F.col("_cy0") / F.col("_c0_0")).otherwise(0.0)]
     else:
-        det = F.col("_c0_0") * F.col("_c1_1") - F.col("_c0_1") * F.col("_c0_1")
-        b = [F.try_divide(F.col("_c1_1") * F.col("_cy0") - F.col("_c0_1") * F.col("_cy1"), det),
-             F.try_divide(F.col("_c0_0") * F.col("_cy1") - F.col("_c0_1") * F.col("_cy0"), det)]
+        s0, s1, c01, y0, y1 = (F.col(c) for c in ("_c0_0", "_c1_1", "_c0_1", "_cy0", "_cy1"))
+        det = s0 * s1 - c01 * c01
+        regular = det > F.lit(SINGULAR) * s0 * s1
+        # of a rank-one matrix S the pseudo-inverse is S / trace(S)^2
+        trace2 = (s0 + s1) * (s0 + s1)
+        b = [F.when(regular, F.try_divide(s1 * y0 - c01 * y1, det))
+             .otherwise(F.coalesce(F.try_divide(s0 * y0 + c01 * y1, trace2), F.lit(0.0))),
+             F.when(regular, F.try_divide(s0 * y1 - c01 * y0, det))
+             .otherwise(F.coalesce(F.try_divide(c01 * y0 + s1 * y1, trace2), F.lit(0.0)))]
     a = F.col("_my")
     for i in range(p):
         a = a - b[i] * F.col(f"_m{i}")
@@ -80,12 +91,13 @@ def ols(df: DataFrame, features, label: str, keys=()) -> DataFrame:
                 cy = np.column_stack([pdf[f"_cy{i}"].to_numpy(float) for i in range(p)])
                 beta = np.full((m, p), np.nan)
                 ok = np.isfinite(c).all(axis=(1, 2)) & np.isfinite(cy).all(axis=1)
-                ok &= np.abs(np.linalg.det(np.where(ok[:, None, None], c, np.eye(p)))) > 0
+                diag = np.prod(np.diagonal(c, axis1=1, axis2=2), axis=1)
+                ok &= np.linalg.det(np.where(ok[:, None, None], c, np.eye(p))) > SINGULAR * diag
                 if ok.any():
                     beta[ok] = np.linalg.solve(c[ok], cy[ok][..., None])[..., 0]
                 for r in np.flatnonzero(~ok):
                     if np.isfinite(c[r]).all() and np.isfinite(cy[r]).all():
-                        beta[r] = np.linalg.lstsq(c[r], cy[r], rcond=None)[0]
+                        beta[r] = np.linalg.lstsq(c[r], cy[r], rcond=SINGULAR)[0]
                 means = np.column_stack([pdf[f"_m{i}"].to_numpy(float) for i in range(p)])
                 out = pdf[keys].copy() if keys else pd.DataFrame(index=pdf.index)
                 out["intercept"] = pdf["_my"].to_numpy(float) - (beta * means).sum(axis=1)
@@ -135,7 +147,3 @@ def group_fit(df: DataFrame, keys, features, label: str) -> DataFrame:
     err = (F.col(label).cast("double") - F.col("prediction"))
     mse = scored.groupBy(*keys).agg(F.avg(err * err).alias("mse"))
     return models.join(mse, keys, "left").select(*keys, "intercept", "coef", "model", "mse", "n_used")
-
-
-def model_from_json(text: str) -> dict:
-    return json.loads(text)

@@ -51,10 +51,17 @@ def _maps(stage, grid: dict):
 
 def _trial_frame(spark: SparkSession, stage, maps, metrics, metric_name: str) -> DataFrame:
     names = sorted({p.name for m in maps for p in m})
-    rows = [(i, *[float(m[stage.getParam(n)]) for n in names], float(v))
-            for i, (m, v) in enumerate(zip(maps, metrics))]
+    values = {n: [m[stage.getParam(n)] for m in maps] for n in names}
+
+    def number(vs):
+        return all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in vs)
+
+    # numbers are doubles; any other parameter keeps its text
+    kinds = {n: T.DoubleType() if number(vs) else T.StringType() for n, vs in values.items()}
+    rows = [(i, *[float(values[n][i]) if number(values[n]) else str(values[n][i]) for n in names], float(v))
+            for i, v in enumerate(metrics)]
     schema = T.StructType([T.StructField("trial", T.IntegerType())]
-                          + [T.StructField(n, T.DoubleType()) for n in names]
+                          + [T.StructField(n, kinds[n]) for n in names]
                           + [T.StructField(metric_name, T.DoubleType())])
     return spark.createDataFrame(rows, schema)
 
@@ -176,8 +183,10 @@ def adaptive_search(fit_eval, space: dict, n: int, startup: int = 3, batch: int
     random; after that, each batch is the candidates with the best ratio of
     a kernel density over the good trials (best ``gamma`` share) to one over
     the rest. ``fit_eval(params) -> metric`` (lower is better) runs a Spark
-    fit; a batch runs in parallel threads. A failing trial scores inf.
-    Returns the trial table as a DataFrame (or a list without ``spark``)."""
+    fit; a batch runs in parallel threads. A failing trial scores inf and its
+    message is kept in ``error``; if all fail, the last error is raised.
+    Returns the trial table as a DataFrame (or a list of (parameters, metric)
+    without ``spark``)."""
     names = list(space)
     rng = np.random.default_rng(seed)
     hist: list[tuple[dict, float]] = []
@@ -190,11 +199,13 @@ def adaptive_search(fit_eval, space: dict, n: int, startup: int = 3, batch: int
             out[name] = int(v) if kind in ("int", "logint") else float(v)
         return out
 
+    errors: list[BaseException | None] = []
+
     def run(params):
         try:
-            return float(fit_eval(params))
-        except Exception:  # noqa: BLE001 - a failed trial is recorded, not fatal
-            return float("inf")
+            return float(fit_eval(params)), None
+        except Exception as e:  # noqa: BLE001 - a failed trial is recorded, not fatal
+            return float("inf"), e
 
     with ThreadPoolExecutor(max_workers=batch) as pool:
         while len(hist) < n:
@@ -213,26 +224,46 @@ def adaptive_search(fit_eval, space: dict, n: int, startup: int = 3, batch: int
                 cand = np.clip(centres + rng.normal(0, bw, centres.shape), 0, 1 - 1e-12)
                 ratio = _parzen(cand, good, bw) / (_parzen(cand, bad, bw) if len(bad) else 1.0)
                 props = [decode(cand[i]) for i in np.argsort(-ratio)[:k]]
-            metrics = list(pool.map(run, props))
-            hist.extend(zip(props, metrics))
+            done = list(pool.map(run, props))
+            hist.extend((p, m) for p, (m, _) in zip(props, done))
+            errors.extend(e for _, e in done)
+    if errors and all(errors):
+        raise errors[-1]
     if spark is None:
         return hist
-    rows = [(i, *[float(p[nm]) for nm in names], m) for i, (p, m) in enumerate(hist)]
+    rows = [(i, *[float(p[nm]) for nm in names], m, None if e is None else f"{type(e).__name__}: {e}"[:500])
+            for i, ((p, m), e) in enumerate(zip(hist, errors))]
     schema = T.StructType([T.StructField("trial", T.IntegerType())]
                           + [T.StructField(nm, T.DoubleType()) for nm in names]
-                          + [T.StructField("metric", T.DoubleType())])
+                          + [T.StructField("metric", T.DoubleType()), T.StructField("error", T.StringType())])
     return spark.createDataFrame(rows, schema)
 
 
 def _fold_sums(df: DataFrame, xs: list[str], y: str, fold: str) -> DataFrame:
-    """One row per fold: n, sums of x_i, y, x_i*x_j, x_i*y and y*y."""
+    """One row per fold: n, and sums of x_i, y, x_i*x_j, x_i*y and y*y of the
+    rows without nulls, all about the overall means (a large offset in the
+    data cancels before anything is squared)."""
+    df = df.na.drop(subset=[*xs, y, fold])
     xv = [F.col(c).cast("double") for c in xs]
     yv = F.col(y).cast("double")
-    aggs = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(yv).alias("sy"), F.sum(yv * yv).alias("syy")]
-    aggs += [F.sum(xv[i]).alias(f"sx{i}") for i in range(len(xs))]
-    aggs += [F.sum(xv[i] * yv).alias(f"sxy{i}") for i in range(len(xs))]
-    aggs += [F.sum(xv[i] * xv[j]).alias(f"sxx{i}_{j}") for i in range(len(xs)) for j in range(i, len(xs))]
-    return df.groupBy(fold).agg(*aggs)
+    pairs = [(i, j) for i in range(len(xs)) for j in range(i, len(xs))]
+    aggs = [F.count(F.lit(1)).cast("double").alias("n"), F.avg(yv).alias("my"), F.var_pop(yv).alias("vy")]
+    aggs += [F.avg(xv[i]).alias(f"m{i}") for i in range(len(xs))]
+    aggs += [F.covar_pop(xv[i], yv).alias(f"cy{i}") for i in range(len(xs))]
+    aggs += [F.covar_pop(xv[i], xv[j]).alias(f"c{i}_{j}") for i, j in pairs]
+    per = df.groupBy(fold).agg(*aggs)
+    over = Window.partitionBy()  # over the k fold rows only
+
+    def off(m):  # a fold's mean less the overall mean
+        return F.col(m) - F.sum(F.col(m) * F.col("n")).over(over) / F.sum("n").over(over)
+
+    per = per.select("*", off("my").alias("dy"), *[off(f"m{i}").alias(f"d{i}") for i in range(len(xs))])
+    n, dy = F.col("n"), F.col("dy")
+    out = [(n * dy).alias("sy"), (n * (F.col("vy") + dy * dy)).alias("syy")]
+    out += [(n * F.col(f"d{i}")).alias(f"sx{i}") for i in range(len(xs))]
+    out += [(n * (F.col(f"cy{i}") + F.col(f"d{i}") * dy)).alias(f"sxy{i}") for i in range(len(xs))]
+    out += [(n * (F.col(f"c{i}_{j}") + F.col(f"d{i}") * F.col(f"d{j}"))).alias(f"sxx{i}_{j}") for i, j in pairs]
+    return per.select(fold, "n", *out)
 
 
 def ridge_sweep(df: DataFrame, x, y: str, lambdas, fold: str = "fold") -> DataFrame:
@@ -242,6 +273,8 @@ def ridge_sweep(df: DataFrame, x, y: str, lambdas, fold: str = "fold") -> DataFr
     data is read once whatever the number of trials, and no trial copies
     it. The intercept is not penalised. ``x`` is one column name (solved by
     JVM expressions) or a list (a numpy solve per trial over the k rows).
+    Rows with a null feature, label or fold take no part. A trial that cannot
+    be solved (a constant feature without a penalty) scores infinity.
     Returns (trial, lambda, avg_mse)."""
     if not isinstance(x, str) and len(x) == 1:
         x = x[0]
@@ -257,13 +290,13 @@ def ridge_sweep(df: DataFrame, x, y: str, lambdas, fold: str = "fold") -> DataFr
     g = g.select("*", "_t.trial", "_t.lambda")
     cxx = F.col("t_sxx") - F.col("t_sx") * F.col("t_sx") / F.col("t_n")
     cxy = F.col("t_sxy") - F.col("t_sx") * F.col("t_sy") / F.col("t_n")
-    b = cxy / (cxx + F.col("lambda"))
+    b = F.try_divide(cxy, cxx + F.col("lambda"))
     a = (F.col("t_sy") - b * F.col("t_sx")) / F.col("t_n")
     g = g.withColumn("b", b).withColumn("a", a)
     sse = (F.col("syy") - 2 * F.col("a") * F.col("sy") - 2 * F.col("b") * F.col("sxy")
            + F.col("n") * F.col("a") * F.col("a") + 2 * F.col("a") * F.col("b") * F.col("sx")
            + F.col("b") * F.col("b") * F.col("sxx"))
-    return (g.withColumn("mse", sse / F.col("n")).groupBy("trial", "lambda")
+    return (g.withColumn("mse", F.coalesce(sse / F.col("n"), F.lit(float("inf")))).groupBy("trial", "lambda")
             .agg(F.avg("mse").alias("avg_mse")))
 
 

@@ -23,15 +23,18 @@ class KeyViolation(ValueError):
     """Primary key has nulls or duplicates."""
 
 
+def offending_keys(df: DataFrame, keys) -> DataFrame:
+    """Every key that is null in part or occurs more than once, with its row
+    count ``_n`` (one grouped pass; a null key is a group of its own)."""
+    any_null = " OR ".join(f"`{k}` IS NULL" for k in keys)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(f"_n > 1 OR {any_null}")
+
+
 def check_keys(df: DataFrame, keys) -> None:
-    """Raise ``KeyViolation`` unless ``keys`` are non-null and unique.
-    Duplicates are found with a grouped count (partial aggregation), and
-    at most ``REPORT_LIMIT`` examples are returned to the driver."""
+    """Raise ``KeyViolation`` unless ``keys`` are non-null and unique. The
+    message quotes a few keys; ``offending_keys`` has all of them."""
     keys = list(keys)
-    any_null = " OR ".join(f"`{k}` IS NULL" for k in keys)
-    # one grouped pass finds both: a null key is a group of its own
-    bad = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(f"_n > 1 OR {any_null}").limit(REPORT_LIMIT).collect())
+    bad = offending_keys(df, keys).limit(REPORT_LIMIT).collect()
     if any(any(r[k] is None for k in keys) for r in bad):
         raise KeyViolation(f"primary key {keys} has null values")
     if bad:
@@ -107,12 +110,15 @@ def merge(spark: SparkSession, root: str, df: DataFrame, ts: _dt.datetime | None
 
 
 def drop_features(spark: SparkSession, root: str, cols, ts: _dt.datetime | None = None) -> int:
-    """new version without ``cols``; key columns are refused. Older
-    versions keep the columns (readable with ``read(as_of=...)``)."""
-    keys = V.read_meta(spark, root)["primary_keys"]
-    bad = [c for c in cols if c in keys]
-    if bad:
-        raise KeyViolation(f"cannot drop key columns {bad}")
+    """new version without ``cols``; key, partition and clustering columns
+    are refused. Older versions keep the columns (readable with
+    ``read(as_of=...)``)."""
+    meta = V.read_meta(spark, root)
+    for what, names in (("key", meta["primary_keys"]), ("partition", meta.get("partition_by") or []),
+                        ("clustering", meta.get("cluster_by") or [])):
+        bad = [c for c in cols if c in names]
+        if bad:
+            raise KeyViolation(f"cannot drop {what} columns {bad}")
     return V.write_version(read(spark, root).drop(*cols), root, "DROP COLUMNS", ts)
 
 

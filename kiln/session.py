@@ -52,8 +52,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and durable scratch output.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); sets a
-    private one only when the session has none, which is the test case.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only a
+    local master without one gets a private folder; on a cluster that folder
+    would be another one on every machine, so it is an error there.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -63,6 +64,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return conf.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="kiln-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

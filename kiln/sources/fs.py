@@ -33,27 +33,15 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(p, q))
 
 
-def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(path, bytes) of the data files under ``path`` (recursive), skipping
-    hidden and marker files such as ``_SUCCESS`` and ``.crc``."""
+def size_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(file count, total bytes) of the data files under ``path``: one content
+    summary, whatever the number of files."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return []
-    out = []
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if name.startswith("_") or name.startswith("."):
-            continue
-        out.append((st.getPath().toString(), int(st.getLen())))
-    return out
-
-
-def size_of(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(file count, total bytes) of the data files under ``path``."""
-    files = data_files(spark, path)
-    return len(files), sum(b for _, b in files)
+        return 0, 0
+    s = fs.getContentSummary(p)
+    done = fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+    return int(s.getFileCount()) - int(done), int(s.getLength())
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

@@ -34,6 +34,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("n_rows", T.LongType(), False),
     T.StructField("n_files", T.IntegerType(), False),
     T.StructField("n_bytes", T.LongType(), False),
+    T.StructField("schema", T.StringType(), True),
 ])
 EXPIRED_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
@@ -131,14 +132,21 @@ def write_version(df: DataFrame, root: str, operation: str = "WRITE", ts: _dt.da
         segments, n_rows = [seg], new_rows
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    row = (version, ts or _now(), operation, segments, n_rows, files, nbytes)
+    # stored with the version, so that no read has to open every file's footer
+    fields = list(data.schema.fields)
+    if mode == "append" and cur is not None and cur.schema:
+        old = T.StructType.fromJson(json.loads(cur.schema)).fields
+        fields = old + [f for f in fields if f.name not in {o.name for o in old}]
+    row = (version, ts or _now(), operation, segments, n_rows, files, nbytes, T.StructType(fields).json())
     spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
         f"{root}/_manifest")
     return version
 
 
-def _read_segments(spark: SparkSession, segments) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(*segments)
+def _read_segments(spark: SparkSession, row) -> DataFrame:
+    if row.schema:
+        return spark.read.schema(T.StructType.fromJson(json.loads(row.schema))).parquet(*row.segments)
+    return spark.read.option("mergeSchema", "true").parquet(*row.segments)
 
 
 def read_as_of(spark: SparkSession, root: str, ts: _dt.datetime | None = None,
@@ -156,13 +164,13 @@ def read_as_of(spark: SparkSession, root: str, ts: _dt.datetime | None = None,
     row = rows[0]
     if row.version in expired_versions(spark, root):
         raise LookupError(f"version {row.version} of {root} was expired")
-    return _read_segments(spark, row.segments)
+    return _read_segments(spark, row)
 
 
 def history(spark: SparkSession, root: str) -> DataFrame:
     """Version history, newest last."""
     exp = f"{root}/_expired"
-    m = manifest(spark, root)
+    m = manifest(spark, root).drop("schema")
     if fs.exists(spark, exp):
         e = spark.read.schema(EXPIRED_SCHEMA).parquet(exp).select("version", F.lit(True).alias("_x"))
         m = m.join(e, "version", "left")

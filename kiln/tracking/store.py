@@ -2,14 +2,17 @@
 artifacts as append-only Parquet tables (K1-K7).
 
 Each ``log_*`` call appends one small file to one table under the store
-root; nothing is updated in place, so concurrent writers never clash. An
-alias move is an appended row; the newest row per (name, alias) wins.
+root, in a folder of its own, so concurrent appends share no temporary
+files and all land; nothing is updated in place. An alias move is an
+appended row; the newest row per (name, alias) wins. Version numbers are
+read, then written: registering one model name is for one writer at a time.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,17 +48,19 @@ class Store:
         p = self.path(name)
         if not fs.exists(self.spark, p):
             return self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).parquet(p)
+        return self.spark.read.schema(SCHEMAS[name]).option("recursiveFileLookup", "true").parquet(p)
+
+    def _own(self, name: str) -> str:
+        return f"{self.path(name)}/{uuid.uuid4().hex}"
 
     def append(self, name: str, rows: list[tuple]) -> None:
         if rows:
-            (self.spark.createDataFrame(rows, SCHEMAS[name]).coalesce(1)
-             .write.mode("append").parquet(self.path(name)))
+            self.spark.createDataFrame(rows, SCHEMAS[name]).coalesce(1).write.parquet(self._own(name))
 
     def append_df(self, name: str, df: DataFrame) -> None:
         schema = self.spark.createDataFrame([], SCHEMAS[name]).schema
         (df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).coalesce(1)
-         .write.mode("append").parquet(self.path(name)))
+         .write.parquet(self._own(name)))
 
 
 def log_run(store: Store, run_id: str, params: dict | None = None, metrics: dict | None = None,
@@ -148,10 +153,12 @@ def check_signature(df: DataFrame, sig: str) -> None:
 
 
 def input_digest(df: DataFrame) -> DataFrame:
-    """(n_rows, digest): an order-free content digest, the XOR of a 64-bit
-    hash of every row, computed as one partial aggregate."""
+    """(n_rows, digest): an order-free content digest from the XOR and the
+    exact sum of a 64-bit hash of every row (the sum counts repeated rows,
+    which an XOR alone cancels), computed as one partial aggregate."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).alias("digest"))
+                  F.xxhash64(F.bit_xor(h), F.sum(h.cast("decimal(20,0)")).cast("string")).alias("digest"))
 
 
 def log_input(store: Store, run_id: str, df: DataFrame, role: str, source: str) -> None:

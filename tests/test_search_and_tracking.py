@@ -38,9 +38,11 @@ def test_adaptive_search_finds_minimum():
 
 def test_adaptive_search_failure_is_inf():
     def f(p):
-        raise RuntimeError("boom")
-    hist = H.adaptive_search(f, {"x": ("float", 0, 1)}, n=4, startup=2, batch=2)
-    assert all(m == float("inf") for _, m in hist)
+        if p["x"] > 0.4:
+            raise RuntimeError("boom")
+        return p["x"]
+    hist = H.adaptive_search(f, {"x": ("float", 0, 1)}, n=8, startup=4, batch=2)
+    assert all((m == float("inf")) == (p["x"] > 0.4) for p, m in hist)
 
 
 def test_register_resolve_and_alias_move(spark):
@@ -90,3 +92,18 @@ def test_tvs_library_and_key_split_paths(spark, sf):
     assert [(r.trial, r.regParam) for r in a] == [(r.trial, r.regParam) for r in b]
     assert all(abs(x.rmse - y.rmse) <= 1e-9 + 1e-9 * abs(y.rmse) for x, y in zip(a, b))
     assert keyed.best_model.transform(part).count() == part.count()
+
+
+def test_concurrent_appends_all_land(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    st = K.Store(spark, scratch_path(spark, "t-par"))
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda i: K.log_run(st, f"r{i}", {"a": i}, {"m": i}), range(8)))
+    assert st.table("runs").count() == st.table("params").count() == st.table("metrics").count() == 8
+
+
+def test_digest_sees_repeated_rows(spark):
+    a = spark.createDataFrame([(1,), (2,), (2,), (2,)], "x int")
+    b = spark.createDataFrame([(1,), (1,), (1,), (2,)], "x int")
+    assert K.input_digest(a).first() != K.input_digest(b).first()
+    assert K.input_digest(a).first() == K.input_digest(a.repartition(3)).first()
