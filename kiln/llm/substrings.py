@@ -173,10 +173,10 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_runs:
     per_doc = inner.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n", "sig", "times")).alias("runs"))
 
     def send(batches):
-        for pdf in batches:
+        for batch in batches:
             sent: dict = {}
             done: dict = {}
-            for k1, k2, text, mine in zip(pdf["k1"], pdf["k2"], pdf["text"], pdf["runs"]):
+            for k1, k2, text, mine in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "text", "runs"))):
                 words = text.encode().split()
                 for r in mine:
                     start, n, sig = r["start"], r["n"], r["sig"]
@@ -202,8 +202,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_runs:
             out += [(sig, sub, own, size, times, k1, k2, at, 0)
                     for (sig, sub, own), (size, times, k1, k2, at) in sent.items()]
             for i in range(0, len(out), 5000):
-                yield pd.DataFrame(out[i:i + 5000],
-                                   columns=["sig", "sub", "words", "n", "weight", "k1", "k2", "start", "stop"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i:i + 5000]), sent_types)],
+                                                 sent_names)
 
     def trees(batches):
         def rows():
@@ -233,9 +233,12 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_runs:
         while ready:
             yield ready.pop()
 
+    sent_names = ["sig", "sub", "words", "n", "weight", "k1", "k2", "start", "stop"]
+    sent_types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select("k1", "k2", "text").join(per_doc, ["k1", "k2"])
-    return (texts.mapInPandas(send, SENT).repartition(parts, "sig", "sub").sortWithinPartitions("sig", "sub")
+    # all columns of docs go in, as in the join that ends the removal, so that both read one exchange
+    texts = docs.join(per_doc, ["k1", "k2"])
+    return (texts.mapInArrow(send, SENT).repartition(parts, "sig", "sub").sortWithinPartitions("sig", "sub")
             .mapInPandas(trees, "k1 long, k2 long, start int, stop int"))
 
 
@@ -257,16 +260,18 @@ def _kept(text: str, ranges) -> tuple[str, int, int]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    carry: list[str] | None = None) -> DataFrame:
     """Rows ``(doc, text, n_words, n_removed)``: ``doc`` a struct of the input
-    columns (or those in ``carry``), ``text`` without the words that a repeated
-    window covers. Stretches between removed passages keep their white space
+    columns but the text (or those in ``carry``), ``text`` without the words
+    that a repeated window covers (null: empty). Stretches between removed passages keep their white space
     and are joined by one space; a text that loses nothing stays as it is."""
     if window < 1:
         raise ValueError("the window must hold a word at least")
-    cols = [F.col(f"`{c}`") for c in (carry if carry is not None else docs.columns)]
+    cols = [F.col(f"`{c}`") for c in (carry if carry is not None else [c for c in docs.columns if c != text_col])]
+    cols = cols or [F.lit(None).cast("boolean").alias("none")]
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = docs.select(F.struct(*cols).alias("doc"), text.alias("text"),
                         F.xxhash64(text, F.col(id_col).cast("string")).alias("k1"),
                         F.xxhash64(F.lit(7), F.col(id_col).cast("string"), text).alias("k2"))
+    named = named.select("doc", "text", "k1", "k2")
     found = repeats(named, window).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     kind = dict(named.dtypes)["doc"]
 
