@@ -101,25 +101,54 @@ def merge_frames(current: DataFrame, incoming: DataFrame, keys) -> DataFrame:
     return j.select(*keys, *out)
 
 
+def touched_segments(spark: SparkSession, row, df: DataFrame, keys) -> list[str]:
+    """Segments of a version that hold a key of ``df``: a semi-join of the key
+    columns; one name per segment comes back."""
+    keys = list(keys)
+    out = []
+    stored = V.segments_of(spark, row, row.segments).select(*keys, F.col("_metadata.file_path").alias("_file"))
+    hit = stored.join(df.select(*keys), keys, "left_semi").select(
+        F.regexp_extract("_file", r"/(seg-[0-9]+-[0-9a-f]+)/", 1).alias("_seg")).distinct()
+    names = {r["_seg"] for r in hit.collect()}
+    for x in row.segments:
+        if x.rstrip("/").rsplit("/", 1)[-1] in names:
+            out.append(x)
+    return out
+
+
 def merge(spark: SparkSession, root: str, df: DataFrame, ts: _dt.datetime | None = None) -> int:
-    """write a new version = current upserted with ``df``."""
-    keys = V.read_meta(spark, root)["primary_keys"]
+    """write a new version = current upserted with ``df``. Only the
+    segments that hold one of its keys are rewritten (with the new rows); the
+    others stay as they are."""
+    meta = V.read_meta(spark, root)
+    keys = meta["primary_keys"]
     check_keys(df, keys)
-    merged = merge_frames(read(spark, root), df, keys)
-    return V.write_version(merged, root, "MERGE", ts)
+    cur = V.latest(spark, root)
+    if set(meta.get("dropped") or []) & set(df.columns):
+        hit = list(cur.segments)      # old files still hold a dropped column of this name
+        meta["dropped"] = []
+        V.write_meta(spark, root, meta)
+    else:
+        hit = touched_segments(spark, cur, df, keys)
+    schema = read(spark, root).schema
+    old = V.segments_of(spark, cur, hit) if hit else spark.createDataFrame([], schema)
+    return V.write_version(merge_frames(old, df, keys), root, "MERGE", ts, keep=[x for x in cur.segments if x not in hit])
 
 
 def drop_features(spark: SparkSession, root: str, cols, ts: _dt.datetime | None = None) -> int:
     """new version without ``cols``; key, partition and clustering columns
-    are refused. Older versions keep the columns (readable with
-    ``read(as_of=...)``)."""
+    are refused. No data is written: the version shows fewer columns. Older
+    versions keep them (readable with ``read(as_of=...)``)."""
     meta = V.read_meta(spark, root)
     for what, names in (("key", meta["primary_keys"]), ("partition", meta.get("partition_by") or []),
                         ("clustering", meta.get("cluster_by") or [])):
         bad = [c for c in cols if c in names]
         if bad:
             raise KeyViolation(f"cannot drop {what} columns {bad}")
-    return V.write_version(read(spark, root).drop(*cols), root, "DROP COLUMNS", ts)
+    schema = StructType([f for f in read(spark, root).schema.fields if f.name not in set(cols)])
+    meta["dropped"] = sorted({*(meta.get("dropped") or []), *cols})
+    V.write_meta(spark, root, meta)
+    return V.write_schema(spark, root, schema, "DROP COLUMNS", ts)
 
 
 def convert(df: DataFrame, root: str, keys, ts: _dt.datetime | None = None, description: str = "") -> int:

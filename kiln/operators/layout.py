@@ -12,6 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kiln.functions.exprs import bucket_by_cuts, interleave_bits
 from kiln.sources import fs
@@ -31,19 +32,38 @@ def _n_files(nbytes: int, target_bytes: int) -> int:
 
 def compact(spark: SparkSession, root: str, target_bytes: int = DEFAULT_TARGET_BYTES,
             ts: _dt.datetime | None = None) -> int:
-    """Rewrite the current version into files of about ``target_bytes``.
-    ``coalesce`` merges input splits without a shuffle; a clustered table
-    is re-clustered instead (range partitions keep files narrow)."""
+    """Rewrite the segments whose files are small (under half of
+    ``target_bytes`` on average) into files of about that size; others stay.
+    ``coalesce`` merges input splits without a shuffle; a clustered table is
+    re-clustered, and a partitioned one is dealt by its partition columns, so
+    that each partition gets few files."""
     cur = V.latest(spark, root)
     meta = V.read_meta(spark, root)
-    df = V.read_as_of(spark, root)
-    n = _n_files(cur.n_bytes, target_bytes)
-    keys = meta.get("cluster_by") or []
-    if keys:
-        out = V.range_layout(df, keys, n)
+    small, nbytes = [], 0
+    for seg in cur.segments:
+        files, size = fs.size_of(spark, seg)
+        if files > 1 and size < files * target_bytes / 2 or files == 1 and size < target_bytes / 2:
+            small.append(seg)
+            nbytes += size
+    if len(small) == 1 and fs.size_of(spark, small[0])[0] == 1:
+        small = []                                      # one small file is as good as it gets
+    if not small:
+        return cur.version
+    df = V.segments_of(spark, cur, small)
+    n = _n_files(nbytes, target_bytes)
+    parts = meta.get("partition_by") or []
+    if meta.get("cluster_by"):
+        out = V.range_layout(df, meta["cluster_by"], n)
+    elif parts:
+        # n tasks share the partitions; a partition larger than a task's share spans several
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(max(1, n)))
+        sizes = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("_k"))
+        share = F.greatest(F.lit(1), F.ceil(F.col("_k") * n / F.lit(max(1, df.count()))))
+        out = (df.join(sizes, parts).withColumn("_s", F.pmod(salt, share)).repartition(n, *parts, "_s").drop("_k", "_s")
+               .select(*df.columns))
     else:
         out = df.coalesce(n)
-    return V.write_version(out, root, "OPTIMIZE", ts, prepared=True)
+    return V.write_version(out, root, "OPTIMIZE", ts, prepared=True, keep=[x for x in cur.segments if x not in small])
 
 
 def expire(spark: SparkSession, root: str, hours: float = MIN_RETENTION_HOURS,
@@ -92,11 +112,31 @@ def _norm(path: str) -> str:
     return p
 
 
-def z_value(cols, cuts: dict, bits: int | None = None) -> Column:
+def z_value(cols, cuts: dict, bits: int | None = None, equal: bool = False) -> Column:
     """Z-order value from fixed cut points per column: the bucket of each
-    column (number of its cuts <= value) with bits interleaved."""
+    column (number of its cuts <= value) with bits interleaved. With
+    ``equal`` the buckets of every column are spread over the same ``bits``,
+    so a column with few values does not lose its share of the high bits."""
     bits = bits or max(1, max(math.ceil(math.log2(len(cuts[c]) + 1)) for c in cols))
-    return interleave_bits([bucket_by_cuts(c, cuts[c]) for c in cols], bits)
+    buckets = [bucket_by_cuts(c, cuts[c]) for c in cols]
+    if equal:
+        top = 2 ** bits - 1
+        buckets = [F.floor(b * F.lit(top) / F.lit(max(1, len(set(cuts[c]))))) for b, c in zip(buckets, cols)]
+    return interleave_bits([F.coalesce(b, F.lit(0)) for b in buckets] if equal else buckets, bits)
+
+
+def sort_key(df: DataFrame, c: str) -> Column:
+    """A double that orders like the column: numbers as they are, dates and
+    times by their seconds, text by its first six bytes."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, T.DateType):
+        return F.datediff(F.col(c), F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        raw = F.hex(F.substring(F.col(c).cast("binary"), 1, 6))
+        return F.conv(F.rpad(raw, 12, "0"), 16, 10).cast("double")
+    return F.col(c).cast("double")
 
 
 def zorder_cuts(df: DataFrame, cols, bits: int = 8, rel_err: float = 0.001) -> dict:
@@ -110,18 +150,19 @@ def zorder_cuts(df: DataFrame, cols, bits: int = 8, rel_err: float = 0.001) -> d
 
 def zorder(spark: SparkSession, root: str, cols, bits: int = 8, target_bytes: int = DEFAULT_TARGET_BYTES,
            ts: _dt.datetime | None = None) -> int:
-    """Rewrite so rows close in all of ``cols`` share files: range
-    partitions on the z-value, sorted inside. Y5: refused on a clustered
+    """Rewrite so rows close in all of ``cols`` (numbers, dates, times or
+    text) share files: range partitions on the z-value, sorted inside. Y5: refused on a clustered
     table."""
     meta = V.read_meta(spark, root)
     if meta.get("cluster_by"):
         raise LayoutError("z-order is not allowed on a table with clustering keys")
     cur = V.latest(spark, root)
     df = V.read_as_of(spark, root)
-    cuts = zorder_cuts(df, cols, bits)
-    z = z_value(cols, cuts, bits)
+    keyed = df.select("*", *[sort_key(df, c).alias(f"_z{i}") for i, c in enumerate(cols)])
+    names = [f"_z{i}" for i in range(len(cols))]
+    z = z_value(names, zorder_cuts(keyed.select(*names), names, bits), bits, equal=True)
     n = _n_files(cur.n_bytes, target_bytes)
-    out = V.range_layout(df.withColumn("_z", z), ["_z"], n).drop("_z")
+    out = V.range_layout(keyed.withColumn("_z", z), ["_z"], n).drop("_z", *names)
     return V.write_version(out, root, "ZORDER", ts, prepared=True)
 
 

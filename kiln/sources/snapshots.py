@@ -110,12 +110,15 @@ def range_layout(df: DataFrame, keys, n: int | None = None) -> DataFrame:
 
 
 def write_version(df: DataFrame, root: str, operation: str = "WRITE", ts: _dt.datetime | None = None,
-                  mode: str = "overwrite", partition_by=(), prepared: bool = False) -> int:
+                  mode: str = "overwrite", partition_by=(), prepared: bool = False, keep=None) -> int:
     """Write ``df`` as the next version of the table at ``root``.
 
     ``mode="append"`` adds a segment to the current version's segments,
-    ``"overwrite"`` replaces them. Returns the new version number.
+    ``"overwrite"`` replaces them (but for those in ``keep``, which stay as
+    they are). Returns the new version number.
     """
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"unknown mode {mode!r}")
     spark = df.sparkSession
     meta = read_meta(spark, root)
     cur = latest(spark, root)
@@ -123,30 +126,43 @@ def write_version(df: DataFrame, root: str, operation: str = "WRITE", ts: _dt.da
     data = df if prepared else _cluster(df, meta)
     seg, new_rows = _write_segment(data, root, version, partition_by or meta.get("partition_by", ()))
     files, nbytes = fs.size_of(spark, seg)
-    if mode == "append" and cur is not None:
-        segments = list(cur.segments) + [seg]
-        n_rows = cur.n_rows + new_rows
-        files += cur.n_files
-        nbytes += cur.n_bytes
-    elif mode in ("append", "overwrite"):
-        segments, n_rows = [seg], new_rows
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
+    old = [] if cur is None else list(cur.segments) if mode == "append" else [x for x in cur.segments if x in set(keep or ())]
+    n_rows = new_rows
+    if old and len(old) == len(cur.segments):
+        n_rows, files, nbytes = n_rows + cur.n_rows, files + cur.n_files, nbytes + cur.n_bytes
+    elif old:
+        n_rows += segments_of(spark, cur, old).count()          # from the files' footers
+        for x in old:
+            f, b = fs.size_of(spark, x)
+            files, nbytes = files + f, nbytes + b
     # stored with the version, so that no read has to open every file's footer
     fields = list(data.schema.fields)
-    if mode == "append" and cur is not None and cur.schema:
-        old = T.StructType.fromJson(json.loads(cur.schema)).fields
-        fields = old + [f for f in fields if f.name not in {o.name for o in old}]
-    row = (version, ts or _now(), operation, segments, n_rows, files, nbytes, T.StructType(fields).json())
-    spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
-        f"{root}/_manifest")
+    if mode == "append" and old and cur.schema:
+        known = T.StructType.fromJson(json.loads(cur.schema)).fields
+        fields = known + [f for f in fields if f.name not in {o.name for o in known}]
+    _add_row(spark, root, (version, ts or _now(), operation, [*old, seg], n_rows, files, nbytes, T.StructType(fields).json()))
     return version
 
 
-def _read_segments(spark: SparkSession, row) -> DataFrame:
-    if row.schema:
-        return spark.read.schema(T.StructType.fromJson(json.loads(row.schema))).parquet(*row.segments)
-    return spark.read.option("mergeSchema", "true").parquet(*row.segments)
+def _add_row(spark: SparkSession, root: str, row: tuple) -> None:
+    spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_manifest")
+
+
+def write_schema(spark: SparkSession, root: str, schema: T.StructType, operation: str,
+                 ts: _dt.datetime | None = None) -> int:
+    """A new version of the same segments that shows other columns; no data
+    is written."""
+    cur = latest(spark, root)
+    _add_row(spark, root, (cur.version + 1, ts or _now(), operation, list(cur.segments), cur.n_rows, cur.n_files,
+                           cur.n_bytes, schema.json()))
+    return cur.version + 1
+
+
+def segments_of(spark: SparkSession, row, segments) -> DataFrame:
+    """Rows of some segments of a version, with the version's columns."""
+    schema = T.StructType.fromJson(json.loads(row.schema)) if row.schema else None
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
+    return reader.parquet(*segments)
 
 
 def read_as_of(spark: SparkSession, root: str, ts: _dt.datetime | None = None,
@@ -164,7 +180,7 @@ def read_as_of(spark: SparkSession, root: str, ts: _dt.datetime | None = None,
     row = rows[0]
     if row.version in expired_versions(spark, root):
         raise LookupError(f"version {row.version} of {root} was expired")
-    return _read_segments(spark, row)
+    return segments_of(spark, row, row.segments)
 
 
 def history(spark: SparkSession, root: str) -> DataFrame:
