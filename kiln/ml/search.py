@@ -6,6 +6,7 @@ aggregate; the driver only proposes parameters and keeps the trial table
 from __future__ import annotations
 
 import itertools
+import json
 import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -103,13 +104,16 @@ def tvs_search(df: DataFrame, stages, stage, grid: dict, label: str, metric: str
         metrics, best_model = model.validationMetrics, model.bestModel
     else:
         from kiln.operators.relational import split
-        train, valid = split(df, key, ratio, seed)
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            metrics = list(pool.map(lambda m: ev.evaluate(pipe.fit(train, m).transform(valid)), maps))
-        best_model = None
-    i, best = _best(maps, metrics, ev.isLargerBetter())
-    if best_model is None:
-        best_model = pipe.fit(train, maps[i])
+        # read once, whatever the number of grid points
+        train, valid = (part.persist() for part in split(df, key, ratio, seed))
+        try:
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                metrics = list(pool.map(lambda m: ev.evaluate(pipe.fit(train, m).transform(valid)), maps))
+            best_model = pipe.fit(train, maps[_best(maps, metrics, ev.isLargerBetter())[0]])
+        finally:
+            train.unpersist()
+            valid.unpersist()
+    _, best = _best(maps, metrics, ev.isLargerBetter())
     trials = _trial_frame(df.sparkSession, stage, maps, metrics, metric)
     return SearchResult(best_model, best, trials)
 
@@ -177,28 +181,57 @@ def _parzen(x: np.ndarray, pts: np.ndarray, bw: float) -> np.ndarray:
     return np.exp(-0.5 * d.sum(-1)).mean(1) + 1e-12
 
 
+def _decode(space: dict, u) -> dict:
+    """Parameters of a point of the unit cube."""
+    out = {}
+    for k, (name, (kind, lo, hi)) in enumerate(space.items()):
+        v = _draw(kind, lo, hi, np.clip(u[k], 0, 1 - 1e-12))
+        out[name] = int(v) if kind in ("int", "logint") else float(v)
+    return out
+
+
+def _propose(rng, space: dict, hist: list[tuple[dict, float]], k: int, gamma: float, candidates: int) -> list[dict]:
+    """The ``k`` candidates with the best ratio of a kernel density over the
+    good trials (best ``gamma`` share) to one over the rest."""
+    names = list(space)
+    unit = np.array([[_to_unit(*space[nm], p[nm]) for nm in names] for p, _ in hist])
+    order = np.argsort(np.array([m for _, m in hist]))
+    n_good = max(1, int(math.ceil(gamma * len(hist))))
+    good, bad = unit[order[:n_good]], unit[order[n_good:]]
+    bw = max(0.05, 0.5 * len(hist) ** (-1.0 / (len(names) + 4)))
+    centres = good[rng.integers(0, len(good), candidates)]
+    cand = np.clip(centres + rng.normal(0, bw, centres.shape), 0, 1 - 1e-12)
+    ratio = _parzen(cand, good, bw) / (_parzen(cand, bad, bw) if len(bad) else 1.0)
+    return [_decode(space, cand[i]) for i in np.argsort(-ratio)[:k]]
+
+
+def _arms(rng, arms: list, hist: list[tuple[dict, float]], k: int, gamma: float) -> list:
+    """Models for the next ``k`` trials, drawn in proportion to how often each
+    is among the good trials rather than the rest."""
+    order = sorted(hist, key=lambda h: h[1])
+    n_good = max(1, int(math.ceil(gamma * len(hist))))
+    good, bad = ([p["model"] for p, _ in part] for part in (order[:n_good], order[n_good:]))
+    w = np.array([(good.count(a) + 1) / (bad.count(a) + 1) for a in arms])
+    return [arms[i] for i in rng.choice(len(arms), k, p=w / w.sum())]
+
+
 def adaptive_search(fit_eval, space: dict, n: int, startup: int = 3, batch: int = 4, seed: int = 123,
                     gamma: float = 0.25, candidates: int = 64, spark: SparkSession | None = None):
     """H6/H7: sequential model-based search. The first ``startup`` trials are
-    random; after that, each batch is the candidates with the best ratio of
-    a kernel density over the good trials (best ``gamma`` share) to one over
-    the rest. ``fit_eval(params) -> metric`` (lower is better) runs a Spark
-    fit; a batch runs in parallel threads. A failing trial scores inf and its
-    message is kept in ``error``; if all fail, the last error is raised.
-    Returns the trial table as a DataFrame (or a list of (parameters, metric)
-    without ``spark``)."""
-    names = list(space)
+    random; after that, each batch is proposed from a kernel density over the
+    good trials against one over the rest. In a conditional space (``{"model":
+    {name: space, ...}}``) the model is drawn first, by its share among the
+    good trials, then its own parameters from its own trials (random while it
+    has fewer than ``startup``); every parameter set then names its ``model``.
+
+    ``fit_eval(params) -> metric`` (lower is better) runs a Spark fit; a batch
+    runs in parallel threads. A failing trial scores inf and its message is
+    kept in ``error``; if all fail, the last error is raised. Returns the
+    trial table as a DataFrame (or a list of (parameters, metric) without
+    ``spark``)."""
+    models = space["model"] if isinstance(space.get("model"), dict) else None
     rng = np.random.default_rng(seed)
     hist: list[tuple[dict, float]] = []
-
-    def decode(u):
-        out = {}
-        for k, name in enumerate(names):
-            kind, lo, hi = space[name]
-            v = _draw(kind, lo, hi, np.clip(u[k], 0, 1 - 1e-12))
-            out[name] = int(v) if kind in ("int", "logint") else float(v)
-        return out
-
     errors: list[BaseException | None] = []
 
     def run(params):
@@ -207,23 +240,32 @@ def adaptive_search(fit_eval, space: dict, n: int, startup: int = 3, batch: int
         except Exception as e:  # noqa: BLE001 - a failed trial is recorded, not fatal
             return float("inf"), e
 
+    def random_params(own):
+        return _decode(own, rng.random(len(own)))
+
+    def proposals(k):
+        first = len(hist) < startup
+        if models is None:
+            return [random_params(space) for _ in range(k)] if first else _propose(rng, space, hist, k, gamma, candidates)
+        names = list(models)
+        chosen = [names[(len(hist) + i) % len(names)] for i in range(k)] if first else _arms(rng, names, hist, k, gamma)
+        out = []
+        for name in names:
+            count = chosen.count(name)
+            mine = [(p, m) for p, m in hist if p["model"] == name]
+            if not count:
+                continue
+            made = ([random_params(models[name]) for _ in range(count)] if len(mine) < startup or not models[name]
+                    else _propose(rng, models[name], mine, count, gamma, candidates))
+            out += [{"model": name, **p} for p in made]
+        return out
+
     with ThreadPoolExecutor(max_workers=batch) as pool:
         while len(hist) < n:
             k = min(batch, n - len(hist))
             if len(hist) < startup:
                 k = min(k, startup - len(hist))
-                props = [decode(rng.random(len(names))) for _ in range(k)]
-            else:
-                unit = np.array([[_to_unit(*space[nm], p[nm]) for nm in names] for p, _ in hist])
-                score = np.array([m for _, m in hist])
-                order = np.argsort(score)
-                n_good = max(1, int(math.ceil(gamma * len(hist))))
-                good, bad = unit[order[:n_good]], unit[order[n_good:]]
-                bw = max(0.05, 0.5 * len(hist) ** (-1.0 / (len(names) + 4)))
-                centres = good[rng.integers(0, len(good), candidates)]
-                cand = np.clip(centres + rng.normal(0, bw, centres.shape), 0, 1 - 1e-12)
-                ratio = _parzen(cand, good, bw) / (_parzen(cand, bad, bw) if len(bad) else 1.0)
-                props = [decode(cand[i]) for i in np.argsort(-ratio)[:k]]
+            props = proposals(k)
             done = list(pool.map(run, props))
             hist.extend((p, m) for p, (m, _) in zip(props, done))
             errors.extend(e for _, e in done)
@@ -231,14 +273,46 @@ def adaptive_search(fit_eval, space: dict, n: int, startup: int = 3, batch: int
         raise errors[-1]
     if spark is None:
         return hist
-    rows = [(i, *[float(p[nm]) for nm in names], m, None if e is None else f"{type(e).__name__}: {e}"[:500])
-            for i, ((p, m), e) in enumerate(zip(hist, errors))]
-    schema = T.StructType([T.StructField("trial", T.IntegerType())]
+    names = list(dict.fromkeys(nm for own in models.values() for nm in own)) if models else list(space)
+    lead = [T.StructField("model", T.StringType())] if models else []
+    rows = [(i, *([p["model"]] if models else []), *[float(p[nm]) if nm in p else None for nm in names], m,
+             None if e is None else f"{type(e).__name__}: {e}"[:500]) for i, ((p, m), e) in enumerate(zip(hist, errors))]
+    schema = T.StructType([T.StructField("trial", T.IntegerType()), *lead]
                           + [T.StructField(nm, T.DoubleType()) for nm in names]
                           + [T.StructField("metric", T.DoubleType()), T.StructField("error", T.StringType())])
     return spark.createDataFrame(rows, schema)
 
 
+def sweep(df: DataFrame, trials: list[dict], stages_of, label: str, metric: str = "rmse", fold: str = "fold",
+          parallelism: int = 4) -> DataFrame:
+    """H8 for any Spark estimator: cross-validate ``stages_of(params)`` over the
+    folds in ``df`` for each parameter set. Returns (trial, params (JSON),
+    avg_metric, error); a failing trial has no metric and keeps its message,
+    and if all fail, the last error is raised."""
+    folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect() if r[0] is not None]   # k values
+    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
+    df = df.persist()
+
+    def run(params):
+        try:
+            scores = [ev.evaluate(Pipeline(stages=list(stages_of(params))).fit(df.filter(F.col(fold) != f))
+                                  .transform(df.filter(F.col(fold) == f))) for f in folds]
+            return float(np.mean(scores)), None
+        except Exception as e:  # noqa: BLE001 - a failed trial is recorded, not fatal
+            return None, e
+
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            done = list(pool.map(run, trials))
+    finally:
+        df.unpersist()
+    if done and all(e for _, e in done):
+        raise done[-1][1]
+    rows = [(i, json.dumps(p, sort_keys=True), m, None if e is None else f"{type(e).__name__}: {e}"[:500])
+            for i, (p, (m, e)) in enumerate(zip(trials, done))]
+    return df.sparkSession.createDataFrame(rows, f"trial int, params string, avg_{metric} double, error string")
+
+
 def _fold_sums(df: DataFrame, xs: list[str], y: str, fold: str) -> DataFrame:
     """One row per fold: n, and sums of x_i, y, x_i*x_j, x_i*y and y*y of the
     rows without nulls, all about the overall means (a large offset in the

@@ -103,7 +103,7 @@ def trial_table(spark, sf):
 
 @query("adaptive_search")
 def adaptive_search(spark, sf):
-    """H6/H7: 10 trials, 3 random, then density-ratio proposals in batches of 4."""
+    """H6: 30 trials, 3 random, then density-ratio proposals in batches of 4."""
     part = table(spark, sf, "part")
     train, test = R.split(part, "p_partkey", 0.8, 42)
     train, test = train.cache(), test.cache()
@@ -117,7 +117,7 @@ def adaptive_search(spark, sf):
     space = {"regParam": ("float", 0.0, 2.0), "elasticNetParam": ("float", 0.0, 1.0)}
     try:
         # the trial table is built from the metrics, not from the cached frames
-        return H.adaptive_search(fit_eval, space, n=10, startup=3, batch=4, seed=123, spark=spark)
+        return H.adaptive_search(fit_eval, space, n=30, startup=3, batch=4, seed=123, spark=spark)
     finally:
         train.unpersist()
         test.unpersist()
@@ -180,3 +180,49 @@ def refit_best(spark, sf):
     cmp = E.compare({"tuned": L.score(tuned, test), "untuned": L.score(untuned, test)}, "p_retailprice")
     return cmp.select("model", rnd("rmse").alias("rmse"), rnd("r2").alias("r2"), rnd("mse", 4).alias("mse"),
                       rnd("mae").alias("mae"), "n")
+
+
+def _tree_stages(kind, **params):
+    return [M.assembler(["p_partkey", "p_size"], "features"), L.estimator(kind, "features", "p_retailprice", **params)]
+
+
+def _searched(spark, sf, stages_of, space, n):
+    """A search on the training rows, scored on the test rows."""
+    train, test = R.split(table(spark, sf, "part"), "p_partkey", 0.8, 42)
+    train, test = train.cache(), test.cache()
+
+    def fit_eval(p):
+        model = L.fit_pipeline(train, stages_of(p))
+        return E.eval_regression(L.score(model, test), "p_retailprice").first()["rmse"]
+
+    try:
+        return H.adaptive_search(fit_eval, space, n=n, startup=4, batch=4, seed=7, spark=spark)
+    finally:
+        train.unpersist()
+        test.unpersist()
+
+
+CONDITIONAL = {"model": {"linear": {"regParam": ("float", 0.0, 2.0), "elasticNetParam": ("float", 0.0, 1.0)},
+                         "tree": {"maxDepth": ("int", 2, 10), "minInstancesPerNode": ("logint", 1, 64)}}}
+
+
+@query("model_search")
+def model_search(spark, sf):
+    """H5/H6: the model and its own parameters are searched together."""
+    return _searched(spark, sf, lambda p: _tree_stages(p["model"], **{k: v for k, v in p.items() if k != "model"}),
+                     CONDITIONAL, 16)
+
+
+@query("int_search")
+def int_search(spark, sf):
+    """H7: 20 trials of integer parameters of a tree of limited depth."""
+    return _searched(spark, sf, lambda p: _tree_stages("tree", maxDepth=5, **p),
+                     {"minInstancesPerNode": ("int", 10, 200), "maxBins": ("int", 2, 32)}, 20)
+
+
+@query("forest_sweep")
+def forest_sweep(spark, sf):
+    """H8/H2 over a forest: a grid of tree counts and depths, cross-validated."""
+    train, _ = part_folds(spark, sf)
+    grid = [{"numTrees": n, "maxDepth": d} for n in (5, 20) for d in (2, 5)]
+    return H.sweep(train, grid, lambda p: _tree_stages("forest", seed=42, **p), "p_retailprice")

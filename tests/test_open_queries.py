@@ -117,3 +117,35 @@ def test_search_handles_any_parameter(spark, sf):
     stages, lr = search_q.part_stages()
     res = H.cv_search(train, stages, lr, {"solver": ["normal", "l-bfgs"]}, "p_retailprice", "rmse", "fold")
     assert sorted(r.solver for r in res.trials.collect()) == ["l-bfgs", "normal"]
+
+
+def test_conditional_search_tries_every_model(spark, sf):
+    out = E.queries()["model_search"](spark, sf).toPandas()
+    assert len(out) == 16 and set(out.model) == {"linear", "tree"} and out.error.isna().all()
+    lin, tree = out[out.model == "linear"], out[out.model == "tree"]
+    assert lin.maxDepth.isna().all() and tree.regParam.isna().all()
+    assert tree.maxDepth.between(2, 10).all() and (tree.maxDepth % 1 == 0).all()
+
+
+def test_integer_search_stays_in_its_ranges(spark, sf):
+    out = E.queries()["int_search"](spark, sf).toPandas()
+    assert len(out) == 20 and out.error.isna().all()
+    assert out.minInstancesPerNode.between(10, 200).all() and out.maxBins.between(2, 32).all()
+    assert (out.maxBins % 1 == 0).all()
+
+
+def test_forest_sweep(spark, sf):
+    out = E.queries()["forest_sweep"](spark, sf).toPandas()
+    assert len(out) == 4 and out.error.isna().all() and (out.avg_rmse > 0).all()
+
+
+def test_sweep_keeps_errors_and_equals_cross_validation(spark, sf):
+    train, _ = search_q.part_folds(spark, sf)
+    out = H.sweep(train, [{"maxDepth": 3}, {"maxDepth": 99}], lambda p: search_q._tree_stages("tree", **p), "p_retailprice")
+    rows = out.orderBy("trial").collect()
+    assert rows[0].error is None and rows[1].avg_rmse is None and "30" in rows[1].error
+    stages = search_q._tree_stages("tree")
+    cv = H.cv_search(train, stages, stages[1], {"maxDepth": [3]}, "p_retailprice")
+    assert cv.trials.first()["avg_rmse"] == pytest.approx(rows[0].avg_rmse)
+    with pytest.raises(ValueError):
+        H.sweep(train, [{"maxDepth": 99}], lambda p: search_q._tree_stages("tree", **p), "p_retailprice")
