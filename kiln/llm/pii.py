@@ -180,12 +180,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
     if last is None:
         return Selector()
     text = F.coalesce(F.col(text_col), F.lit(""))
-    some = docs.filter(place <= last).select(place.alias("h"), text.alias("text"))
+    # (a repeated id may bring more, hence the limit)
+    # written first: else Spark looks for candidates in every text before it drops those not chosen
+    some = _written(docs.filter(place <= last).select(place.alias("h"), text.alias("text")), "pii-sample").limit(2 * sample_docs).repartition(8)
     spans = some.select("h", _base(F.col("text")).alias("base"), _candidates(F.col("text")).alias("cands"))
     rows = spans.select("h", "base", F.explode("cands").alias("c")).select(
         F.pmod("h", F.lit(2)).alias("half"), F.col("c.kind").alias("kind"), F.col("c.f").alias("f"),
         F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & _touches(b, F.col("c"))).cast("double").alias("label"))
-    table = _written(rows.coalesce(4), "pii-candidates")
+    table = _written(rows, "pii-candidates")
     train = table.filter("half = 0").select("label", array_to_vector("f").alias("features"))
     counts = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
