@@ -121,7 +121,8 @@ def code_pairs(codes: DataFrame, bits: int, radius: int) -> DataFrame:
     first = F.lit(True)
     for t, (m, (_, r, _)) in enumerate(zip(masks, made)):
         first = first & ((F.col("t") <= t) | (F.bit_count(differ.bitwiseAND(m)) > r))
-    return (left.join(right, ["label", "t", "key"]).filter((F.col("a") < F.col("b")) & (F.bit_count(differ) <= radius) & first)
+    # Spark takes an exploded table for as small as its source: never broadcast it
+    return (left.hint("merge").join(right, ["label", "t", "key"]).filter((F.col("a") < F.col("b")) & (F.bit_count(differ) <= radius) & first)
             .select("label", "a", "b"))
 
 
