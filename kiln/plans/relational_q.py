@@ -74,21 +74,21 @@ def drop_if_exists(spark, sf):
 
 
 @query("bin_two", """
-SELECT c_custkey, CASE WHEN c_acctbal >= 5000 THEN 'long' ELSE 'short' END AS c_acctbal_group
+SELECT c_custkey, CASE WHEN c_acctbal >= 4000 THEN 'high' ELSE 'low' END AS balance_band
 FROM customer""")
 def bin_two(spark, sf):
-    c = R.bin_by(table(spark, sf, "customer"), "c_acctbal", [5000], ["short", "long"], "c_acctbal_group")
-    return c.select("c_custkey", "c_acctbal_group")
+    c = R.bin_by(table(spark, sf, "customer"), "c_acctbal", [4000], ["low", "high"], "balance_band")
+    return c.select("c_custkey", "balance_band")
 
 
 @query("bin_three", """
-SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'short' WHEN c_acctbal < 5000 THEN 'mid'
-       ELSE 'long' END AS c_acctbal_group
+SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'low' WHEN c_acctbal < 4000 THEN 'mid'
+       ELSE 'high' END AS balance_band
 FROM customer""")
 def bin_three(spark, sf):
-    c = R.bin_by(table(spark, sf, "customer"), "c_acctbal", [0, 5000], ["short", "mid", "long"],
-                 "c_acctbal_group")
-    return c.select("c_custkey", "c_acctbal_group")
+    c = R.bin_by(table(spark, sf, "customer"), "c_acctbal", [0, 4000], ["low", "mid", "high"],
+                 "balance_band")
+    return c.select("c_custkey", "balance_band")
 
 
 @query("binary_encode", """

@@ -161,12 +161,12 @@ def ft_merge(spark, sf):
 
 
 @query("ft_add_feature", """
-SELECT *, CASE WHEN c_acctbal >= 5000 THEN 'long' ELSE 'short' END AS c_acctbal_group FROM customer""")
+SELECT *, CASE WHEN c_acctbal >= 4000 THEN 'high' ELSE 'low' END AS balance_band FROM customer""")
 def ft_add_feature(spark, sf):
     root = customer_table(spark, sf)
     cur = FT.read(spark, root)
-    upd = R.bin_by(cur, "c_acctbal", [5000], ["short", "long"], "c_acctbal_group").select(
-        "c_custkey", "c_acctbal_group")
+    upd = R.bin_by(cur, "c_acctbal", [4000], ["low", "high"], "balance_band").select(
+        "c_custkey", "balance_band")
     FT.merge(spark, root, upd, ts=T1)
     return FT.read(spark, root)
 
