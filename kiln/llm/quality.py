@@ -17,9 +17,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from kiln.llm.words import Words, mix, rolling, slices, text_buffer, whole
+from kiln.llm.words import Words, mix, rolling, slices, text_buffer, text_of, whole, with_doc
 
 MIN_WORDS = 20
 BASE_NGRAM = 8
@@ -125,8 +124,7 @@ def repetition_rules(docs: DataFrame, text_col: str = "text", carry: list[str] |
                      line_share: float = LINE_SHARE) -> DataFrame:
     """Rows ``(doc, quality)``: ``doc`` holds the input columns (or those in
     ``carry``), ``quality`` the statistics, ``base_failed`` and ``kept``."""
-    cols = [F.col(f"`{c}`") for c in (carry if carry is not None else docs.columns)]
-    src = docs.select(F.struct(*cols).alias("doc"), F.col(text_col).alias("text"))
+    src = with_doc(docs, text_col, carry)
     doc_kind = dict(src.dtypes)["doc"]
     stats = ", ".join(f"{n}: {t}" for n, t in STATS)
 
@@ -134,7 +132,7 @@ def repetition_rules(docs: DataFrame, text_col: str = "text", carry: list[str] |
         for batch in batches:
             if not batch.num_rows:
                 continue
-            data, offs = text_buffer(batch.column("text"))
+            data, offs = text_buffer(text_of(batch, text_col))
             parts = [measure(data, offs[i:j + 1], min_words, ngram_share, line_share) for i, j in slices(offs)]
             fields = [pa.array(np.concatenate([p[n] for p in parts])) for n, _ in STATS]
             yield pa.RecordBatch.from_arrays(

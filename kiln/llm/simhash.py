@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.components import _written, components
-from kiln.llm.words import slices, text_buffer
+from kiln.llm.words import slices, text_buffer, text_of, with_doc
 
 SHINGLE = 3
 RADIUS = 3
@@ -59,14 +59,13 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE
     """Rows ``(doc, fp)``: ``doc`` a struct of the input columns (or those in
     ``carry``), ``fp`` the fingerprint as a signed long. A text without words
     (or null) has fingerprint 0."""
-    cols = [F.col(f"`{c}`") for c in (carry if carry is not None else docs.columns)]
-    src = docs.select(F.struct(*cols).alias("doc"), F.col(text_col).alias("text"))
+    src = with_doc(docs, text_col, carry)
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            data, offs = text_buffer(batch.column("text"))
+            data, offs = text_buffer(text_of(batch, text_col))
             out = []
             for i, j in slices(offs):
                 raw = data[offs[i]:offs[j]].tobytes().lower()

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -46,6 +47,22 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offs
 
 
+def with_doc(df, text_col: str, carry: list[str] | None):
+    """``df`` as ``doc``, a struct of the carried columns (default: all), and
+    ``text`` only where ``doc`` does not hold it: texts travel once."""
+    names = df.columns if carry is None else carry
+    doc = F.struct(*[F.col(f"`{c}`") for c in names]) if names else F.struct(F.lit(None).cast("boolean").alias("none"))
+    return df.select(doc.alias("doc"), *([] if text_col in names else [F.col(text_col).alias("text")]))
+
+
+def text_of(batch: pa.RecordBatch, text_col: str) -> pa.Array:
+    """The texts of a batch of ``with_doc``."""
+    if "text" in batch.schema.names:
+        return batch.column("text")
+    doc = batch.column("doc")
+    return doc.flatten()[doc.type.get_field_index(text_col)]
+
+
 def slices(offs: np.ndarray, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes (or one row, however long)."""
     i, n = 0, len(offs) - 1
@@ -99,11 +116,6 @@ class Words:
             i = j
         return mix(out)
 
-    def text(self, i: int, j: int) -> bytes:
-        """Words i..j-1 (of one text) joined by single spaces."""
-        raw, s, e = self.data, self.starts, self.ends
-        return b" ".join(raw[a:b].tobytes() for a, b in zip(s[i:j].tolist(), e[i:j].tolist()))
-
 
 def rolling(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of every n consecutive values (``len(h) - n + 1`` of them), built
