@@ -61,8 +61,10 @@ LOOSE = {
     "phone": r"(?<![0-9A-Za-z])\+?(?:\([0-9]{1,4}\)|[0-9]{1,4}+)(?:[\x20.-]{0,2}(?:\([0-9]{1,4}\)|[0-9]{2,4}+)){2,5}+"
              r"(?![0-9A-Za-z])",
 }
-#: A text without this substring or class cannot match (a cheap test first).
-NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": r"[.:][0-9A-Fa-f]", "card": "[0-9]{4}", "phone": "[0-9]{2}"}
+#: Cheap tests before the base rules and before the loose generators. Each is
+#: implied by its pattern: a text without it cannot match.
+BASE_NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]"}
+NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": r"[.:][0-9A-Fa-f]", "card": "[0-9]{4}", "phone": r"[0-9)][\x20.-]{0,2}[(0-9]"}
 #: Words that announce a kind.
 CUES = {"email": "mail|contact|write|address", "ip": r"\bip\b|host|server|addr", "card": "card|visa|credit|pay",
         "phone": "phone|tel|call|fax|mobile|cell"}
@@ -125,7 +127,7 @@ def _base(text: Column) -> Column:
     """Valid base spans of all kinds, by start, then kind."""
     parts = []
     for k, kind in enumerate(KINDS):
-        good = F.filter(_hits(text, BASE[kind], text.rlike(NEEDS[kind])), lambda h: _valid(kind, h["value"]))
+        good = F.filter(_hits(text, BASE[kind], text.rlike(BASE_NEEDS[kind])), lambda h: _valid(kind, h["value"]))
         parts.append(F.transform(good, lambda h: F.struct(h["start"].alias("start"), F.lit(k).alias("kind"),
                                                                h["stop"].alias("stop"))))
     return F.array_sort(F.concat(*parts))

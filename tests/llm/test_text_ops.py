@@ -365,6 +365,14 @@ def test_pii_base_rules(spark, personal):
         assert got == brute_pii(r["doc"]["text"]), r["doc"]["text"][:200]
 
 
+def test_pii_base_rules_do_not_need_unrelated_characters(spark):
+    texts = ["378 282 246 310 005", "3 7 8 2 8 2 2 4 6 3 1 0 0 0 5", "37-82-82-24-63-10-00-5", "+1 2 0 2 5 5 5 0 1 4 3", "+1(2)0(2)5(5)5(0)1(4)"]
+    out = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), selector=pii.Selector()).collect()
+    for r in out:
+        assert [tuple(s) for s in r["base"]] == brute_pii(r["doc"]["text"])
+    assert all(len(r["base"]) == 1 for r in out)
+
+
 def test_pii_selection(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     odd = ["tel (988) 555-2485 or mail jo (at) example (dot) org now", "+1 (988) 555-2485"]
