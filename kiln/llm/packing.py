@@ -10,6 +10,11 @@ leftovers of ``merge_partitions`` neighbouring partitions are packed again by
 the same rule, and what is left of that is run together and cut into windows,
 the last one into lengths that are powers of two, which need no padding.
 
+Ids are those of the ``tokenizers`` library in its default setting without
+special tokens added: a string that ``byte_bpe_50k.json`` lists as an added
+token is one id wherever it stands in a text, and the text around it is encoded
+part by part. An own ranks file comes without added tokens.
+
 State per task is ``open_windows`` windows, whatever the input. Null text
 counts as empty (one end id); repeated rows are packed each; an empty table
 gives an empty result. ``doc_id`` may be null.
@@ -18,6 +23,9 @@ gives an empty result. ``doc_id`` may be null.
 from __future__ import annotations
 
 import bisect
+import json
+import re
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -26,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.byte_bpe import encoder
+from kiln.llm.byte_bpe import _default, encoder
 from kiln.session import scratch_path
 
 WINDOW = 1024
@@ -43,6 +51,35 @@ ROWS_OUT = 2000
 PIECE = "start long, length long, doc_tokens long, sequence_id long, offset long, open boolean, ids binary"
 
 
+@lru_cache(maxsize=1)
+def added_tokens() -> dict[str, bytes]:
+    """Added tokens of the vocabulary with their ids (little-endian)."""
+    with open(_default("byte_bpe_50k.json"), encoding="utf-8") as f:
+        listed = json.load(f)["added_tokens"]
+    odd = [t["content"] for t in listed if t["single_word"] or t["lstrip"] or t["rstrip"]]
+    if odd:
+        raise ValueError(f"added tokens that match by their surroundings: {odd}")
+    return {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in listed}
+
+
+def text_encoder(ranks_path: str | None = None):
+    """A function from a text to its ids, added tokens included."""
+    enc = encoder(ranks_path)
+    special = {} if ranks_path else added_tokens()
+    if not special:
+        return enc.encode
+    # the longest of those that start at one place
+    cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(special, key=len, reverse=True)) + ")")
+
+    def encode(text):
+        parts = cut.split(text) if text else [text]
+        if len(parts) == 1:
+            return enc.encode(text)
+        return b"".join(special[p] if k % 2 else enc.encode(p) for k, p in enumerate(parts))
+
+    return encode
+
+
 class Packer:
     """Packs pieces ``(doc, start, doc_tokens, ids)``; full or emitted windows
     go to ``done`` as lists of pieces."""
@@ -156,12 +193,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     end = np.array([END_ID], "<u4").tobytes()
 
     def online(batches):
-        enc = encoder(ranks_path)
+        encode = text_encoder(ranks_path)
         packer = Packer(window, open_windows, min_cut)
         seq = TaskContext.get().partitionId() * TASK_STEP
         for pdf in batches:
             for i, text in zip(pdf["id"], pdf["text"]):
-                ids = enc.encode(text) + end
+                ids = encode(text) + end
                 packer.add(i, 0, len(ids) // 4, ids)
                 if len(packer.done) >= 512:
                     for seq, frame in _frames(packer.done, seq, False, "id"):

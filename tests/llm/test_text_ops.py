@@ -167,6 +167,19 @@ def test_packing_small_table(spark, sf, library):
     assert padding <= total * 0.01
 
 
+def test_packing_has_the_ids_of_the_library_for_added_tokens(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    e = "<|endoftext|>"
+    texts = [f"a{e}b", e, f"{e}{e}", f" {e} ", f"one two {e}\n\n  three <|endoftext|", f"<|endof{e}text|>", "none at all"]
+    out = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {i: b"" for i in range(len(texts))}
+    for r in sorted(out, key=lambda r: r["start"]):
+        got[r["doc_id"]] += bytes(r["ids"])
+    for i, text in enumerate(texts):
+        assert np.frombuffer(got[i], "<u4").tolist() == [*t.encode(text, add_special_tokens=False).ids, packing.END_ID], text
+
+
 def test_packing_empty(empty):
     assert packing.pack(empty).count() == 0
 
