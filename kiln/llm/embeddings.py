@@ -4,7 +4,8 @@ tables, with an exact rerank.
 1. *Rotation.* On a bounded sample (``SAMPLE`` usable vectors with the smallest
    id hashes) a projection on principal directions is rotated, step by step,
    until its signs lose least: balanced binary codes of up to 64 bits. Every
-   vector is coded by that one matrix.
+   vector is coded by that one matrix. The Hamming radius is measured on the
+   same sample: it covers ``RECALL`` of pairs made at the threshold.
 2. *Tables.* A code is cut into substrings, one hash table each. Two codes that
    differ in at most ``radius`` bits agree in some substring up to a small
    number of bits, so probing each table with that many flipped bits finds
@@ -42,8 +43,12 @@ BITS = 64
 ITERATIONS = 30
 BLOCK = 1024
 #: Standard deviations above the mean distance, at the threshold, that the
-#: Hamming radius covers.
+#: Hamming radius covers at least.
 SLACK = 1.5
+#: Share of the pairs at the threshold that the Hamming radius covers, and the
+#: least number of such pairs it is measured on.
+RECALL = 0.95
+PROBES = 4096
 
 
 def fit_rotation(sample: np.ndarray, bits: int = BITS, iterations: int = ITERATIONS) -> tuple[np.ndarray, np.ndarray]:
@@ -67,10 +72,45 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def hamming_radius(bits: int, cosine: float) -> int:
-    """Bits that codes of vectors at the threshold differ in, with some slack."""
+def partners(x: np.ndarray, cosine: float, rng: np.random.Generator, own: bool) -> np.ndarray:
+    """For each unit vector another one at exactly ``cosine``: off in any
+    direction, or (``own``) in a direction in which vectors of ``x`` differ."""
+    if own:
+        way = x[rng.permutation(len(x))] - x[rng.permutation(len(x))]
+    else:
+        way = rng.normal(size=x.shape)
+    way = way - (way * x).sum(1, keepdims=True) * x
+    size = np.linalg.norm(way, axis=1, keepdims=True)
+    ok = size[:, 0] > 1e-9                     # equal vectors and single components have no direction
+    out = x.copy()
+    out[ok] = cosine * x[ok] + math.sqrt(max(0.0, 1 - cosine * cosine)) * way[ok] / size[ok]
+    return out
+
+
+def hamming_radius(sample: np.ndarray, bits: int, cosine: float, recall: float = RECALL) -> int:
+    """Bits that codes of vectors at the threshold differ in, with some slack.
+
+    At least what the angle of the threshold gives. Codes are signs of centred
+    vectors, whose angle is larger when the vectors have a common mean, so the
+    radius is also measured: half of the sample is coded by the rotation of
+    the other half (its own would fit it too well), against partners made at
+    the threshold, and ``recall`` of these pairs are covered."""
+    width = min(bits, sample.shape[1])
     p = math.acos(max(-1.0, min(1.0, cosine))) / math.pi
-    return min(bits, math.ceil(bits * p + SLACK * math.sqrt(bits * p * (1 - p))))
+    radius = min(width, math.ceil(width * p + SLACK * math.sqrt(width * p * (1 - p))))
+    if len(sample) < 2:
+        return radius
+    centre, turn = fit_rotation(sample[::2], bits)
+    rng = np.random.default_rng(2)
+    x = np.resize(sample[1::2], (max(len(sample) // 2, PROBES), sample.shape[1]))
+    code = (x - centre) @ turn > 0
+    for own in (False, True):
+        y = partners(x, cosine, rng, own)
+        moved = np.abs(y - x).max(1) > 0
+        if moved.any():
+            differ = (((y - centre) @ turn > 0) != code).sum(1)[moved]
+            radius = max(radius, int(np.quantile(differ, recall, method="higher")))
+    return radius
 
 
 def tables(bits: int, radius: int, codes: int) -> list[tuple[int, int, list[int]]]:
@@ -159,9 +199,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                     .withColumn("k1", F.when(F.col("ok"), F.xxhash64("label", "v")))
                     .withColumn("k2", F.when(F.col("ok"), F.xxhash64(F.lit(7), "v", "label"))), "vectors")
     chosen = rows.filter("ok").select("v", F.xxhash64(F.col("id").cast("string")).alias("h"), "k1").orderBy("h", "k1").limit(sample)
-    centre, turn = fit_rotation(unit(np.array([r["v"] for r in chosen.select("v").collect()], float)), bits)
+    learned = unit(np.array([r["v"] for r in chosen.select("v").collect()], float))
+    centre, turn = fit_rotation(learned, bits)
     width = turn.shape[1]
-    radius = hamming_radius(width, cosine) if radius is None else radius
+    radius = hamming_radius(learned, bits, cosine) if radius is None else radius
     weights = 1 << np.arange(width, dtype=np.uint64)
 
     def code(batches):

@@ -125,6 +125,20 @@ def test_embedding_recall_at_the_default_radius(spark, vectors):
     assert sum(r["n_links"] for r in out) >= 0.9 * sum(n)
 
 
+def test_embedding_recall_with_a_common_mean(spark):
+    rng = np.random.default_rng(21)
+    mean = np.zeros(64)
+    mean[3] = 0.85
+    off = rng.normal(size=(500, 64))
+    x = embeddings.unit(mean + math.sqrt(1 - 0.85 ** 2) * embeddings.unit(off))
+    y = np.concatenate([embeddings.partners(x[i::2], c, rng, False) for i, c in enumerate((0.932, 0.95))])
+    rows = [(i, [float(a) for a in v], 0) for i, v in enumerate(np.concatenate([x, y]))]
+    n, _ = brute_links(rows)
+    assert sum(n) >= 1000
+    out = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert 0.9 * sum(n) <= sum(r["n_links"] for r in out) <= sum(n)
+
+
 def test_embedding_tables_find_every_code_within_the_radius():
     rng = np.random.default_rng(3)
     for bits, radius, codes in ((64, 12, 1000), (64, 12, 10 ** 7), (64, 3, 50), (16, 5, 10), (2, 1, 100), (64, 0, 9)):
