@@ -14,14 +14,18 @@ separators, check digit ...) and context features (neighbouring characters, a
 telling word before it).
 
 *Boosted trees* (Spark ML) are fitted on the candidates of a bounded sample of
-documents (``SAMPLE_DOCS`` of the smallest id hashes): a candidate that a base
-rule confirms is positive, any other negative. The fitted trees become one
-column expression, so scoring is a projection without a shuffle. On the
-sample's other half a threshold per kind is calibrated: the lowest score from
-which on at least ``PRECISION`` of the candidates are confirmed. Candidates
-that reach it and touch no base span are added; base spans always stay. With
-no positives or no negatives in the sample there is no model and nothing is
-added.
+documents (``SAMPLE_DOCS`` of the smallest id hashes) that checks can judge. A
+base span of the kind confirms a candidate, and so do checks for the loose
+forms: an address that is one once ``(at)`` and ``(dot)`` are put as signs, IPv6,
+a check digit, a fitting number of digits with a plus or a telling word. What
+fails them, and bare digits without a telling word, is negative; forms that no
+check can tell (grouped digits without a telling word) are left out. The fitted
+trees become one column expression, so scoring is a projection without a
+shuffle. On the sample's other half a threshold per kind is calibrated: the
+lowest score from which on at least ``PRECISION`` of the judged candidates are
+confirmed. Candidates that reach it and touch no base span are added; base spans
+always stay. With no positives or no negatives in the sample there is no model
+and nothing is added.
 
 Null text counts as empty: no spans. Repeated rows are judged each; an empty
 table gives an empty result. Offsets are code points, end exclusive.
@@ -55,7 +59,9 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 LOOSE = {
-    "email": rf"(?<![{LOCAL}])[{LOCAL}]++\x20?(?:@|\(at\)|\[at\])\x20?{LABEL}(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?{LABEL})*+",
+    # a sentence's end is no separator where dots are spelled out
+    "email": rf"(?<![{LOCAL}])[{LOCAL}]++\x20?(?:@|\(at\)|\[at\])\x20?{LABEL}"
+             rf"(?:(?:(?:\.|\x20\.\x20|\x20?(?:\(dot\)|\[dot\])\x20?){LABEL})++|(?:\x20?\.\x20?{LABEL})*+)",
     "ip": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9]{1,3}(?:\.[0-9]{1,3}){3,5}+)(?![0-9A-Za-z:])",
     "card": r"(?<![0-9])[0-9]{4}(?:[\x20./-]?[0-9]{4}){2}[\x20./-]?[0-9]{1,7}+(?![0-9])",
     "phone": r"(?<![0-9A-Za-z])\+?(?:\([0-9]{1,4}\)|[0-9]{1,4}+)(?:[\x20.-]{0,2}(?:\([0-9]{1,4}\)|[0-9]{2,4}+)){2,5}+"
@@ -67,7 +73,7 @@ BASE_NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-
 NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": r"[.:][0-9A-Fa-f]", "card": "[0-9]{4}", "phone": r"[0-9)][\x20.-]{0,2}[(0-9]"}
 #: Words that announce a kind.
 CUES = {"email": "mail|contact|write|address", "ip": r"\bip\b|host|server|addr", "card": "card|visa|credit|pay",
-        "phone": "phone|tel|call|fax|mobile|cell"}
+        "phone": r"\b(?:telephone|phone|tel|call|fax|mobile|cell)s?\b"}
 
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 HIT = "array<struct<start:int,stop:int,value:string,left:string,right:string>>"
@@ -117,12 +123,34 @@ def _features(kind: int, h: Column) -> Column:
     flags += [before.rlike(CUES[KINDS[kind]]), before.rlike(r"[0-9A-Za-z]$"), before.rlike(r"[0-9][\x20.-]$"),
               after.rlike("^[0-9A-Za-z]"), after.rlike(r"^[\x20.-][0-9]"), F.call_function("luhn_check", digits)]
     numbers = [F.length(value), F.length(digits), count("[A-Za-z]"), count(r"[\x20]"), count("-"), count(r"\."),
-               count("[()]"), count("[@]"), F.length(F.regexp_extract(value, r"([0-9]+)[^0-9]*$", 1)),
+               count("[()]"), count("[@]"), count("[+]"), count(":"), count(r"\.|[(\[]dot[)\]]"), F.length(F.regexp_extract(value, r"([0-9]+)[^0-9]*$", 1)),
                F.length(F.regexp_extract(value, r"^[^0-9]*([0-9]+)", 1)),
                F.length(F.regexp_extract(value, r"([A-Za-z]+)$", 1))]
     return F.array(*[F.coalesce(x.cast("double"), F.lit(0.0)) for x in [*flags, *numbers]])
 
 
+def _judged(kind: int, h: Column, base: Column) -> Column:
+    """1 for a candidate that the checks of its kind confirm, 0 for one they
+    refute, null where no check can tell."""
+    value, digits = h["value"], _digits(h["value"])
+    n, luhn = F.length(digits), F.call_function("luhn_check", digits)
+    if KINDS[kind] == "email":
+        plain = F.regexp_replace(value, r"\x20?(?:@|\(at\)|\[at\])\x20?", "@")
+        plain = F.regexp_replace(plain, r"\x20?(?:\(dot\)|\[dot\])\x20?", ".")
+        tell = F.when(plain.rlike(rf"^[{LOCAL}]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{{2,}}$"), 1.0).when(~plain.contains(" "), 0.0)
+    elif KINDS[kind] == "ip":
+        six = value.rlike(r"^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$")
+        tell = F.when(six | _valid("ip", value), 1.0).otherwise(0.0)
+    elif KINDS[kind] == "card":
+        tell = F.when(~luhn | ~n.between(13, 19), 0.0).when(n >= 14, 1.0)
+    else:
+        cued = value.startswith("+") | F.lower(h["left"]).rlike(CUES["phone"])
+        tell = F.when(~n.between(10, 15), 0.0).when(cued, 1.0).when(n == F.length(value), 0.0)
+    own = F.exists(base, lambda b: (b["kind"] == kind) & _touches(b, h))
+    other = F.exists(base, lambda b: (b["kind"] != kind) & _touches(b, h))
+    return F.when(own, 1.0).when(other, 0.0).otherwise(tell)
+
+
 def _base(text: Column) -> Column:
     """Valid base spans of all kinds, by start, then kind."""
     parts = []
@@ -133,13 +161,19 @@ def _base(text: Column) -> Column:
     return F.array_sort(F.concat(*parts))
 
 
-def _candidates(text: Column) -> Column:
-    """Spans of the loose generators with their features."""
-    parts = []
-    for k, kind in enumerate(KINDS):
-        parts.append(F.transform(_hits(text, LOOSE[kind], text.rlike(NEEDS[kind])), lambda h: F.struct(
-            h["start"].alias("start"), F.lit(k).alias("kind"), h["stop"].alias("stop"), _features(k, h).alias("f"))))
-    return F.concat(*parts)
+def _candidates(text: Column, base: Column | None = None) -> Column:
+    """Spans of the loose generators with their features; given the base
+    spans, with the checks' ``label`` and whether a base span of the kind is
+    ``found`` there too."""
+    def candidate(k, h):
+        out = [h["start"].alias("start"), F.lit(k).alias("kind"), h["stop"].alias("stop"), _features(k, h).alias("f")]
+        if base is not None:
+            out += [_judged(k, h, base).alias("label"),
+                    F.exists(base, lambda b: (b["kind"] == k) & _touches(b, h)).alias("found")]
+        return F.struct(*out)
+
+    return F.concat(*[F.transform(_hits(text, LOOSE[kind], text.rlike(NEEDS[kind])), lambda h: candidate(k, h))
+                      for k, kind in enumerate(KINDS)])
 
 
 def _touches(a: Column, b: Column) -> Column:
@@ -185,10 +219,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
     # (a repeated id may bring more, hence the limit)
     # written first: else Spark looks for candidates in every text before it drops those not chosen
     some = _written(docs.filter(place <= last).select(place.alias("h"), text.alias("text")), "pii-sample").limit(2 * sample_docs).repartition(8)
-    spans = some.select("h", _base(F.col("text")).alias("base"), _candidates(F.col("text")).alias("cands"))
-    rows = spans.select("h", "base", F.explode("cands").alias("c")).select(
-        F.pmod("h", F.lit(2)).alias("half"), F.col("c.kind").alias("kind"), F.col("c.f").alias("f"),
-        F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & _touches(b, F.col("c"))).cast("double").alias("label"))
+    based = some.select("h", "text", _base(F.col("text")).alias("base"))
+    spans = based.select("h", _candidates(F.col("text"), F.col("base")).alias("cands"))
+    rows = spans.select("h", F.explode("cands").alias("c")).select(
+        F.pmod("h", F.lit(2)).alias("half"), "c.kind", "c.f", "c.label").filter("label is not null")
     table = _written(rows, "pii-candidates")
     train = table.filter("half = 0").select("label", array_to_vector("f").alias("features"))
     counts = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -408,6 +408,23 @@ def test_pii_selection(spark, sf):
         assert r["clean"] == clean + text[at:]
 
 
+def test_pii_adds_loose_forms_but_no_plain_numbers(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = []
+    for i in range(240):
+        rows += [f"mail jo{i} (at) example (dot) org. Then go", f"at 2001:0db8:85a3:0:0:8a2e:{i:x}:7334 now", f"order {9885550000 + 7 * i} done",
+                 f"see you{i} (at) home now"]
+    more = spark.createDataFrame([(10_000_000 + i, t, "en", "s", 1) for i, t in enumerate(rows)], docs.schema)
+    selector = pii.fit(docs.unionByName(more))
+    got = {r["doc"]["text"]: [(pii.KINDS[s["kind"]], r["doc"]["text"][s["start"]:s["stop"]]) for s in r["spans"]]
+           for r in pii.find(more, selector=selector).collect()}
+    for i in range(240):
+        mail, six, number, home = rows[4 * i:4 * i + 4]
+        assert got[mail] == [("email", f"jo{i} (at) example (dot) org")]
+        assert got[six] == [("ip", f"2001:0db8:85a3:0:0:8a2e:{i:x}:7334")]
+        assert got[number] == got[home] == []
+
+
 def test_pii_trees_as_columns_agree_with_the_model(spark):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector, vector_to_array
