@@ -13,19 +13,19 @@ sign, grouped digits, IPv6. Each has format features (length, digits, groups,
 separators, check digit ...) and context features (neighbouring characters, a
 telling word before it).
 
-*Boosted trees* (Spark ML) are fitted on the candidates of a bounded sample of
-documents (``SAMPLE_DOCS`` of the smallest id hashes) that checks can judge. A
-base span of the kind confirms a candidate, and so do checks for the loose
+*Boosted trees* (Spark ML) are fitted on a bounded sample of the candidates that
+checks can judge: about ``SAMPLE`` of every kind and label, with and without a
+base span, so that rare forms are in it however large the table is. A base span of the kind confirms a candidate, and so do checks for the loose
 forms: an address that is one once ``(at)`` and ``(dot)`` are put as signs, IPv6,
 a check digit, a fitting number of digits with a plus or a telling word. What
 fails them, and bare digits without a telling word, is negative; forms that no
 check can tell (grouped digits without a telling word) are left out. The fitted
 trees become one column expression, so scoring is a projection without a
-shuffle. On the sample's other half a threshold per kind is calibrated: the
-lowest score from which on at least ``PRECISION`` of the judged candidates are
-confirmed. Candidates that reach it and touch no base span are added; base spans
-always stay. With no positives or no negatives in the sample there is no model
-and nothing is added.
+shuffle. A threshold per kind is set from the judged candidates of all
+documents, counted by score in one aggregate: the lowest score from which on at
+least ``PRECISION`` of them are confirmed. Candidates that reach it and touch no
+base span are added; base spans always stay. With no positives or no negatives
+in the table there is no model and nothing is added.
 
 Null text counts as empty: no spans. Repeated rows are judged each; an empty
 table gives an empty result. Offsets are code points, end exclusive.
@@ -33,6 +33,7 @@ table gives an empty result. Offsets are code points, end exclusive.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
@@ -43,7 +44,9 @@ from pyspark.sql import functions as F
 from kiln.llm.components import _written
 
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE_DOCS = 4000
+#: Candidates of each stratum that the trees are fitted on.
+SAMPLE = 2000
+PLACES = 1 << 30
 PRECISION = 0.98
 TREES = 8
 DEPTH = 3
@@ -207,30 +210,28 @@ class Selector:
         return _margin(self.model, c["f"]) >= least
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
         precision: float = PRECISION) -> Selector:
-    """Fit trees and thresholds on the candidates of at most about
-    ``sample_docs`` documents (those with the smallest id hashes)."""
-    place = F.xxhash64(F.col(id_col).cast("string"))
-    last = docs.select(place.alias("h")).orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
-    if last is None:
-        return Selector()
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    # (a repeated id may bring more, hence the limit)
-    # written first: else Spark looks for candidates in every text before it drops those not chosen
-    some = _written(docs.filter(place <= last).select(place.alias("h"), text.alias("text")), "pii-sample").limit(2 * sample_docs).repartition(8)
-    based = some.select("h", "text", _base(F.col("text")).alias("base"))
+    """Fit trees on about ``sample`` judged candidates of each stratum (kind,
+    label, base span or not) and set the thresholds from all of them."""
+    src = docs.select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    based = src.select("h", "text", _base(F.col("text")).alias("base"))
     spans = based.select("h", _candidates(F.col("text"), F.col("base")).alias("cands"))
-    rows = spans.select("h", F.explode("cands").alias("c")).select(
-        F.pmod("h", F.lit(2)).alias("half"), "c.kind", "c.f", "c.label").filter("label is not null")
+    # outer: else Spark looks for candidates once more, to drop texts without any
+    rows = spans.select("h", F.posexplode_outer("cands").alias("pos", "c")).select(
+        F.pmod(F.xxhash64("h", "pos"), F.lit(PLACES)).alias("place"), "c.kind", "c.f", "c.label", "c.found").filter("label is not null")
     table = _written(rows, "pii-candidates")
-    train = table.filter("half = 0").select("label", array_to_vector("f").alias("features"))
-    counts = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(counts) < 2:
+    strata = table.groupBy("kind", "label", "found").agg(F.count(F.lit(1)).alias("n")).collect()
+    if len({r["label"] for r in strata}) < 2:
         return Selector()
+    chosen = reduce(lambda a, b: a | b, [
+        (F.col("kind") == r["kind"]) & (F.col("label") == r["label"]) & (F.col("found") == r["found"])
+        & (F.col("place") < math.ceil(PLACES * min(1.0, sample / r["n"]))) for r in strata])
+    # (repeated rows share their places and may bring more, hence the limit)
+    train = table.filter(chosen).limit(2 * sample * len(strata)).select("label", array_to_vector("f").alias("features")).repartition(8)
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, minInstancesPerNode=5).fit(train)
     score = F.round(_margin(model, F.col("f")), 2)
-    bins = (table.filter("half = 1").groupBy("kind", score.alias("score"))
+    bins = (table.groupBy("kind", score.alias("score"))
             .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("good")).collect())
     thresholds: dict[int, float] = {}
     for kind in range(len(KINDS)):

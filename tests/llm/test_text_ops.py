@@ -425,6 +425,18 @@ def test_pii_adds_loose_forms_but_no_plain_numbers(spark, sf):
         assert got[number] == got[home] == []
 
 
+def test_pii_thresholds_come_from_all_documents(spark):
+    """Every kind that has confirmed candidates gets its threshold, however few
+    documents hold them."""
+    rows = [(i, f"mail a{i}@b{i}.org or me (at) noon {i}") for i in range(30_000)]
+    rare = [(40_000 + i, f"host 2001:0db8:85a3:0:0:8a2e:{i + 1:x}:7334 up") for i in range(6)]
+    docs = spark.createDataFrame(rows + rare, "doc_id long, text string").repartition(8)
+    selector = pii.fit(docs)
+    assert {pii.KINDS.index(k) for k in ("email", "ip")} <= set(selector.thresholds)
+    found = pii.find(docs.filter("doc_id >= 40000"), selector=selector).collect()
+    assert len(found) == 6 and all([s["kind"] for s in r["spans"]] == [pii.KINDS.index("ip")] for r in found)
+
+
 def test_pii_trees_as_columns_agree_with_the_model(spark):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector, vector_to_array
