@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import byte_bpe, chat, embeddings, html_main, packing, pii, quality, simhash, substrings, suffix_lm
+from kiln.llm import (byte_bpe, chat, embeddings, html_main, packing, periodic, pii, quality, secrets, simhash, substrings,
+                      suffix_lm, turns)
 from kiln.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -148,3 +149,74 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition statistics and verdict of every document."""
     docs = table(spark, sf_dir, "documents")
     return quality.repetition_rules(docs, carry=["doc_id"]).select("doc.doc_id", "quality.*")
+
+
+@query("op11_secrets")
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans and all spans of secrets of every document."""
+    found = secrets.scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+              for k, kind in enumerate(secrets.KINDS[:3])]
+    return found.select("doc.doc_id", *counts, F.sha2(secrets.labelled("base"), 256).alias("base_sha256"),
+                        secrets.labelled("spans").alias("spans"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``: every tenth text (by the CRC of its id) repeats its
+    words with a period of its own from some word on."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    g, n = F.floor(h / 10), F.greatest(F.coalesce(F.size("words"), F.lit(0)), F.lit(0))
+    a, p = F.col("a"), F.col("p")
+    rows = docs.select("doc_id", "text", g.alias("g"), words.alias("words")).withColumn("n", n)
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - a) / (3 + F.col("g") % 8))).cast("int"))
+    unit = F.slice("words", a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil((F.col("n") - a) / p).cast("int"))), F.lit(1), F.col("n") - a)
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), a), tail), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document and the words that stay."""
+    found = periodic.find(with_planted_runs(table(spark, sf_dir, "documents")), carry=["doc_id"])
+    # exact order of length / period: by the products with the other's period
+    better = (lambda x, y: (x["length"] * y["period"] > y["length"] * x["period"]))
+    best = F.aggregate("runs", F.element_at("runs", 1), lambda acc, x: F.when(better(x, acc), x).otherwise(acc))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]),
+                                                                F.lit("\n"))), "")
+    rows = found.select("doc.doc_id", F.size("runs").cast("long").alias("n_runs"),
+                        F.when(F.size("runs") > 0, best).alias("best"), lines.alias("lines"), "text")
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                       F.sha2("lines", 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults, by the CRC of ``conv_id:turn``; nulls are one
+    space."""
+    def plain(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    how = F.crc32(F.concat(plain("conv_id"), F.lit(":"), plain("turn")).cast("binary")) % 20
+    role, text = plain("role"), plain("text")
+    text = F.when(how == 1, "").when(how == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    times = F.when(how == 0, 0).when(how == 3, 2).otherwise(1)
+    return (rows.select("conv_id", "turn", F.when(how == 4, "user").otherwise(role).alias("role"), text.alias("text"),
+                        F.explode(F.array_repeat(F.lit(0), times))).drop("col"))
+
+
+@query("op13_turn_repair")
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired rows of every conversation."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found, repaired = turns.repair(damaged(rows))
+    digest = turns.digests(repaired).select(F.col("conv").alias("d"), "sha256")
+    all_ids = rows.select("conv_id").distinct()
+    out = (all_ids.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+           .join(digest, F.col("conv_id").eqNullSafe(F.col("d")), "left"))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
