@@ -172,12 +172,12 @@ def gaps(low: Column, high: Column, different: Column) -> Column:
     return F.coalesce(high - low + 1 - different, F.lit(0)).cast("long")
 
 
-def _faults(role: Column, text: Column, repeated: Column) -> Column:
-    """Symbol of a row: fault (see FAULTS) * 4 + class of its role."""
+def _symbol(role: Column, text: Column) -> Column:
+    """Fault (see FAULTS) * 4 + class of its role, of a row seen alone."""
     ink = F.regexp_replace(text, r"(?<![\x20\x09-\x0D])[\x20\x09-\x0D]++\z", "")
     initial = F.left(role, F.lit(1))
     kind = F.coalesce(*[F.when(initial == c, k) for k, c in enumerate(INITIALS)], F.lit(3))
-    fault = F.when(ink == "", 2).when(repeated, 3).when(~F.right(ink, F.lit(1)).isin(".", "!", "?"), 1).otherwise(0)
+    fault = F.when(ink == "", 2).when(~F.right(ink, F.lit(1)).isin(".", "!", "?"), 1).otherwise(0)
     return (fault * 4 + kind).cast("int")
 
 
@@ -196,14 +196,15 @@ def _cleaned(rows, conv_col, turn_col, role_col, text_col):
 
 
 def _analysed(src: DataFrame) -> DataFrame:
-    # a row repeats an earlier one if its turn is later than the first with its role and text
-    said = src.select("conv", "turn", "role", F.sha2("text", 256).alias("said"), F.col("text"))
-    first = said.groupBy("conv", "role", "said").agg(F.min(F.struct("turn")).alias("first"), F.count(F.lit(1)).alias("n"))
-    first = first.filter("n > 1").select(F.col("conv").alias("c"), F.col("role").alias("r"), F.col("said").alias("s"), "first")
+    # a row repeats an earlier one if its turn is later than the first with its role and text (null comes first)
+    said = src.select("conv", "turn", "role", F.sha2("text", 256).alias("said"), _symbol(F.col("role"), F.col("text")).alias("symbol"))
+    first = said.filter("symbol < 8").groupBy(F.col("conv").alias("c"), F.col("role").alias("r"), F.col("said").alias("s")).agg(
+        F.min("turn").alias("first"), F.bool_or(F.col("turn").isNull()).alias("untimed"), F.count(F.lit(1)).alias("n"))
+    first = first.filter("n > 1").drop("n")
     same = said["conv"].eqNullSafe(first["c"]) & (said["role"] == first["r"]) & (said["said"] == first["s"])
-    seen = said.join(first, same, "left")
-    later = F.col("first").isNotNull() & ~F.struct("turn").eqNullSafe(F.col("first"))
-    marked = seen.select("conv", "turn", "role", "said", _faults(F.col("role"), F.col("text"), later).alias("symbol"))
+    later = F.expr("symbol < 8 and turn is not null and (untimed or turn > first)")
+    marked = said.join(first, same, "left").select(
+        "conv", "turn", "role", "said", F.when(later, 12 + F.col("symbol") % 4).otherwise(F.col("symbol")).cast("int").alias("symbol"))
     placed = ranged(marked, ["conv", "turn", "role", "said"])
 
     kind, arrow = src.schema["conv"].dataType.simpleString(), to_arrow_type(src.schema["conv"].dataType)
