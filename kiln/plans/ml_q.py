@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from kiln.ml import elastic as EN
 from kiln.ml import evaluation as E
 from kiln.ml import features as M
 from kiln.ml import linear as LIN
 from kiln.ml import models as L
 from kiln.functions import udfs as U
 from kiln.operators import relational as R
+from kiln.plans.fit_sql import correlations, descent_sql
 from kiln.plans.registry import query, rnd, table
 from kiln.session import scratch_path
 from kiln.sources import tables as S
@@ -137,13 +139,26 @@ def linreg_ridge(spark, sf):
     return part_predictions(model, spark, sf)
 
 
-@query("linreg_elastic")
+LI_ROWS = ("SELECT l_orderkey, l_linenumber, (l_orderkey * 7919 + 42) % 10007 < 8006 AS is_train, "
+           "l_quantity AS x0, l_extendedprice AS x1, l_discount AS x2, l_tax AS x3, "
+           "l_extendedprice * (1 - l_discount) AS y FROM lineitem")
+LI_X = ["x0", "x1", "x2", "x3"]
+
+
+@query("linreg_elastic", f"""
+WITH RECURSIVE l AS ({LI_ROWS}),
+c AS (SELECT 0 AS id, 0.1 AS reg, 0.5 AS mix, {correlations(LI_X, 'y')} FROM l WHERE is_train),
+{descent_sql(4, 'c', ['id'], 600)}
+SELECT l_orderkey, l_linenumber, is_train, round(y, 4) AS net,
+       round(a + b0 * x0 + b1 * x1 + b2 * x2 + b3 * x3, 2) AS prediction
+FROM l, fit""")
 def linreg_elastic(spark, sf):
+    """L2: one elastic net from the moments of the training rows, against the
+    same optimum by coordinate descent in SQL."""
     li = R.with_split(lineitem_labeled(spark, sf), "l_orderkey", 0.8, 42)
-    model = L.fit_pipeline(li.filter("is_train"), [
-        M.assembler(LI_FEATS, "raw"), M.scaler("raw", "features", True, True),
-        L.estimator("linear", "features", "net", regParam=0.1, elasticNetParam=0.5)])
-    return L.score(model, li).select("l_orderkey", "l_linenumber", "is_train", "net", "prediction")
+    a, b, _ = EN.elastic_fit(li.filter("is_train"), LI_FEATS, "net", 0.1, 0.5)
+    return li.select("l_orderkey", "l_linenumber", "is_train", rnd("net", 4).alias("net"),
+                     F.round(EN.linear_expr(a, b, LI_FEATS), 2).alias("prediction"))
 
 
 def _stump_sql(x: str, y: str, src: str) -> str:

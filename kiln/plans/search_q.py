@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kiln.ml import elastic as EN
 from kiln.ml import evaluation as E
 from kiln.ml import features as M
 from kiln.ml import models as L
 from kiln.ml import search as H
 from kiln.operators import relational as R
+from kiln.plans.fit_sql import correlations, descent_sql
 from kiln.plans.registry import query, rnd, table
 
 GRID = {"regParam": [0.0, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0]}
@@ -23,17 +25,63 @@ def part_folds(spark, sf):
 
 
 def part_stages():
-    lr = L.estimator("linear", "features", "p_retailprice")
+    lr = L.estimator("linear", "features", "p_retailprice", tol=1e-14, maxIter=1000)
     return [M.assembler(["p_partkey", "p_size"], "features"), lr], lr
 
 
-@query("cv_search")
+def _elastic_cv_sql(rows: str, p: int, grid: list[tuple[float, float]], sweeps: int) -> str:
+    """Trials of a 3-fold cross-validated elastic net over ``rows(fold, x0, ...,
+    y)``: every fold's fit by coordinate descent."""
+    xs = [f"x{i}" for i in range(p)]
+    points = ", ".join(f"({i}, {float(a)!r}, {float(m)!r})" for i, (a, m) in enumerate(grid))
+    line = " + ".join(["f.a", *[f"f.b{i} * l.x{i}" for i in range(p)]])
+    return f"""
+WITH RECURSIVE l AS ({rows}),
+t AS (SELECT CAST(trial AS INTEGER) AS trial, CAST(reg AS DOUBLE) AS reg, CAST(mix AS DOUBLE) AS mix
+      FROM (VALUES {points}) v(trial, reg, mix)),
+m AS (SELECT k, {correlations(xs, 'y')} FROM l, (VALUES (0), (1), (2)) f(k) WHERE l.fold <> k GROUP BY k),
+c AS (SELECT t.*, m.* FROM t, m),
+{descent_sql(p, 'c', ['trial', 'k'], sweeps)},
+e AS (SELECT f.trial, f.k, sqrt(avg((l.y - ({line})) * (l.y - ({line})))) AS rmse
+      FROM fit f JOIN l ON l.fold = f.k GROUP BY f.trial, f.k)
+SELECT t.trial, t.reg AS "regParam", t.mix AS "elasticNetParam", round(avg(rmse), 4) AS avg_rmse
+FROM e JOIN t USING (trial) GROUP BY t.trial, t.reg, t.mix"""
+
+
+_FOLD = "CAST(floor((({k} * 6007 + 42) % 10007) * 3 / 10007) AS INTEGER) AS fold"
+PART_FOLD_ROWS = (f"SELECT {_FOLD.format(k='p_partkey')}, CAST(p_partkey AS DOUBLE) AS x0, CAST(p_size AS DOUBLE) AS x1, "
+                  "p_retailprice AS y FROM part WHERE (p_partkey * 7919 + 42) % 10007 < 8006")
+LI_FOLD_ROWS = (f"SELECT {_FOLD.format(k='l_orderkey')}, l_quantity AS x0, l_extendedprice AS x1, l_discount AS x2, l_tax AS x3, "
+                "l_extendedprice * (1 - l_discount) AS y FROM lineitem WHERE (l_orderkey * 7919 + 42) % 10007 < 8006")
+GRID_POINTS = [(a, m) for m in GRID["elasticNetParam"] for a in GRID["regParam"]]
+#: 30 trials: ten penalties, three mixings.
+WIDE_POINTS = [(float(a), m) for m in (0.1, 0.5, 0.9) for a in (0, 1, 10, 50, 100, 500, 1000, 5000, 10000, 20000)]
+
+
+@query("cv_search", _elastic_cv_sql(PART_FOLD_ROWS, 2, GRID_POINTS, 60))
 def cv_search(spark, sf):
     """H2: 3 folds x 9 grid points, 4 fits at once."""
     train, _ = part_folds(spark, sf)
     stages, lr = part_stages()
     res = H.cv_search(train, stages, lr, GRID, "p_retailprice", "rmse", "fold", parallelism=4)
-    return res.trials
+    return res.trials.join(_points(spark), ["regParam", "elasticNetParam"]).select(
+        F.col("point").alias("trial"), "regParam", "elasticNetParam", rnd("avg_rmse", 4).alias("avg_rmse"))
+
+
+def _points(spark):
+    """The grid in the order of ``GRID_POINTS``."""
+    return spark.createDataFrame([(i, a, m) for i, (a, m) in enumerate(GRID_POINTS)],
+                                 "point int, regParam double, elasticNetParam double")
+
+
+@query("elastic_sweep", _elastic_cv_sql(LI_FOLD_ROWS, 4, WIDE_POINTS, 600))
+def elastic_sweep(spark, sf):
+    """H2/H8: 30 elastic nets in 3 folds, 90 fits from one scan of lineitem."""
+    li = table(spark, sf, "lineitem").withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    train = R.with_fold(R.split(li, "l_orderkey", 0.8, 42)[0], "l_orderkey", 3, 42)
+    xs = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    return EN.elastic_sweep(train, xs, "net", WIDE_POINTS, "fold").select(
+        "trial", "regParam", "elasticNetParam", rnd("avg_rmse", 4).alias("avg_rmse"))
 
 
 _TVS_SQL = """

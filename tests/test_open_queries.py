@@ -41,7 +41,7 @@ def test_elastic_net_meets_its_optimality_conditions(spark, sf, lineitem):
     zb = ((both[FEATS].astype(float) - x.mean()) / x.std(ddof=1)).to_numpy()
     design = np.column_stack([np.ones(len(zb)), zb])
     coef = np.linalg.lstsq(design, pred, rcond=None)[0]          # predictions are linear in z
-    assert np.allclose(design @ coef, pred, atol=1e-6)
+    assert np.allclose(design @ coef, pred, atol=0.006)          # the query rounds to cents
     sy, n = both.net.std(ddof=1), len(both)
     grad = zb.T @ (both.net.to_numpy() - pred) / n
     for g, b in zip(grad, coef[1:]):
