@@ -68,8 +68,9 @@ def interleave_bits(buckets: list[Column], bits: int) -> Column:
     return z
 
 
-def bucket_by_cuts(c, cuts) -> Column:
-    """Number of cut points <= value (0..len(cuts)); null stays null."""
+def bucket_by_cuts(c, cuts, strict: bool = False) -> Column:
+    """Number of cut points <= value, or < value if ``strict`` (0..len(cuts));
+    null stays null."""
     x = col_of(c)
     cuts = sorted(set(float(v) for v in cuts))
     if not cuts:
@@ -80,5 +81,6 @@ def bucket_by_cuts(c, cuts) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(x >= F.lit(cuts[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
+        over = x > F.lit(cuts[mid - 1]) if strict else x >= F.lit(cuts[mid - 1])
+        return F.when(over, search(mid, hi)).otherwise(search(lo, mid - 1))
     return F.when(x.isNull(), None).otherwise(search(0, len(cuts)))

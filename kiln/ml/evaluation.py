@@ -4,10 +4,11 @@ predictions to the driver."""
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.operators.ranges import ranged
 from kiln.operators.relational import union_all
 
 
@@ -73,9 +74,34 @@ def confusion(df: DataFrame, label: str, pred: str = "prediction", labels=(1, 0)
             .select("label", "prediction", F.coalesce("n", F.lit(0).cast("long")).alias("n")))
 
 
+def auc(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
+    """Exact area under the ROC curve, one row (auc, n_pos, n_neg): the share
+    of pairs of a positive and a negative row in which the positive one scores
+    higher, ties counting half. Null without rows of both classes; rows with a
+    null label or score take no part.
+
+    Rows are counted per score first (with partial sums), the scores are put in
+    ranges, and the negatives of earlier ranges are added to those below in the
+    range: no task sees more scores than its range."""
+    y = F.col(label).cast("double") == F.lit(float(positive))
+    counts = (df.select(F.col(score).cast("double").alias("score"), y.alias("y")).na.drop().groupBy("score")
+              .agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg")))
+    placed = ranged(counts, "score")
+    per = placed.groupBy("_p").agg(F.sum("neg").alias("t"))
+    earlier = per.select("_p", (F.sum("t").over(Window.orderBy("_p")) - F.col("t")).alias("off"))  # a row per range
+    lower = F.coalesce(F.sum("neg").over(Window.partitionBy("_p").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)),
+                       F.lit(0))
+    won = F.col("pos").cast("double") * (F.col("off") + F.col("below") + F.col("neg") / 2)
+    n_pos, n_neg = F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))
+    return (placed.withColumn("below", lower).join(earlier, "_p")
+            .agg(F.try_divide(F.sum(won), n_pos.cast("double") * n_neg).alias("auc"), n_pos.alias("n_pos"), n_neg.alias("n_neg")))
+
+
 def eval_report(model, df: DataFrame, label: str, positive=1) -> DataFrame:
-    """E4 metrics plus area under ROC of a fitted classifier, one row."""
+    """E4 metrics plus the exact area under ROC of a fitted classifier, one
+    row. The score is the probability of the second class (the second raw
+    prediction where a model has no probabilities)."""
     scored = model.transform(df)
-    auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                        metricName="areaUnderROC").evaluate(scored)
-    return eval_binary(scored, label, "prediction", positive).withColumn("auc", F.lit(float(auc)))
+    by = "probability" if "probability" in scored.columns else "rawPrediction"
+    area = auc(scored.withColumn("_score", vector_to_array(F.col(by)).getItem(1)), label, "_score", positive)
+    return eval_binary(scored, label, "prediction", positive).join(F.broadcast(area.select("auc")))   # one row each

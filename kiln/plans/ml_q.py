@@ -331,6 +331,20 @@ def confusion_matrix(spark, sf):
     return E.confusion(binary_pairs(spark, sf), "label", "prediction", labels=(1, 0))
 
 
+_FLAG_SQL = "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"
+
+
+@query("confusion_grid", f"""
+WITH c AS (SELECT {_FLAG_SQL} AS label, CASE WHEN l_quantity > 40 THEN 2 ELSE 0 END AS prediction FROM lineitem),
+g AS (SELECT * FROM (VALUES (0), (1), (2)) a(label), (VALUES (0), (1), (2)) b(prediction))
+SELECT g.label, g.prediction, count(c.label) AS n FROM g LEFT JOIN c USING (label, prediction) GROUP BY ALL""")
+def confusion_grid(spark, sf):
+    """E5 on three classes of which one is never predicted: its cells are 0."""
+    flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
+    rows = table(spark, sf, "lineitem").select(flag.alias("label"), F.when(F.col("l_quantity") > 40, 2).otherwise(0).alias("prediction"))
+    return E.confusion(rows, "label", "prediction", labels=(0, 1, 2))
+
+
 @query("eval_report", """
 SELECT CAST(1 AS DOUBLE) AS accuracy, CAST(1 AS DOUBLE) AS precision, CAST(1 AS DOUBLE) AS recall,
        CAST(1 AS DOUBLE) AS f1, count(*) AS n, CAST(1 AS DOUBLE) AS auc FROM lineitem""")
