@@ -27,8 +27,10 @@ def _bucket(key, seed: int, multiplier: int, integral: bool) -> Column:
     if integral:
         # reduced first, so that no key is too large; only the key modulo the
         # modulus matters, so keys that step by it all get one bucket
-        return F.pmod(F.pmod(k.cast("long"), F.lit(SPLIT_MODULUS)) * F.lit(multiplier) + F.lit(seed), F.lit(SPLIT_MODULUS))
-    # Any other key type: a 64-bit hash of the key and the seed.
+        b = F.pmod(F.pmod(k.cast("long"), F.lit(SPLIT_MODULUS)) * F.lit(multiplier) + F.lit(seed), F.lit(SPLIT_MODULUS))
+        # a null key has a bucket too (that of key 0), so no row is in neither part
+        return F.coalesce(b, F.pmod(F.lit(seed), F.lit(SPLIT_MODULUS)))
+    # Any other key type: a 64-bit hash of the key and the seed (a null key hashes to the seed's own bucket).
     return F.pmod(F.xxhash64(k, F.lit(seed) + F.lit(multiplier)), F.lit(SPLIT_MODULUS))
 
 

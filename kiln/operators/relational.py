@@ -268,9 +268,8 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = BRACKET
     spark = df.sparkSession
     num = {c: F.col(f"`{c}`").cast(DoubleType()) for c in cols}
     stats = df.agg(*[F.count(num[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    state = {c: {"n": stats[i], "rank": (stats[i] - 1) * q + 1, "lo": float("-inf"), "hi": float("nan"), "below": 0}
-             for i, c in enumerate(cols) if stats[i]}      # NaN is the largest double
-    eps = 2.0 / accuracy
+    state = {c: {"n": stats[i], "rank": (stats[i] - 1) * q + 1, "lo": float("-inf"), "hi": float("nan"), "below": 0,
+                 "eps": 2.0 / accuracy} for i, c in enumerate(cols) if stats[i]}      # NaN is the largest double
     out = []
     while state:
         def inside(c):
@@ -280,8 +279,8 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = BRACKET
         for i, c in enumerate(todo):
             s = state[c]
             size = s.get("size", s["n"])
-            ends = [max(0.0, (math.floor(s["rank"]) - s["below"] - 1) / size - eps),
-                    min(1.0, (math.ceil(s["rank"]) - s["below"]) / size + eps)]
+            ends = [max(0.0, (math.floor(s["rank"]) - s["below"] - 1) / size - s["eps"]),
+                    min(1.0, (math.ceil(s["rank"]) - s["below"]) / size + s["eps"])]
             aggs.append(F.percentile_approx(F.when(inside(c), num[c]), ends, accuracy).alias(f"b{i}"))
         cut = df.agg(*aggs).first()
         aggs = []
@@ -292,7 +291,7 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = BRACKET
             aggs += [F.count(F.when(v < F.lit(lo), 1)).alias(f"u{i}"), F.count(F.when(mid, 1)).alias(f"k{i}"),
                      F.approx_count_distinct(F.when(mid, v)).alias(f"d{i}")]
         found = df.agg(*aggs).first()
-        ready = []
+        ready, many = [], False
         for i, c in enumerate(todo):
             s, (lo, hi) = state[c], cut[i]
             below, size, distinct = found[3 * i:3 * i + 3]
@@ -301,16 +300,18 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = BRACKET
                 s.update(lo=lo, hi=hi, below=below, size=size)
                 if distinct <= values or not narrower:
                     ready.append(c)
-            else:                                           # the sketch missed: rank what is left as it is
-                ready.append(c)
+                    many |= distinct > values
+            else:                                           # the sketch missed: a wider bracket, up to all values
+                s["eps"] *= 8
         if ready:
             parts = [df.filter(inside(c)).select(F.lit(c).alias("column"), num[c].alias("v")) for c in ready]
             counts = reduce(lambda a, b: a.unionByName(b), parts).groupBy("column", "v").agg(F.count(F.lit(1)).alias("k"))
             per = [(c, state[c]["below"], float(math.floor(state[c]["rank"])), float(math.ceil(state[c]["rank"])),
                     state[c]["rank"] - math.floor(state[c]["rank"])) for c in ready]
             want = spark.createDataFrame(per, "column string, below long, a double, b double, part double")
-            ranked = counts.join(want, "column").withColumn(
-                "upto", F.col("below") + F.sum("k").over(Window.partitionBy("column").orderBy("v")))
+            ranked = (_counted_by_range(counts) if many else counts.withColumn(
+                "_upto", F.sum("k").over(Window.partitionBy("column").orderBy("v")))).join(want, "column").withColumn(
+                "upto", F.col("below") + F.col("_upto"))
 
             def at(r):
                 return F.max(F.when((F.col("upto") - F.col("k") < F.col(r)) & (F.col("upto") >= F.col(r)), F.col("v")))
@@ -324,6 +325,17 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = BRACKET
     return reduce(lambda a, b: a.unionByName(b), out)
 
 
+def _counted_by_range(counts: DataFrame) -> DataFrame:
+    """``counts(column, v, k)`` with the running sum of ``k`` per column, over key
+    ranges: no task holds more values than its range."""
+    placed = ranged(counts, ["column", "v"])
+    per = placed.groupBy("column", "_p").agg(F.sum("k").alias("_t"))
+    before = per.select("column", "_p", (F.sum("_t").over(Window.partitionBy("column").orderBy("_p")) - F.col("_t")).alias("_off"))
+    inside = Window.partitionBy("column", "_p").orderBy("_loc").rowsBetween(Window.unboundedPreceding, 0)
+    return placed.withColumn("_s", F.sum("k").over(inside)).join(before, ["column", "_p"]).select(
+        "column", "v", "k", (F.col("_off") + F.col("_s")).alias("_upto"))
+
+
 def median_var(df: DataFrame, cols, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """(column, median, var) per column. ``exact=True`` ranks all
     columns in one distributed pass; ``exact=False`` uses

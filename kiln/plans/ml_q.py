@@ -16,6 +16,7 @@ from kiln.ml import features as M
 from kiln.ml import linear as LIN
 from kiln.ml import models as L
 from kiln.functions import udfs as U
+from kiln.operators import ranks as RK
 from kiln.operators import relational as R
 from kiln.plans.fit_sql import correlations, descent_sql
 from kiln.plans.registry import query, rnd, table
@@ -480,6 +481,16 @@ def string_index(spark, sf):
         "o_orderkey", "o_orderpriority", "priority_idx")
 
 
+@query("index_many", """
+WITH f AS (SELECT CAST(l_partkey AS VARCHAR) AS part, count(*) AS c FROM lineitem GROUP BY 1),
+r AS (SELECT part, CAST(row_number() OVER (ORDER BY c DESC, part) - 1 AS DOUBLE) AS part_idx FROM f)
+SELECT l_orderkey, l_linenumber, part_idx FROM lineitem JOIN r ON part = CAST(l_partkey AS VARCHAR)""")
+def index_many(spark, sf):
+    """M8 on a column of many values, whose labels stay on the executors."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return RK.index_values(li, "part", "part_idx").drop("part")
+
+
 # ---------------------------------------------------------------- D: UDFs, group models
 
 OLS2_SQL = f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kiln.operators import ranks as RK
 from kiln.operators import relational as R
 from kiln.plans.registry import query, rnd, table
 from kiln.sources import tables as S
@@ -408,3 +409,34 @@ SELECT o_orderkey, CAST(floor(((o_orderkey * 6007 + 42) % 10007) * 3 / 10007) AS
 FROM orders""")
 def kfold_assign(spark, sf):
     return R.with_fold(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 3, 42)
+
+
+_NULL_KEYS = "(SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey END AS k FROM orders)"
+
+
+@query("split_null_key", f"""
+SELECT o_orderkey, coalesce((k * 7919 + 42) % 10007, 42) < 8006 AS is_train,
+       coalesce((k * 7919 + 42) % 10007, 42) < 8006 AS is_train_int,
+       CAST(floor(coalesce((k * 6007 + 42) % 10007, 42) * 3 / 10007) AS INTEGER) AS fold FROM {_NULL_KEYS}""")
+def split_null_key(spark, sf):
+    """R1-R3 on a key that is null in every fifth row: each row has its part."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey")).alias("k"))
+    o = R.with_fold(R.with_split(o, "k", 0.8, 42), "k", 3, 42)
+    return R.with_split(o.withColumn("k", F.col("k").cast("int")), "k", 0.8, 42, "is_train_int").drop("k")
+
+
+@query("union_wide", "SELECT r_regionkey, r_name FROM region, range(31)")
+def union_wide(spark, sf):
+    """31 tables in one union."""
+    region = table(spark, sf, "region").select("r_regionkey", "r_name")
+    return R.union_all(*[region] * 31)
+
+
+@query("rank_corr", f"""
+WITH r AS (SELECT {', '.join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in LI4)}
+           FROM lineitem)
+""" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) + 0.0 AS r FROM r" for a, b in _PAIRS))
+def rank_corr(spark, sf):
+    """A8 by average ranks (ties share theirs)."""
+    c = RK.rank_corr(table(spark, sf, "lineitem"), LI4)
+    return c.select("a", "b", (rnd("r") + F.lit(0.0)).alias("r"))

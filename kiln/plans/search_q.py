@@ -258,7 +258,7 @@ CONDITIONAL = {"model": {"linear": {"regParam": ("float", 0.0, 2.0), "elasticNet
 def model_search(spark, sf):
     """H5/H6: the model and its own parameters are searched together."""
     return _searched(spark, sf, lambda p: _tree_stages(p["model"], **{k: v for k, v in p.items() if k != "model"}),
-                     CONDITIONAL, 16)
+                     CONDITIONAL, 30)
 
 
 @query("int_search")
@@ -274,3 +274,13 @@ def forest_sweep(spark, sf):
     train, _ = part_folds(spark, sf)
     grid = [{"numTrees": n, "maxDepth": d} for n in (5, 20) for d in (2, 5)]
     return H.sweep(train, grid, lambda p: _tree_stages("forest", seed=42, **p), "p_retailprice")
+
+
+@query("forest_cv")
+def forest_cv(spark, sf):
+    """H2 over the forest grid at full size: 3 tree counts x 3 depths x 3 folds."""
+    train, _ = part_folds(spark, sf)
+    stages = _tree_stages("forest", seed=42)
+    res = H.cv_search(train, stages, stages[-1], {"numTrees": [5, 10, 20], "maxDepth": [2, 5, 10]}, "p_retailprice", "rmse",
+                      "fold", parallelism=4)
+    return res.trials

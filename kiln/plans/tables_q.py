@@ -232,11 +232,8 @@ def run_tree(spark, sf):
     st = new_store(spark)
     K.log_run(st, "parent", ts=T0, name="sweep")
     li = table(spark, sf, "lineitem")
-    flags = [r[0] for r in li.select("l_returnflag").distinct().collect()]  # a handful of child runs
-    for f in flags:
-        K.log_run(st, f"child-{f}", parent="parent", ts=T0)
-        K.log_metrics_df(st, f"child-{f}", li.filter(F.col("l_returnflag") == f)
-                         .agg(rnd(F.avg("l_quantity")).alias("avg_quantity")))
+    children = li.groupBy(F.concat(F.lit("child-"), "l_returnflag").alias("run_id")).agg(rnd(F.avg("l_quantity")).alias("avg_quantity"))
+    K.log_children(st, "parent", children, ts=T0)
     t = K.run_tree(st)
     return t.select("parent_run_id", "key", "n_children", rnd("mean").alias("mean"), "min", "max")
 

@@ -8,6 +8,7 @@ laptop) do we create a private temporary folder and register it.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -71,9 +72,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+#: Paths handed out inside the open scopes, innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique directory path under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/kiln-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique directory path under the shared checkpoint root. What is
+    written there stays until its owner removes it: the ``scratch_scope`` it was
+    made in, or whoever cleans the shared folder."""
+    path = f"{checkpoint_root(spark)}/kiln-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Owner of the intermediate tables made inside (ranges, dictionaries, node
+    tables): they are deleted at its end. Frames built on them must have been
+    written or collected by then. Scopes of one thread may be nested."""
+    from kiln.sources import fs
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            fs.delete(spark, path)
 
 
 def table_path(sf_dir: str, name: str) -> str:

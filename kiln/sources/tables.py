@@ -67,16 +67,13 @@ def use_schema(spark: SparkSession, name: str) -> None:
 
 
 def _existing_schema(spark: SparkSession, target: str, fmt: str, by_name: bool):
-    try:
-        if by_name:
-            if not spark.catalog.tableExists(target):
-                return None
-            return spark.read.table(target).schema
-        if not fs.exists(spark, target):
-            return None
-        return spark.read.format(fmt).load(target).schema
-    except Exception:  # noqa: BLE001 - an unreadable target has no schema to keep
+    """None only where there is no target (or an empty folder); a target that
+    cannot be read raises."""
+    if by_name:
+        return spark.read.table(target).schema if spark.catalog.tableExists(target) else None
+    if not fs.exists(spark, target) or fs.size_of(spark, target)[0] == 0:
         return None
+    return spark.read.format(fmt).load(target).schema
 
 
 def sink(df: DataFrame, target: str, mode: str = "errorifexists", replace_schema: bool = False,

@@ -83,6 +83,20 @@ def log_metrics_df(store: Store, run_id: str, df: DataFrame, step: int = 0) -> N
                                            F.lit(step).cast("long").alias("step")))
 
 
+def log_children(store: Store, parent: str, runs: DataFrame, ts: _dt.datetime | None = None, step: int = 0) -> None:
+    """K2: a child run of ``parent`` per row of ``runs(run_id, metrics...)``, and
+    every numeric column as its metric: two appends, whatever the number of
+    children; none of it passes the driver."""
+    cols = [c for c, t in runs.dtypes if c != "run_id" and t in ("double", "float", "int", "bigint", "smallint")]
+    if not cols:
+        raise ValueError("no numeric column to log")
+    runs = runs.checkpoint()                        # read by both appends
+    store.append_df("runs", runs.select("run_id", F.lit(parent).alias("parent_run_id"), F.lit(None).alias("name"),
+                                        F.lit(ts or _now()).alias("ts")).select(*store.table("runs").columns))
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in cols]))
+    store.append_df("metrics", runs.select("run_id", pairs).select("run_id", "key", "value", F.lit(step).cast("long").alias("step")))
+
+
 def run_tree(store: Store) -> DataFrame:
     """K2: child metrics rolled up to their parent: (parent_run_id, key,
     n_children, mean, min, max)."""
