@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from kiln.operators.relational import join_asof
 from kiln.sources import snapshots as V
+from kiln.sources import zones
 
 REPORT_LIMIT = 10  # offending keys quoted in an error message
 
@@ -101,19 +102,29 @@ def merge_frames(current: DataFrame, incoming: DataFrame, keys) -> DataFrame:
     return j.select(*keys, *out)
 
 
-def touched_segments(spark: SparkSession, row, df: DataFrame, keys) -> list[str]:
-    """Segments of a version that hold a key of ``df``: a semi-join of the key
-    columns; one name per segment comes back."""
+def touched_segments(spark: SparkSession, root: str, row, df: DataFrame, keys) -> list[str]:
+    """Segments of a version that hold a key of ``df``. The zone maps rule most
+    of them out; of the rest, the key columns are semi-joined, and one name per
+    segment comes back."""
     keys = list(keys)
-    out = []
-    stored = V.segments_of(spark, row, row.segments).select(*keys, F.col("_metadata.file_path").alias("_file"))
+    near = zones.met(spark, root, row.segments, df, keys)
+    if not near:
+        return []
+    stored = V.segments_of(spark, row, near).select(*keys, F.col("_metadata.file_path").alias("_file"))
     hit = stored.join(df.select(*keys), keys, "left_semi").select(
         F.regexp_extract("_file", r"/(seg-[0-9]+-[0-9a-f]+)/", 1).alias("_seg")).distinct()
     names = {r["_seg"] for r in hit.collect()}
-    for x in row.segments:
-        if x.rstrip("/").rsplit("/", 1)[-1] in names:
-            out.append(x)
-    return out
+    return [x for x in near if zones.name_of(x) in names]
+
+
+def lookup(spark: SparkSession, root: str, keys_df: DataFrame, as_of: _dt.datetime | None = None) -> DataFrame:
+    """Rows of the table (now or as of a time) whose key is in ``keys_df``. Only
+    segments whose key bounds meet a key are read."""
+    keys = V.read_meta(spark, root)["primary_keys"]
+    row = V.version_row(spark, root, ts=as_of)
+    near = zones.met(spark, root, row.segments, keys_df, keys)
+    rows = V.segments_of(spark, row, near) if near else spark.createDataFrame([], read(spark, root, as_of).schema)
+    return rows.join(keys_df.select(*keys), keys, "left_semi")
 
 
 def merge(spark: SparkSession, root: str, df: DataFrame, ts: _dt.datetime | None = None) -> int:
@@ -129,7 +140,7 @@ def merge(spark: SparkSession, root: str, df: DataFrame, ts: _dt.datetime | None
         meta["dropped"] = []
         V.write_meta(spark, root, meta)
     else:
-        hit = touched_segments(spark, cur, df, keys)
+        hit = touched_segments(spark, root, cur, df, keys)
     schema = read(spark, root).schema
     old = V.segments_of(spark, cur, hit) if hit else spark.createDataFrame([], schema)
     return V.write_version(merge_frames(old, df, keys), root, "MERGE", ts, keep=[x for x in cur.segments if x not in hit])

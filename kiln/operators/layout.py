@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from kiln.functions.exprs import bucket_by_cuts, interleave_bits
 from kiln.sources import fs
 from kiln.sources import snapshots as V
+from kiln.sources import zones
 
 DEFAULT_TARGET_BYTES = 128 * 1024 * 1024
 MIN_RETENTION_HOURS = 168
@@ -148,22 +149,59 @@ def zorder_cuts(df: DataFrame, cols, bits: int = 8, rel_err: float = 0.001) -> d
     return {c: sorted(set(q)) for c, q in zip(cols, qs)}
 
 
+#: A z-ordered segment joins a rewrite if it is at most so many times as large
+#: as what is rewritten anyway: old rows are written again only when the table
+#: has grown by a share of them, so a row is written O(log table) times.
+MERGE_FACTOR = 2.0
+
+
 def zorder(spark: SparkSession, root: str, cols, bits: int = 8, target_bytes: int = DEFAULT_TARGET_BYTES,
-           ts: _dt.datetime | None = None) -> int:
+           ts: _dt.datetime | None = None, recut: bool = False) -> int:
     """Rewrite so rows close in all of ``cols`` (numbers, dates, times or
-    text) share files: range partitions on the z-value, sorted inside. Y5: refused on a clustered
-    table."""
+    text) share files: range partitions on the z-value, sorted inside.
+
+    The first run z-orders the whole version and stores its cut points. Later
+    runs with the same columns rewrite only what came since, by the same cut
+    points, and those z-ordered segments that are small beside it and whose
+    z-values overlap; other narrow segments stay. ``recut`` starts anew (data
+    may have moved away from the cut points). Y5: refused on a clustered table."""
     meta = V.read_meta(spark, root)
     if meta.get("cluster_by"):
         raise LayoutError("z-order is not allowed on a table with clustering keys")
     cur = V.latest(spark, root)
-    df = V.read_as_of(spark, root)
-    keyed = df.select("*", *[sort_key(df, c).alias(f"_z{i}") for i, c in enumerate(cols)])
+    spec = meta.get("zorder") or {}
+    if recut or spec.get("cols") != list(cols) or spec.get("bits") != bits:
+        spec = {"cols": list(cols), "bits": bits, "cuts": None, "ranges": {}}
+    narrow = [s for s in cur.segments if zones.name_of(s) in spec["ranges"]]
+    todo = [s for s in cur.segments if s not in narrow]
+    if not todo:
+        return cur.version
+    size = {s: x[2] for s, x in V.segment_sizes(spark, cur, cur.segments).items()}
+
+    def keyed(segments):
+        df = V.segments_of(spark, cur, segments)
+        return df, df.select("*", *[sort_key(df, c).alias(f"_z{i}") for i, c in enumerate(cols)])
+
     names = [f"_z{i}" for i in range(len(cols))]
-    z = z_value(names, zorder_cuts(keyed.select(*names), names, bits), bits, equal=True)
-    n = _n_files(cur.n_bytes, target_bytes)
-    out = V.range_layout(keyed.withColumn("_z", z), ["_z"], n).drop("_z", *names)
-    return V.write_version(out, root, "ZORDER", ts, prepared=True)
+    df, rows = keyed(todo)
+    cuts = spec["cuts"] or zorder_cuts(rows.select(*names), names, bits)
+    z = z_value(names, cuts, bits, equal=True)
+    lo, hi = rows.agg(F.min(z), F.max(z)).first()
+    work = sum(size[s] for s in todo)
+    for s in sorted(narrow, key=size.get):
+        a, b = spec["ranges"][zones.name_of(s)]
+        if lo is not None and size[s] <= MERGE_FACTOR * work and a <= hi and lo <= b:
+            todo, work, lo, hi = [*todo, s], work + size[s], min(lo, a), max(hi, b)
+    if len(todo) > len(cur.segments) - len(narrow):
+        df, rows = keyed(todo)
+    out = V.range_layout(rows.withColumn("_z", z), ["_z"], _n_files(work, target_bytes)).drop("_z", *names)
+    kept = [s for s in cur.segments if s not in todo]
+    version = V.write_version(out, root, "ZORDER", ts, prepared=True, keep=kept)
+    made = zones.name_of(V.latest(spark, root).segments[-1])
+    ranges = {n: r for n, r in spec["ranges"].items() if n in {zones.name_of(s) for s in kept}}
+    # noted after the version: a run that fails here leaves a segment that is only ordered again
+    V.write_meta(spark, root, {**meta, "zorder": {**spec, "cuts": cuts, "ranges": {**ranges, made: [lo or 0, hi or 0]}}})
+    return version
 
 
 def cluster_by(spark: SparkSession, root: str, cols) -> None:

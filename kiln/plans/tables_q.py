@@ -86,6 +86,11 @@ def orders_versions(spark, sf) -> str:
     return root
 
 
+_ZORDER_APPEND_SQL = """
+SELECT l_returnflag, count(*) AS n, CAST(sum(l_orderkey * 8 + l_linenumber) AS BIGINT) AS keys, true AS old_kept
+FROM lineitem GROUP BY l_returnflag"""
+
+
 @query("version_write", "SELECT * FROM orders WHERE o_orderstatus = 'O'")
 def version_write(spark, sf):
     return V.read_as_of(spark, orders_versions(spark, sf))
@@ -160,6 +165,33 @@ def ft_merge(spark, sf):
     return FT.read(spark, root)
 
 
+@query("ft_lookup", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer WHERE c_custkey % 1000 IN (3, 7) OR c_custkey < 40""")
+def ft_lookup(spark, sf):
+    """Rows of some keys from a table of several segments; the zone maps
+    rule segments out before they are read."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    root = scratch_path(spark, "lookup")
+    FT.create(spark, root, ["c_custkey"], df=c.filter("c_custkey < 500"), ts=T0)
+    FT.merge(spark, root, c.filter("c_custkey >= 500"), ts=T1)
+    return FT.lookup(spark, root, c.filter("c_custkey % 1000 IN (3, 7) OR c_custkey < 40"))
+
+
+@query("zorder_append", _ZORDER_APPEND_SQL)
+def zorder_append(spark, sf):
+    """Y3 on a table that grows: the second run orders the new rows only."""
+    li, root = table(spark, sf, "lineitem"), scratch_path(spark, "zorder")
+    V.write_version(li.filter("l_orderkey % 10 <> 0"), root, "WRITE", T0)
+    Y.zorder(spark, root, ["l_quantity", "l_discount"], bits=4, ts=T1)
+    V.write_version(li.filter("l_orderkey % 10 = 0"), root, "APPEND", T1, mode="append")
+    first = V.latest(spark, root).segments[0]
+    Y.zorder(spark, root, ["l_quantity", "l_discount"], bits=4, ts=T2)
+    now = V.latest(spark, root)
+    kept = F.lit(first in now.segments and len(now.segments) == 2)
+    return V.read_as_of(spark, root).groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("keys")).withColumn("old_kept", kept)
+
+
 @query("ft_add_feature", """
 SELECT *, CASE WHEN c_acctbal >= 4000 THEN 'high' ELSE 'low' END AS balance_band FROM customer""")
 def ft_add_feature(spark, sf):

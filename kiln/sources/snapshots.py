@@ -4,6 +4,7 @@ Layout of a table root::
 
     root/seg-<version>-<id>/part-*.parquet    immutable data segments
     root/_manifest/part-*.parquet             one row per version
+    root/_zones/<segment>/part-*.parquet      key bounds of the segment's files
     root/_expired/part-*.parquet              versions whose files were removed
     root/_meta.json                           keys, clustering, description
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.sources import fs
+from kiln.sources import fs, zones
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
@@ -35,6 +36,8 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("n_files", T.IntegerType(), False),
     T.StructField("n_bytes", T.LongType(), False),
     T.StructField("schema", T.StringType(), True),
+    # rows, files and bytes of each segment, in the order of ``segments``
+    T.StructField("sizes", T.ArrayType(T.ArrayType(T.LongType())), True),
 ])
 EXPIRED_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
@@ -126,24 +129,32 @@ def write_version(df: DataFrame, root: str, operation: str = "WRITE", ts: _dt.da
     data = df if prepared else _cluster(df, meta)
     seg, new_rows = _write_segment(data, root, version, partition_by or meta.get("partition_by", ()))
     files, nbytes = fs.size_of(spark, seg)
-    old = [] if cur is None else list(cur.segments) if mode == "append" else [x for x in cur.segments if x in set(keep or ())]
-    n_rows = new_rows
-    if old and len(old) == len(cur.segments):
-        n_rows, files, nbytes = n_rows + cur.n_rows, files + cur.n_files, nbytes + cur.n_bytes
-    elif old:
-        n_rows += segments_of(spark, cur, old).count()          # from the files' footers
-        for x in old:
-            f, b = fs.size_of(spark, x)
-            files, nbytes = files + f, nbytes + b
+    kept = set(keep or ())
+    old = [] if cur is None else [x for x in cur.segments if mode == "append" or x in kept]
+    known = {} if cur is None else segment_sizes(spark, cur, old)
+    sizes = [known[x] for x in old] + [[new_rows, files, nbytes]]
+    n_rows, files, nbytes = (sum(x[i] for x in sizes) for i in range(3))
+    columns = [*(meta.get("primary_keys") or []), *(meta.get("cluster_by") or [])]
+    if columns:
+        zones.write(spark, root, seg, dict.fromkeys(columns), data.schema)
     # stored with the version, so that no read has to open every file's footer
     fields = list(data.schema.fields)
     if mode == "append" and old and cur.schema:
         known = T.StructType.fromJson(json.loads(cur.schema)).fields
         fields = known + [f for f in fields if f.name not in {o.name for o in known}]
-    _add_row(spark, root, (version, ts or _now(), operation, [*old, seg], n_rows, files, nbytes, T.StructType(fields).json()))
+    _add_row(spark, root, (version, ts or _now(), operation, [*old, seg], n_rows, files, nbytes, T.StructType(fields).json(), sizes))
     return version
 
 
+def segment_sizes(spark: SparkSession, row, segments) -> dict[str, list[int]]:
+    """Rows, files and bytes of some segments of a version, from its manifest
+    row; from the files themselves where an old manifest has no sizes."""
+    if row.sizes is not None:
+        known = dict(zip(row.segments, row.sizes))
+        return {x: list(known[x]) for x in segments}
+    return {x: [segments_of(spark, row, [x]).count(), *fs.size_of(spark, x)] for x in segments}
+
+
 def _add_row(spark: SparkSession, root: str, row: tuple) -> None:
     spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_manifest")
 
@@ -154,7 +165,7 @@ def write_schema(spark: SparkSession, root: str, schema: T.StructType, operation
     is written."""
     cur = latest(spark, root)
     _add_row(spark, root, (cur.version + 1, ts or _now(), operation, list(cur.segments), cur.n_rows, cur.n_files,
-                           cur.n_bytes, schema.json()))
+                           cur.n_bytes, schema.json(), cur.sizes))
     return cur.version + 1
 
 
@@ -169,6 +180,12 @@ def read_as_of(spark: SparkSession, root: str, ts: _dt.datetime | None = None,
                version: int | None = None) -> DataFrame:
     """The table as of a timestamp (newest version with ``ts <= t``) or
     as of a version number; the latest version when neither is given."""
+    row = version_row(spark, root, ts, version)
+    return segments_of(spark, row, row.segments)
+
+
+def version_row(spark: SparkSession, root: str, ts: _dt.datetime | None = None, version: int | None = None):
+    """The manifest row that ``read_as_of`` reads."""
     m = manifest(spark, root)
     if version is not None:
         m = m.filter(F.col("version") == version)
@@ -180,13 +197,13 @@ def read_as_of(spark: SparkSession, root: str, ts: _dt.datetime | None = None,
     row = rows[0]
     if row.version in expired_versions(spark, root):
         raise LookupError(f"version {row.version} of {root} was expired")
-    return segments_of(spark, row, row.segments)
+    return row
 
 
 def history(spark: SparkSession, root: str) -> DataFrame:
     """Version history, newest last."""
     exp = f"{root}/_expired"
-    m = manifest(spark, root).drop("schema")
+    m = manifest(spark, root).drop("schema", "sizes")
     if fs.exists(spark, exp):
         e = spark.read.schema(EXPIRED_SCHEMA).parquet(exp).select("version", F.lit(True).alias("_x"))
         m = m.join(e, "version", "left")
