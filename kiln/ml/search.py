@@ -21,6 +21,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kiln.ml.trials import run_trials
+from kiln.session import scratch_path
+
 
 @dataclass
 class SearchResult:
@@ -91,7 +94,8 @@ def tvs_search(df: DataFrame, stages, stage, grid: dict, label: str, metric: str
                ratio: float = 0.8, parallelism: int = 4, seed: int = 42, key: str | None = None) -> SearchResult:
     """H3: grid search on one train/validation split. With ``key`` the split
     is the reproducible key-hash split (``relational.split``) and the grid
-    points are fitted on up to ``parallelism`` driver threads; without it,
+    points are fitted as up to ``parallelism`` trials at once (``df`` is read by
+    each: cache or write it before if that is dear); without it,
     Spark's ``TrainValidationSplit`` (whose random split depends on the
     input partitioning)."""
     maps = _maps(stage, grid)
@@ -104,15 +108,13 @@ def tvs_search(df: DataFrame, stages, stage, grid: dict, label: str, metric: str
         metrics, best_model = model.validationMetrics, model.bestModel
     else:
         from kiln.operators.relational import split
-        # read once, whatever the number of grid points
-        train, valid = (part.persist() for part in split(df, key, ratio, seed))
-        try:
-            with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                metrics = list(pool.map(lambda m: ev.evaluate(pipe.fit(train, m).transform(valid)), maps))
-            best_model = pipe.fit(train, maps[_best(maps, metrics, ev.isLargerBetter())[0]])
-        finally:
-            train.unpersist()
-            valid.unpersist()
+        train, valid = split(df, key, ratio, seed)
+        done = run_trials(df.sparkSession, [[lambda m=m: ev.evaluate(pipe.fit(train, m).transform(valid))] for m in maps], parallelism)
+        for _, e in done:
+            if e is not None:
+                raise e
+        metrics = [r[0] for r, _ in done]
+        best_model = pipe.fit(train, maps[_best(maps, metrics, ev.isLargerBetter())[0]])
     _, best = _best(maps, metrics, ev.isLargerBetter())
     trials = _trial_frame(df.sparkSession, stage, maps, metrics, metric)
     return SearchResult(best_model, best, trials)
@@ -216,7 +218,7 @@ def _arms(rng, arms: list, hist: list[tuple[dict, float]], k: int, gamma: float)
 
 
 def adaptive_search(fit_eval, space: dict, n: int, startup: int = 3, batch: int = 4, seed: int = 123,
-                    gamma: float = 0.25, candidates: int = 64, spark: SparkSession | None = None):
+                    gamma: float = 0.25, candidates: int = 64, spark: SparkSession | None = None, timeout: float | None = None):
     """H6/H7: sequential model-based search. The first ``startup`` trials are
     random; after that, each batch is proposed from a kernel density over the
     good trials against one over the rest. In a conditional space (``{"model":
@@ -226,7 +228,9 @@ def adaptive_search(fit_eval, space: dict, n: int, startup: int = 3, batch: int
 
     ``fit_eval(params) -> metric`` (lower is better) runs a Spark fit; a batch
     runs in parallel threads. A failing trial scores inf and its message is
-    kept in ``error``; if all fail, the last error is raised. Returns the
+    kept in ``error``; if all fail, the last error is raised. With ``spark``, the
+    trials of a batch are jobs of their own (``trials.run_trials``), cancelled
+    after ``timeout`` seconds. Returns the
     trial table as a DataFrame (or a list of (parameters, metric) without
     ``spark``)."""
     models = space["model"] if isinstance(space.get("model"), dict) else None
@@ -266,7 +270,11 @@ def adaptive_search(fit_eval, space: dict, n: int, startup: int = 3, batch: int
             if len(hist) < startup:
                 k = min(k, startup - len(hist))
             props = proposals(k)
-            done = list(pool.map(run, props))
+            if spark is None:
+                done = list(pool.map(run, props))
+            else:
+                done = [(float("inf") if e else float(m[0]), e)
+                        for m, e in run_trials(spark, [[lambda p=p: fit_eval(p)] for p in props], batch, timeout)]
             hist.extend((p, m) for p, (m, _) in zip(props, done))
             errors.extend(e for _, e in done)
     if errors and all(errors):
@@ -284,33 +292,31 @@ def adaptive_search(fit_eval, space: dict, n: int, startup: int = 3, batch: int
 
 
 def sweep(df: DataFrame, trials: list[dict], stages_of, label: str, metric: str = "rmse", fold: str = "fold",
-          parallelism: int = 4) -> DataFrame:
+          parallelism: int = 4, timeout: float | None = None, stored: bool = False) -> DataFrame:
     """H8 for any Spark estimator: cross-validate ``stages_of(params)`` over the
     folds in ``df`` for each parameter set. Returns (trial, params (JSON),
-    avg_metric, error); a failing trial has no metric and keeps its message,
-    and if all fail, the last error is raised."""
+    avg_metric, error); a failing trial, or one that takes over ``timeout``
+    seconds, has no metric and keeps its message, its other folds are cancelled,
+    and if all fail, the last error is raised. All (trial, fold) fits share the
+    ``parallelism``. Each fit reads ``df``: with ``stored`` it is written once to
+    the shared folder first; nothing is pinned in memory."""
+    spark = df.sparkSession
+    if stored:
+        path = scratch_path(spark, "sweep")
+        df.write.parquet(path)
+        df = spark.read.schema(df.schema).parquet(path)
     folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect() if r[0] is not None]   # k values
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
-    df = df.persist()
 
-    def run(params):
-        try:
-            scores = [ev.evaluate(Pipeline(stages=list(stages_of(params))).fit(df.filter(F.col(fold) != f))
-                                  .transform(df.filter(F.col(fold) == f))) for f in folds]
-            return float(np.mean(scores)), None
-        except Exception as e:  # noqa: BLE001 - a failed trial is recorded, not fatal
-            return None, e
+    def score(params, f):
+        return ev.evaluate(Pipeline(stages=list(stages_of(params))).fit(df.filter(F.col(fold) != f)).transform(df.filter(F.col(fold) == f)))
 
-    try:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            done = list(pool.map(run, trials))
-    finally:
-        df.unpersist()
+    done = run_trials(spark, [[lambda p=p, f=f: score(p, f) for f in folds] for p in trials], parallelism, timeout)
     if done and all(e for _, e in done):
         raise done[-1][1]
-    rows = [(i, json.dumps(p, sort_keys=True), m, None if e is None else f"{type(e).__name__}: {e}"[:500])
+    rows = [(i, json.dumps(p, sort_keys=True), None if e else float(np.mean(m)), None if e is None else f"{type(e).__name__}: {e}"[:500])
             for i, (p, (m, e)) in enumerate(zip(trials, done))]
-    return df.sparkSession.createDataFrame(rows, f"trial int, params string, avg_{metric} double, error string")
+    return spark.createDataFrame(rows, f"trial int, params string, avg_{metric} double, error string")
 
 
 def _fold_sums(df: DataFrame, xs: list[str], y: str, fold: str) -> DataFrame:

@@ -13,6 +13,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def run_noop(df: DataFrame) -> float:
@@ -61,3 +62,19 @@ def layout_report(spark: SparkSession, query: Callable[[], DataFrame], job: Call
             ("bytes", float(before["bytes"]), float(after["bytes"]))]
     out = [(m, b, a, (a - b) / b * 100.0 if b else None) for m, b, a in rows]
     return spark.createDataFrame(out, "metric string, before double, after double, pct_change double")
+
+
+def scan_gain(before: DataFrame, after: DataFrame, predicate: str) -> DataFrame:
+    """Y6 from the scans instead of the clock: (metric, before, after) of two
+    layouts of the same rows: their files, the files that hold rows of the
+    predicate, and those rows. One scan of each, of the predicate's columns."""
+    def one(df, name):
+        rows = df.select(F.expr(predicate).alias("hit"), F.col("_metadata.file_path").alias("file"))
+        per = rows.groupBy("file").agg(F.count_if("hit").alias("k"))
+        return per.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("k") > 0).alias("files_met"),
+                       F.coalesce(F.sum("k"), F.lit(0)).alias("rows_met")).withColumn("side", F.lit(name))
+
+    both = one(before, "before").unionByName(one(after, "after"))
+    long = both.select("side", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v"))
+                                                  for m in ("files", "files_met", "rows_met")])))
+    return long.groupBy("metric").pivot("side", ["before", "after"]).agg(F.max("v"))

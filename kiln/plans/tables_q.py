@@ -419,6 +419,18 @@ def layout_report(spark, sf):
                             lambda: Y.file_stats(spark, root), runs=3)
 
 
+@query("layout_gain", """
+WITH hit AS (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'O')
+SELECT 'files' AS metric, CAST(40 AS BIGINT) AS before, CAST(1 AS BIGINT) AS after
+UNION ALL SELECT 'files_met', 40, 1 UNION ALL SELECT 'rows_met', n, n FROM hit""")
+def layout_gain(spark, sf):
+    """Y6 from the scans: files that a filter meets before and after compaction."""
+    root = many_files(spark, sf, "orders", 40)
+    old = V.latest(spark, root).version
+    Y.compact(spark, root, target_bytes=1 << 28, ts=T1)
+    return TM.scan_gain(V.read_as_of(spark, root, version=old), V.read_as_of(spark, root), "o_orderstatus = 'O'")
+
+
 @query("timing_report")
 def timing_report(spark, sf):
     """One job (means of numeric columns) done two ways."""
