@@ -244,6 +244,24 @@ class Page(HTMLParser):
                 self.place = node
             self.buffer.append(data)
 
+    def packed(self) -> dict:
+        """What ``kept`` needs of the tree."""
+        n = self.nodes
+        return {"paths": [_signed(x.path) for x in n], "ups": [x.up for x in n], "weights": [x.weight for x in n],
+                "asides": [k for k, x in enumerate(n) if x.aside], "leaves": sorted({k for k, _ in self.blocks}),
+                "mains": self.mains, "places": [k for k, _ in self.blocks], "texts": [t for _, t in self.blocks]}
+
+    @classmethod
+    def unpacked(cls, tree: dict) -> Page:
+        page = cls()
+        page.nodes = [Node(p % (1 << 64), u, 0, w, False, False) for p, u, w in zip(tree["paths"], tree["ups"], tree["weights"])]
+        for k in tree["asides"]:
+            page.nodes[k].aside = True
+        for k in tree["leaves"]:
+            page.nodes[k].content = True
+        page.mains, page.blocks = tree["mains"], list(zip(tree["places"], tree["texts"]))
+        return page
+
     def chain(self, k: int):
         while k > 0:
             yield k
@@ -314,6 +332,8 @@ def _shape(page: Page) -> int:
     return _signed(xxhash.xxh64_intdigest(" ".join(map(str, sorted(n.path for n in page.nodes if n.chars)))))
 
 
+TREE = pa.struct([(n, pa.list_(pa.string() if n == "texts" else pa.float64() if n == "weights" else pa.int64()))
+                  for n in ("paths", "ups", "weights", "asides", "leaves", "mains", "places", "texts")])
 NODES = "array<struct<path:bigint,up:bigint,depth:int,leaf:boolean,key:bigint,share:double>>"
 
 
@@ -326,23 +346,26 @@ def main_text(pages: DataFrame, html_col: str = "html", url_col: str = "url", ca
     kind = dict(src.dtypes)["doc"]
     low = low_nodes(src)
 
-    def shapes(batches):
+    def trees(batches):
         for batch in batches:
             made = [parse(h.as_py()) for h in batch.column("html")]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([host_of(u) for u in batch.column("url").to_pylist()], pa.string()),
-                 pa.array([_shape(p) for p in made], pa.int64())], ["doc", "html", "url", "host", "shape"])
+                [batch.column("doc"), pa.array([host_of(u) for u in batch.column("url").to_pylist()], pa.string()),
+                 pa.array([_shape(p) for p in made], pa.int64()), pa.array([p.packed() for p in made], TREE)],
+                ["doc", "host", "shape", "tree"])
 
     def cleaned(batches):
         for batch in batches:
             texts = []
-            for html, found in zip(batch.column("html"), batch.column("low")):
+            for tree, found in zip(batch.column("tree"), batch.column("low")):
                 known = {x["path"] % (1 << 64): (x["imp"], x["m"]) for x in found.as_py() or ()}
-                texts.append("\n\n".join(t for _, _, t in parse(html.as_py()).kept(known)))
+                texts.append("\n\n".join(t for _, _, t in Page.unpacked(tree.as_py()).kept(known)))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string())], ["doc", "text"])
 
-    shaped = src.mapInArrow(shapes, f"doc {kind}, html string, url string, host string, shape long")
-    return shaped.join(low, ["host", "shape"], "left").select("doc", "html", "low").mapInArrow(cleaned, f"doc {kind}, text string")
+    tree = "struct<" + ",".join(f"{f.name}:array<{'string' if f.name == 'texts' else 'double' if f.name == 'weights' else 'bigint'}>"
+                                for f in TREE) + ">"
+    parsed = src.mapInArrow(trees, f"doc {kind}, host string, shape long, tree {tree}")
+    return parsed.join(low, ["host", "shape"], "left").select("doc", "tree", "low").mapInArrow(cleaned, f"doc {kind}, text string")
 
 
 def low_nodes(src: DataFrame) -> DataFrame:
