@@ -4,7 +4,7 @@ tables, with an exact rerank.
 1. *Rotation.* On a bounded sample (``SAMPLE`` usable vectors with the smallest
    id hashes) a projection on principal directions is rotated, step by step,
    until its signs lose least: balanced binary codes of up to 64 bits. Every
-   vector is coded by that one matrix. The Hamming radius is measured on the
+   vector of that length is coded by that one matrix. The Hamming radius is measured on the
    same sample: it covers ``RECALL`` of pairs made at the threshold.
 2. *Tables.* A code is cut into substrings, one hash table each. Two codes that
    differ in at most ``radius`` bits agree in some substring up to a small
@@ -18,15 +18,17 @@ tables, with an exact rerank.
    block's spanning forest, never the pairs.
 
 Identical vectors are one entry with a multiplicity. Vectors link only under
-one label that is not null. Null or zero vectors, vectors with a null or
-non-finite component, and vectors whose length is not the most common length
-of the table link with nothing. Repeated rows count as vectors of their own;
+one label that is not null and with one length: each length has a rotation and
+codes of its own (a table has as many lengths as it mixes encoders; they are
+taken one after another). Null or zero vectors and vectors with a null or
+non-finite component link with nothing. Repeated rows count as vectors of their own;
 an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -189,16 +191,29 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     its own id."""
     src = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vec_col).alias("v"))
     src = src.withColumn("ok", _usable(F.col("v")) & F.col("label").isNotNull())
-    sizes = src.filter("ok").groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    common = sizes.orderBy(F.desc("n"), "d").limit(1).collect()
-    if not common:
-        return src.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
-                          F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    d = common[0]["d"]
-    rows = _written(src.withColumn("ok", F.col("ok") & (F.size("v") == d))
+    rows = _written(src.withColumn("d", F.when(F.col("ok"), F.size("v")))
                     .withColumn("k1", F.when(F.col("ok"), F.xxhash64("label", "v")))
                     .withColumn("k2", F.when(F.col("ok"), F.xxhash64(F.lit(7), "v", "label"))), "vectors")
-    chosen = rows.filter("ok").select("v", F.xxhash64(F.col("id").cast("string")).alias("h"), "k1").orderBy("h", "k1").limit(sample)
+    # one row per length: a table has as many as it mixes encoders
+    sizes = rows.filter("ok").groupBy("d").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy("d").collect()
+    named = [_linked(rows.filter(F.col("ok") & (F.col("d") == r["d"])), r["d"], cosine, sample, bits, radius) for r in sizes]
+    out = rows.select("id", "k1", "k2", "d")
+    if named:
+        all_named = _written(reduce(lambda a, b: a.unionByName(b), named), "classes")
+        known = _written(out.join(all_named, ["d", "k1", "k2"], "left").select("id", "d", "n_links", "root"), "named")
+        least = known.filter("root is not null").groupBy("d", "root").agg(F.min("id").alias("least"))
+        out = known.join(least, ["d", "root"], "left")
+    else:
+        out = out.withColumns({"n_links": F.lit(0), "least": F.col("id")})
+    component = F.coalesce("least", "id")
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                      component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+
+
+def _linked(rows: DataFrame, d: int, cosine: float, sample: int, bits: int, radius: int | None) -> DataFrame:
+    """``(d, k1, k2, n_links, root)`` of the different vectors (by two hashes of
+    label and vector) of one length; ``root`` names the component."""
+    chosen = rows.select("v", F.xxhash64(F.col("id").cast("string")).alias("h"), "k1").orderBy("h", "k1").limit(sample)
     learned = unit(np.array([r["v"] for r in chosen.select("v").collect()], float))
     centre, turn = fit_rotation(learned, bits)
     width = turn.shape[1]
@@ -214,7 +229,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
             codes = pa.array((on * weights).sum(1, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, codes], [*batch.schema.names, "code"])
 
-    classes = (rows.filter("ok").groupBy("k1", "k2")
+    classes = (rows.groupBy("k1", "k2")
                .agg(F.first("label").alias("label"), F.first("v").alias("v"), F.count(F.lit(1)).alias("w"))
                .withColumn("cid", F.monotonically_increasing_id()))
     kinds = ", ".join(f"{n} {t}" for n, t in classes.dtypes)
@@ -262,10 +277,4 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
              .join(roots, F.col("cid") == F.col("node"), "left")
              .select("k1", "k2", (F.col("w") - 1 + F.coalesce("add", F.lit(0))).alias("n_links"),
                      F.coalesce("root", "cid").alias("root")))
-    known = _written(rows.select("id", "k1", "k2").join(_written(named, "classes"), ["k1", "k2"], "left")
-                     .select("id", "n_links", "root"), "named")
-    least = known.filter("root is not null").groupBy("root").agg(F.min("id").alias("least"))
-    out = known.join(least, "root", "left")
-    component = F.coalesce("least", "id")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    return named.withColumn("d", F.lit(d))

@@ -62,9 +62,6 @@ def brute_links(rows, cosine=0.93):
     def good(v, label):
         return (label is not None and v is not None and None not in v and all(math.isfinite(x) for x in v) and any(v))
     ok = [i for i, (_, v, label) in enumerate(rows) if good(v, label)]
-    sizes = Counter(len(rows[i][1]) for i in ok)
-    d = min(sizes, key=lambda k: (-sizes[k], k)) if sizes else 0
-    ok = [i for i in ok if len(rows[i][1]) == d]
     n, parent = [0] * len(rows), list(range(len(rows)))
 
     def find(x):
@@ -76,7 +73,7 @@ def brute_links(rows, cosine=0.93):
     unit = {i: v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()) for i, v in unit.items()}
     for a in ok:
         for b in ok:
-            if a < b and rows[a][2] == rows[b][2] and unit[a] @ unit[b] >= cosine:
+            if a < b and rows[a][2] == rows[b][2] and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= cosine:
                 n[a] += 1
                 n[b] += 1
                 parent[find(b)] = find(a)
@@ -103,6 +100,20 @@ def vectors():
     return rows
 
 
+def test_embedding_links_of_every_length(spark, tmp_path, duck):
+    rng = np.random.default_rng(31)
+    rows = [(0, [1.0, 2.0], 0), (1, [1.0, 2.0], 0), (2, [2.0, 4.0], 1), (3, [1.0], 0), (4, [-3.0], 0), (5, [2.0], 0)]
+    for d in (3, 8, 24):
+        centres = rng.normal(size=(6, d))
+        rows += [(len(rows) + i, [float(x) for x in centres[i % 6] + 0.03 * rng.normal(size=d)], int(i % 2)) for i in range(30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    frame.write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {r["vec_id"]: tuple(r)[1:] for r in QUERIES["op4_embedding_dedup"](spark, str(tmp_path)).collect()}
+    n, comp = brute_links(rows)
+    assert got == {r[0]: (k, c, r[0] == c) for r, k, c in zip(rows, n, comp)}
+    assert got[0][0] == got[1][0] == 1 and got[2][0] == 0 and got[5][1] == 3 and got[4][0] == 0
+
+
 @pytest.mark.parametrize("block", [2, 1024])
 def test_embedding_links(spark, vectors, block, monkeypatch):
     monkeypatch.setattr(embeddings, "BLOCK", block)
