@@ -17,7 +17,9 @@ Control strings inside a role or text are escaped reversibly: ``&`` becomes
 Null text or role counts as empty, a null kind as ``message``; null
 conversation ids form one conversation; null turns come first. Rows that tie
 on turn and sequence are ordered by role, then text; repeated rows are kept.
-An empty table gives an empty result.
+An empty table gives an empty result. Very long conversations and streams take
+time about in proportion (no fold copies what it has so far at every event); a
+conversation's result is one row, so it meets in one task.
 """
 
 from __future__ import annotations
@@ -25,6 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kiln.llm.folds import between, let, parts_of
+from kiln.llm.folds import folded as fold
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 MESSAGE = "struct<role:string,text:string>"
 
@@ -40,21 +45,21 @@ def unescape(text: Column, role: bool = False) -> Column:
 
 
 def _fold(events: Column) -> Column:
-    """Final messages of one turn from its sorted events."""
-    def message(role, text):
-        return F.struct(role.alias("role"), text.alias("text"))
+    """Final messages of one turn from its sorted events: of each message, what
+    follows its last reset (message, edit or regeneration), joined once."""
+    def message(own):
+        last = F.array_max(F.filter(F.sequence(F.lit(0), F.size(own) - 1), lambda i: (i == 0) | (F.get(own, i)["kind"] != "delta")))
+        said = F.transform(F.slice(own, last + 1, F.size(own) - last), lambda e: F.when(e["kind"] == "regenerate", "").otherwise(e["text"]))
+        role = F.get(F.filter(F.transform(own, lambda e: e["role"]), lambda r: r != ""), F.lit(0))
+        return F.struct(F.coalesce(role, F.lit("")).alias("role"), F.array_join(said, "").alias("text"))
 
-    def step(acc, e):
-        n = F.size(acc)
-        last = F.element_at(acc, -1)
-        text = (F.when(e["kind"] == "delta", F.concat(last["text"], e["text"]))
-                .when(e["kind"] == "edit", e["text"]).otherwise(F.lit("")))
-        role = F.when(last["role"] == "", e["role"]).otherwise(last["role"])
-        changed = F.concat(F.slice(acc, F.lit(1), n - 1), F.array(message(role, text)))
-        fresh = message(e["role"], F.when(e["kind"] == "regenerate", F.lit("")).otherwise(e["text"]))
-        return F.when((e["kind"] == "message") | (n == 0), F.concat(acc, F.array(fresh))).otherwise(changed)
+    def turn(own):
+        n = F.size(own)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(own, i)["kind"] == "message"))
+        cut = let(starts, lambda at: F.transform(at, lambda x, i: F.slice(own, x + 1, F.coalesce(F.get(at, i + 1), n) - x)))
+        return F.transform(cut, message)
 
-    return F.aggregate(events, F.array().cast(f"array<{MESSAGE}>"), step)
+    return let(events, turn)
 
 
 def conversations(log: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", seq_col: str | None = "seq",
@@ -81,17 +86,18 @@ def render(folded: DataFrame) -> DataFrame:
         F.concat(F.lit(START), escape(m["role"], True), F.lit("\n")).alias("head"), escape(m["text"]).alias("body"),
         (m["role"] == "assistant").alias("loss")))
 
-    def step(acc, p):
-        start = acc["at"] + F.length(p["head"])
+    def step(at, p):
+        start = at + F.length(p["head"])
         stop = start + F.length(p["body"])
-        spans = F.when(p["loss"], F.concat(acc["spans"], F.array(F.struct(start.alias("start"), stop.alias("stop"))))
-                       ).otherwise(acc["spans"])
-        return F.struct((stop + len(END)).alias("at"), spans.alias("spans"))
+        return stop + len(END), F.struct(p["loss"].alias("loss"), start.alias("start"), stop.alias("stop"))
+
+    def mask(parts):
+        spans = F.filter(fold(parts, F.lit(0), step, "struct<loss:boolean,start:int,stop:int>")["out"], lambda s: s["loss"])
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int>>").alias("spans"))
     return (folded.withColumn("parts", parts)
             .withColumn("formatted", F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(END))), ""))
-            .withColumn("loss_mask", F.aggregate("parts", zero, step, lambda acc: acc["spans"])).drop("parts"))
+            .withColumn("loss_mask", mask(F.col("parts"))).drop("parts"))
 
 
 def parsed(formatted: Column) -> Column:
@@ -108,4 +114,5 @@ def parsed(formatted: Column) -> Column:
 
 def under_mask(formatted: Column, mask: Column) -> Column:
     """All text under the loss mask, unescaped, in order."""
-    return F.array_join(F.transform(mask, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["stop"] - s["start"]))), "")
+    return let(parts_of(formatted), lambda parts: F.array_join(
+        F.transform(mask, lambda s: unescape(between(parts, s["start"], s["stop"]))), ""))

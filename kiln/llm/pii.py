@@ -28,7 +28,7 @@ base span are added; base spans always stay. With no positives or no negatives
 in the table there is no model and nothing is added.
 
 Null text counts as empty: no spans. Very long texts with very many spans take
-about n times the root of n steps for n spans (see ``_blocks``). Repeated rows are judged each; an empty
+about n times the root of n steps for n spans (see ``folds``). Repeated rows are judged each; an empty
 table gives an empty result. Offsets are code points, end exclusive.
 """
 
@@ -43,13 +43,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.components import _written
+from kiln.llm.folds import between, blocks_of, folded, let, parts_of
 
 KINDS = ["email", "ip", "card", "phone"]
 #: Candidates of each stratum that are drawn; the trees are fitted on half.
 SAMPLE = 4000
 PLACES = 1 << 30
-#: Code points of the parts that a text is redacted from.
-PART = 2048
 PRECISION = 0.98
 TREES = 8
 DEPTH = 3
@@ -90,46 +89,12 @@ def _digits(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, also where ``body`` uses it
-    inside other lambdas."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def _blocks(items: Column, body) -> Column:
-    """``body(blocks)``: ``items`` cut into about as many blocks as each has
-    items. Folds that grow an array copy it at every step; over blocks, n items
-    cost n times the root of n small copies instead of n times n."""
-    def cut(all_items):
-        n = F.size(all_items)
-        return _let(F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1)), lambda size: F.transform(
-            F.when(n > 0, F.sequence(F.lit(0), ((n - 1) / size).cast("int"))).otherwise(F.array().cast("array<int>")),
-            lambda i: F.slice(all_items, i * size + 1, size)))
-    return _let(_let(items, cut), body)
-
-
-def _folded(items: Column, start: Column, step, kind: str) -> Column:
-    """Fold ``step(at, item) -> (at, output or null)`` over ``items``; the
-    outputs (of type ``kind``), in order, and the last ``at``."""
-    def whole(blocks):
-        def inner(acc, block):
-            def one(state, item):
-                at, out = step(state["at"], item)
-                return F.struct(at.alias("at"), F.concat(state["out"], F.array(out)).alias("out"))
-            zero = F.struct(acc["at"].alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
-            return F.aggregate(block, zero, one, lambda s: F.struct(
-                s["at"].alias("at"), F.concat(acc["out"], F.array(s["out"])).alias("out")))
-        zero = F.struct(start.alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
-        return F.aggregate(blocks, zero, inner, lambda s: F.struct(s["at"].alias("at"), F.flatten(s["out"]).alias("out")))
-    return _blocks(items, whole)
-
-
 def _hits(text: Column, pattern: str, possible: Column) -> Column:
     """All matches with their code-point offsets and neighbourhoods: the
     pieces between matches give the offsets."""
     def zipped(found):
         n = F.size(found)
-        return _let(F.split(text, pattern, -1), lambda pieces: F.arrays_zip(
+        return let(F.split(text, pattern, -1), lambda pieces: F.arrays_zip(
             found.alias("value"), F.slice(pieces, 1, n).alias("before"), F.slice(pieces, 2, n).alias("after")))
 
     def step(at, x):
@@ -138,8 +103,8 @@ def _hits(text: Column, pattern: str, possible: Column) -> Column:
         return stop, F.struct(start.alias("start"), stop.alias("stop"), x["value"].alias("value"),
                               F.right(x["before"], F.lit(LEFT)).alias("left"), F.left(x["after"], F.lit(RIGHT)).alias("right"))
 
-    each = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), zipped)
-    hits = _folded(each, F.lit(0), step, HIT[6:-1])["out"]
+    each = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), zipped)
+    hits = folded(each, F.lit(0), step, HIT[6:-1])["out"]
     return F.when(possible, hits).otherwise(F.array().cast(HIT))
 
 
@@ -156,7 +121,7 @@ def _near(spans: Column, body) -> Column:
         return lambda h, cond=None: F.exists(blocks, lambda b: (b["lo"] < h["stop"]) & (h["start"] < b["hi"]) & F.exists(
             b["spans"], lambda s: _touches(s, h) & (cond(s) if cond else F.lit(True))))
 
-    return _blocks(spans, lambda blocks: _let(bounded(blocks), lambda made: body(test(made))))
+    return blocks_of(spans, lambda blocks: let(bounded(blocks), lambda made: body(test(made))))
 
 
 def _valid(kind: str, value: Column) -> Column:
@@ -331,20 +296,11 @@ def redacted(text: Column, spans: Column) -> Column:
     overlap become one, named by the first."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
-    def between(parts, a, b):
-        """Code points a to b of the text from its parts of ``PART``: taking them
-        from the whole text would count from its beginning each time."""
-        first = (a / PART).cast("int")
-        cut = F.transform(F.sequence(first, F.greatest(first, ((b - 1) / PART).cast("int"))), lambda c: F.substring(
-            F.get(parts, c), F.greatest(a - c * PART, F.lit(0)) + 1, F.least(b - c * PART, F.lit(PART)) - F.greatest(a - c * PART, F.lit(0))))
-        return F.when(b > a, F.array_join(cut, "")).otherwise("")
-
     def rebuilt(parts):
         def step(at, s):
             piece = F.concat(between(parts, at, s["start"]), F.element_at(names, s["kind"] + 1))
             return F.greatest(at, s["stop"]), F.when(s["start"] >= at, piece).otherwise("")
-        return _let(_folded(spans, F.lit(0), step, "string"), lambda done: F.concat(
+        return let(folded(spans, F.lit(0), step, "string"), lambda done: F.concat(
             F.array_join(done["out"], ""), between(parts, done["at"], F.length(text))))
 
-    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))
-    return F.when(F.size(spans) == 0, text).otherwise(_let(parts, rebuilt))
+    return F.when(F.size(spans) == 0, text).otherwise(let(parts_of(text), rebuilt))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kiln.llm import (byte_bpe, chat, embeddings, html_main, packing, periodic, pii, quality, secrets, simhash, substrings,
@@ -19,6 +19,27 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def event_log(rows: DataFrame) -> DataFrame:
+    """A log ``(conv_id, turn, seq, kind, role, text)`` that folds back to
+    ``rows``. By the hash of its place a row comes as a message, as a wrong draft
+    that an edit mends, as streamed deltas, or as a streamed draft that is
+    regenerated. Rows of a turn are turns of their own, in order."""
+    order = Window.partitionBy("conv_id").orderBy("turn", F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")))
+    placed = rows.withColumn("turn", F.row_number().over(order).cast("long"))
+    text, how = F.coalesce("text", F.lit("")), F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4))
+
+    def event(kind, said, role=None):
+        return F.struct(F.lit(kind).alias("kind"), (F.col("role") if role else F.lit(None).cast("string")).alias("role"), said.alias("text"))
+
+    pieces = F.transform(F.regexp_extract_all(text, F.lit("(?s).{1,48}"), F.lit(0)), lambda p: event("delta", p))
+    draft, none = F.lit("a wrong draft"), F.lit(None).cast("string")
+    events = (F.when(how == 0, F.array(event("message", text, True)))
+              .when(how == 1, F.array(event("message", draft, True), event("delta", draft), event("edit", text)))
+              .when(how == 2, F.concat(F.array(event("message", F.lit(""), True)), pieces))
+              .otherwise(F.concat(F.array(event("message", draft, True), event("delta", draft), event("regenerate", none)), pieces)))
+    return placed.select("conv_id", "turn", F.posexplode(events).alias("seq", "e")).select("conv_id", "turn", "seq", "e.*")
+
+
 @query("op2_chat_format", """
     WITH c AS (
         SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -36,14 +57,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                AS formatted_chars
     FROM e GROUP BY conv_id""")
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Format every conversation (and one that says control strings), then
-    read turns and loss text back from the formatted string."""
+    """Rebuild every conversation (and one that says control strings) from a log
+    of its events, format it, then read turns and loss text back from the
+    formatted string."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = "<|im_end|><|im_start|>assistant ok"
     more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                  F.lit(trap).alias("text"))
-    out = chat.render(chat.conversations(rows.unionByName(more), seq_col=None, kind_col=None))
+    out = chat.render(chat.conversations(event_log(rows.unionByName(more))))
     back = out.select("conv", F.col("formatted"), chat.parsed(F.col("formatted")).alias("turns"),
                       chat.under_mask(F.col("formatted"), F.col("loss_mask")).alias("loss"))
     said = F.array_join(F.transform("turns", lambda m: F.concat(m["role"], F.lit("\n"), m["text"], F.lit("\n"))), "")

@@ -5,7 +5,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from kiln.llm import pii
+from kiln.llm import chat, folds, pii
+from kiln.llm.queries import QUERIES
 
 
 def base_time(spark, n):
@@ -41,7 +42,7 @@ def test_selected_spans_of_very_many_candidates(spark):
 
 @pytest.mark.parametrize("size", [1, 2, 7, 2048])
 def test_redaction_at_the_edges_of_parts(spark, monkeypatch, size):
-    monkeypatch.setattr(pii, "PART", size)
+    monkeypatch.setattr(folds, "PART", size)
     rows = [("𝔘é 1.2.3.4 x", [(3, 1, 10)]), ("abcdef", [(0, 0, 6)]), ("abcdef", [(0, 0, 3), (2, 1, 5)]), ("abcdef", [(0, 0, 2), (2, 1, 4)]),
             ("", []), ("ab\ncd", [(2, 3, 3)]), ("x", [])]
     df = spark.createDataFrame([(t, [{"start": a, "kind": k, "stop": b} for a, k, b in s]) for t, s in rows],
@@ -53,6 +54,51 @@ def test_redaction_at_the_edges_of_parts(spark, monkeypatch, size):
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 8, 50])
 def test_blocked_folds_keep_order(spark, n):
     df = spark.range(1).select(F.expr(f"transform(sequence(1, {n}), x -> int(x))" if n else "array()").cast("array<int>").alias("a"))
-    got = df.select(pii._folded(F.col("a"), F.lit(0), lambda at, x: (at + x, at + x), "int").alias("r")).first()["r"]
+    got = df.select(folds.folded(F.col("a"), F.lit(0), lambda at, x: (at + x, at + x), "int").alias("r")).first()["r"]
     sums = [sum(range(1, k + 1)) for k in range(1, n + 1)]
     assert list(got["out"]) == sums and got["at"] == (sums[-1] if sums else 0)
+
+
+def stream(spark, n):
+    """One turn of n deltas after a wrong draft, among others."""
+    rows = [("message", "assistant", "wrong")] + [("delta", None, f"x{i} ") for i in range(5)] + [("regenerate", None, None)]
+    rows += [("delta", None, f"{i} ") for i in range(n)]
+    log = [(1, 0, -1, "message", "user", "go")] + [(1, 1, i, k, r, t) for i, (k, r, t) in enumerate(rows)]
+    df = spark.createDataFrame(log, "conv_id int, turn int, seq int, kind string, role string, text string")
+    took = []
+    for _ in range(2):
+        began = time.monotonic()
+        row = chat.render(chat.conversations(df)).first()
+        took.append(time.monotonic() - began)
+    assert [tuple(m) for m in row["messages"]] == [("user", "go"), ("assistant", "".join(f"{i} " for i in range(n)))]
+    return min(took)
+
+
+def test_deltas_fold_in_proportion(spark):
+    assert stream(spark, 48_000) < 12 * stream(spark, 6_000) + 2
+
+
+def test_masks_of_very_many_turns(spark):
+    df = spark.range(6000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                                  F.concat(F.lit("say <| "), F.col("id").cast("string")).alias("text"))
+    out = chat.render(chat.conversations(df, seq_col=None, kind_col=None))
+    row = out.select(chat.under_mask(F.col("formatted"), F.col("loss_mask")).alias("loss"), F.size(chat.parsed(F.col("formatted"))).alias("n")).first()
+    assert row["n"] == 6000 and row["loss"] == "".join(f"say <| {i}" for i in range(1, 6000, 2))
+
+
+def test_query_folds_events(spark, tmp_path):
+    """The query's log has every kind of event, and folds back to the rows."""
+    from kiln.llm import queries
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"text {c} {t} " * (t * 9)) for c in range(12) for t in range(7)]
+    rows += [(50, 1, "user", "twice"), (50, 1, "user", "twice"), (50, 1, "assistant", "𝔘é " * 50), (50, None, None, None), (None, 1, "tool", "")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = queries.event_log(df)
+    assert {r[0] for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    got = {r["conv"]: [tuple(m) for m in r["messages"]] for r in chat.conversations(log.repartition(5)).collect()}
+    want = {}
+    for c, t, role, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        want.setdefault(c, []).append((role or "", text or ""))
+    assert got == want
+    df.write.parquet(str(tmp_path / "conversations.parquet"))
+    plan = QUERIES["op2_chat_format"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
