@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.components import _written
-from kiln.llm.words import Words, slices, text_buffer
+from kiln.llm.words import Words, mix, slices, text_buffer
 
 DEPTH = 3
 LEAST_SHARE = 5e-6
@@ -47,6 +47,10 @@ DIVERGENCE = 8.0
 #: Counts a task holds before it sends them on (memory, not a cap on counts).
 HELD = 2_000_000
 
+#: Buckets that counts are merged in.
+BUCKETS = 256
+PACKED = "bucket int, keys binary, n binary"
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
@@ -71,13 +75,47 @@ class Tally:
         head = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
         self.keys, self.n = both[head], np.add.reduceat(count, head)
 
-    def rows(self):
-        for i in range(0, len(self.keys), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(self.keys[i:i + 100_000]), pa.array(self.n[i:i + 100_000])],
-                                             ["key", "n"])
+    def rows(self, over: int = 1, parts: int = BUCKETS):
+        """Counts as one row per bucket of ``key // over``: sorted keys and their
+        counts in bytes, which travel and merge without a row for each key."""
+        bucket = (mix((self.keys // over).astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(parts + 1))
+        full = np.flatnonzero(np.diff(edges))
+        own = [order[edges[b]:edges[b + 1]] for b in full]
+        if len(full):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full.astype(np.int32)), pa.array([self.keys[o].tobytes() for o in own], pa.binary()),
+                 pa.array([self.n[o].tobytes() for o in own], pa.binary())], ["bucket", "keys", "n"])
         self.__init__()
 
 
+def merged(batches):
+    """``(keys, counts)`` of each bucket from its rows, which follow each other."""
+    def summed(parts):
+        keys, n = (np.concatenate([np.frombuffer(x[k], np.int64) for x in parts]) for k in (0, 1))
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        return keys[head], np.add.reduceat(n, head)
+
+    last, held = None, []
+    for batch in batches:
+        for b, k, n in zip(batch.column("bucket").to_pylist(), batch.column("keys"), batch.column("n")):
+            if b != last and held:
+                yield summed(held)
+                held = []
+            last = b
+            held.append((k.as_buffer(), n.as_buffer()))
+    if held:
+        yield summed(held)
+
+
+def by_bucket(packed: DataFrame) -> DataFrame:
+    n = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return packed.repartition(n, "bucket").sortWithinPartitions("bucket")
+
+
 def lookup(ordered: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Index of each key in a sorted array, -1 where it is not."""
     if not len(ordered):
@@ -199,8 +237,13 @@ def count_words(docs: DataFrame) -> DataFrame:
                     yield from words.rows()
         yield from words.rows()
 
-    made = docs.filter("not held_out").select("text").mapInArrow(run, "key long, n long")
-    return made.groupBy("key").agg(F.sum("n").alias("n"))
+    def total(batches):
+        for keys, n in merged(batches):
+            for i in range(0, len(keys), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 100_000]), pa.array(n[i:i + 100_000])], ["key", "n"])
+
+    made = docs.filter("not held_out").select("text").mapInArrow(run, PACKED)
+    return by_bucket(made).mapInArrow(total, "key long, n long")
 
 
 def encode(docs: DataFrame, alphabet) -> DataFrame:
@@ -255,17 +298,28 @@ def grow(encoded: DataFrame, tree: Tree, end: int, depth: int, least: float, lea
                     on = above >= 0
                     tally.add(held.key(d, above[on], before[d - 1][on]) * size + flat[on])
                     if len(tally.keys) > HELD:
-                        yield from tally.rows()
-            yield from tally.rows()
-
-        counted = train.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        level = _written(counted.select(F.expr(f"key div {size}").alias("ctx"), F.col("key") % size, "n")
-                         .toDF("ctx", "x", "n"), f"level-{d}")
-        often = _written(level.groupBy("ctx").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
-                         .filter(F.col("all") >= least), f"contexts-{d}")
-        found = often.toPandas().sort_values("ctx")                # at most 1 / least share rows
-        pairs = level.filter(F.col("n") >= least_pair).join(often.select("ctx"), "ctx").toPandas()
+                        yield from tally.rows(size)
+            yield from tally.rows(size)
+
+        def frequent(batches):
+            # a context's edges share its bucket: its positions and different next symbols are known here
+            for keys, n in merged(batches):
+                ctx = keys // size
+                head = np.flatnonzero(np.concatenate(([True], ctx[1:] != ctx[:-1])))
+                kinds, total = np.diff(np.append(head, len(ctx))), np.add.reduceat(n, head)
+                often = total >= least
+                edge = np.flatnonzero(np.repeat(often, kinds) & (n >= least_pair))
+                m = int(often.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([ctx[head][often], ctx[edge]])),
+                     pa.array(np.concatenate([np.full(m, -1), keys[edge] % size])),
+                     pa.array(np.concatenate([total[often], n[edge]])),
+                     pa.array(np.concatenate([kinds[often], np.zeros(len(edge), np.int64)]))], ["ctx", "x", "n", "kinds"])
+
+        level = _written(by_bucket(train.mapInArrow(run, PACKED)).mapInArrow(frequent, "ctx long, x long, n long, kinds long"),
+                         f"level-{d}").toPandas()                  # at most 1 / least share and 1 / pair share rows
         shared.unpersist()
+        found, pairs = level[level["x"] < 0].rename(columns={"n": "all"}).sort_values("ctx"), level[level["x"] >= 0]
         if not len(found):
             return
         keys = found["ctx"].to_numpy(np.int64)
