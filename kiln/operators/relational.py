@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, MapType, NumericType, StringType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, IntegerType, MapType, NumericType, StringType, StructType
 
 from kiln.functions.exprs import (col_of, fold_of, is_integral, split_bucket,
                                   split_threshold, within_tolerance)
@@ -158,41 +158,91 @@ def join_cast(left: DataFrame, right: DataFrame, key: str, type: str | None = No
     return left.join(right, key, how)
 
 
+#: Right rows per cut of the as-of index, and the most cuts it has (they are
+#: broadcast: some tens of bytes each).
+ASOF_ROWS = 1024
+ASOF_CUTS = 1_000_000
+
+
+def _orderable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, MapType)
+
+
+def _last_not_above(size: Column, above, steps: int) -> Column:
+    """Greatest i in [0, size) of which ``above(i)`` is false (-1: none), by
+    halving; ``above`` is false up to some i and true after it."""
+    def step(at, by):
+        return F.when((at + by < size) & ~F.coalesce(above(at + by), F.lit(True)), at + by).otherwise(at)
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(steps, -1, -1)]), F.lit(-1), step)
+
+
 def join_asof(left: DataFrame, right: DataFrame, keys, ts: str, cols=None, right_ts: str | None = None,
               tolerance: str | None = None, parts: int | None = None, prefix: str = "") -> DataFrame:
     """Point-in-time lookup. For every left row, the right row with the
-    same keys and the greatest ``right_ts <= ts`` (an equal time matches).
-    Rows with a null key or time match nothing; every left row is kept.
-
-    Both sides are unioned, put into ranges of (key, time) that follow the
-    data, and scanned in time order within (key, range), so a key that holds
-    a third of all rows is spread over a third of the ranges. A table of the
-    last right row per (key, range) carries matches across range borders.
-    The matched right row travels as one struct so null feature values are
-    kept as values.
+    same keys and the greatest ``right_ts <= ts`` (an equal time matches; of
+    equal times the greatest features). Rows with a null key or time match
+    nothing; every left row is kept.
+
+    Only the right side is indexed: its rows, in ranges of (keys, time) written
+    once, cut every ``ASOF_ROWS`` rows. The first (keys, time) of every
+    cut, a table of at most ``ASOF_CUTS`` rows, is broadcast; a left row finds its
+    cut by halving and joins it on (keys, cut), where the match is found by
+    halving again. So the left side is read once, shuffled once and never
+    stored or sorted on what it carries; a hot key spans as many cuts as it has
+    right rows, and many left rows of one cut are an ordinary skewed join. The
+    matched right row travels as one struct, so null feature values are kept as
+    values, and features may be of any type.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     right_ts = right_ts or ts
     cols = list(cols) if cols is not None else [c for c in right.columns if c not in keys + [right_ts]]
     feat = F.struct(F.col(right_ts).alias("_ts"), *[F.col(c).alias(f"{prefix}{c}") for c in cols])
-    lcols = [c for c in left.columns if c not in keys]
+    kinds = [f"_k{i}" for i in range(len(keys))]
+    # the types in which both sides are compared
+    both = [(left.schema[k].dataType, right.schema[k].dataType) for k in keys] + [(left.schema[ts].dataType, right.schema[right_ts].dataType)]
+    common = left.sparkSession.range(1).select(*[F.coalesce(F.lit(None).cast(a), F.lit(None).cast(b)).alias(f"c{i}")
+                                                 for i, (a, b) in enumerate(both)]).schema.fields
+    common = [f.dataType for f in common]
     r = right.na.drop(subset=keys + [right_ts]).select(
-        *keys, F.col(right_ts).alias("_t"), F.lit(0).alias("_side"), feat.alias("_f"))
-    lrow = F.struct(*[F.col(c) for c in lcols])
-    l_ = left.select(*keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"), lrow.alias("_l"))
-    u = r.withColumn("_l", F.lit(None).cast(l_.schema["_l"].dataType)).unionByName(
-        l_.withColumn("_f", F.lit(None).cast(r.schema["_f"].dataType)))
-    u = ranged(u, [*keys, "_t", "_side", "_f"], parts)
-    part = [*keys, "_p"]
-    w = Window.partitionBy(*part).orderBy("_loc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = u.withColumn("_m", F.last("_f", ignorenulls=True).over(w)).filter(F.col("_side") == 1)
-    # last right row of each (key, range): one row each, far smaller than the input
-    last = F.max(F.when(F.col("_side") == 0, F.struct("_loc", "_f")))
-    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (u.groupBy(*part).agg(last["_f"].alias("_fin"))
-             .select(*part, F.last("_fin", ignorenulls=True).over(before).alias("_carry")).filter("_carry is not null"))
-    # carried rows have keys, so rows with a null key rightly find none
-    out = out.join(carry, part, "left").withColumn("_m", F.when(F.col("_t").isNotNull(), F.coalesce("_m", "_carry")))
+        *[F.col(k).cast(t).alias(n) for k, n, t in zip(keys, kinds, common)], F.col(right_ts).cast(common[-1]).alias("_t"), feat.alias("_f"))
+    plain = _orderable(r.schema["_f"].dataType)
+    r = r if plain else r.withColumn("_tie", F.to_json("_f"))
+    r = ranged(r, [*kinds, "_t", "_f" if plain else "_tie"], parts)     # of equal times, the last one counts
+    most = r.groupBy("_p").agg(F.count(F.lit(1)).alias("n"))
+    total = most.agg(F.sum("n"), F.count(F.lit(1))).first()
+    each = max(ASOF_ROWS, math.ceil((total[0] or 0) / ASOF_CUTS))
+    steps = [int(math.log2(n)) + 1 for n in ((total[0] or 0) // each + total[1] + 2, each + 1)]     # of halving cuts, rows of one
+    r = r.withColumn("_c", F.struct("_p", F.expr(f"(_loc - 1) div {each}").alias("_s")))
+    firsts = r.filter(F.expr(f"(_loc - 1) % {each} = 0")).select(F.struct(*kinds, "_t").alias("at"), "_c")
+    cuts = firsts.agg(F.array_sort(F.collect_list(F.struct("at", "_c"))).alias("_cuts"))       # one row of at most ASOF_CUTS entries
+    if plain:
+        sorted_items = F.array_sort(F.collect_list(F.struct("_t", "_f")))
+    else:
+        def order(a, b):
+            return (F.when(a["_t"] < b["_t"], -1).when(a["_t"] > b["_t"], 1)
+                    .when(a["_tie"] < b["_tie"], -1).when(a["_tie"] > b["_tie"], 1).otherwise(0))
+        sorted_items = F.array_sort(F.collect_list(F.struct("_t", "_tie", "_f")), order)
+    items = r.groupBy(*kinds, "_c").agg(sorted_items.alias("_items"))
+
+    lcols = [c for c in left.columns if c not in keys]
+    x = F.struct(*[F.col(k).cast(t).alias(n) for k, n, t in zip(keys, kinds, common)], F.col(ts).cast(common[-1]).alias("_t"))
+    whole = F.lit(True)
+    for c in [*keys, ts]:
+        whole = whole & F.col(c).isNotNull()
+    # ASOF_CUTS bounds the one row that is broadcast
+    found = left.select(*keys, F.struct(*[F.col(c) for c in lcols]).alias("_l"), F.when(whole, x).alias("_x")).join(F.broadcast(cuts))
+    i = _last_not_above(F.size("_cuts"), lambda k: F.get(F.col("_cuts"), k)["at"] > F.col("_x"), steps[0])
+    found = found.select(*keys, "_l", F.col("_x._t").alias("_t"), F.when(F.col("_x").isNotNull(), F.get(F.col("_cuts"), i)["_c"]).alias("_c"))
+    match = (F.col("_c") == F.col("_rc"))
+    for k, n in zip(keys, kinds):
+        match = match & (F.col(k) == F.col(n))
+    near = found.join(items.withColumnRenamed("_c", "_rc"), match, "left")
+    j = _last_not_above(F.size("_items"), lambda k: F.get(F.col("_items"), k)["_t"] > F.col("_t"), steps[1])
+    out = near.withColumn("_m", F.when(F.col("_items").isNotNull(), F.get(F.col("_items"), j)["_f"]))
     if tolerance:
         out = out.withColumn("_m", F.when(
             F.col("_m._ts") >= F.col("_t") - F.expr(f"INTERVAL {tolerance}"), F.col("_m")))

@@ -27,9 +27,15 @@ def test_flagship_scoring_has_no_python(spark, sf):
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
-def test_asof_windows_are_split_by_range(spark, sf):
-    p = plan(E.queries()["join_asof"](spark, sf))
-    assert "hashpartitioning(user_id" in p and "_p" in p and "SinglePartition" not in p
+def test_asof_left_side_is_read_once_and_joined_by_cut(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(E.queries()["join_asof"](spark, sf))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(user_id" in p and "Window" not in p
+    # the only single-partition exchange is over the cuts, a row per ASOF_ROWS right rows; the left side is scanned once
+    assert p.count("SinglePartition") == 1 and p.count("INTERVAL '30' MINUTE") == 1
 
 
 def test_row_id_window_is_partitioned(spark, sf):

@@ -103,3 +103,34 @@ def test_quantile_narrows_until_it_fits(spark):
     assert got["b"] == pytest.approx(np.quantile([2 * x for i, x in enumerate(xs) if i % 2 == 0], 0.37))
     none = spark.createDataFrame([(None,)], "a double")
     assert Counter(R.exact_quantiles(none, ["a"]).collect()) == Counter()
+
+
+@pytest.mark.parametrize("rows,cuts", [(1, 10 ** 6), (3, 10 ** 6), (1024, 10 ** 6), (1024, 5)])
+def test_asof_cuts_of_any_size(spark, monkeypatch, rows, cuts):
+    """Hot keys, equal times, features that are maps, other key types on each
+    side; the left side is never written."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from kiln.operators import ranges
+    monkeypatch.setattr(R, "ASOF_ROWS", rows)
+    monkeypatch.setattr(R, "ASOF_CUTS", cuts)
+    rnd = random.Random(rows)
+    feats = [(rnd.choice([1, 1, 1, 2, 3]), rnd.randrange(60), rnd.randrange(1000)) for _ in range(200)] + [(None, 3, 1), (2, None, 1)]
+    asks = [(i, rnd.choice([1, 1, 2, 3, 4, None]), rnd.choice([rnd.randrange(-5, 70), None])) for i in range(150)]
+    right = spark.createDataFrame(feats, "k int, t long, v int").repartition(3)
+    left = spark.createDataFrame(asks, "i int, k long, t int").repartition(3)
+    written, own = [], ranges.ranged
+    monkeypatch.setattr(R, "ranged", lambda df, *a, **b: (written.append(df.columns), own(df, *a, **b))[1])
+
+    def want(k, t):
+        hit = [(ft, v) for fk, ft, v in feats if None not in (k, t, ft) and fk == k and ft <= t]
+        return max(hit) if hit else (None, None)
+
+    got = {r.i: (r.t_matched, r.v) for r in R.join_asof(left, right, "k", "t", parts=4).collect()}
+    assert got == {i: want(k, t) for i, k, t in asks}
+    assert len(written) == 1 and "_l" not in written[0]
+    maps = right.select("k", "t", F.create_map(F.lit("v"), "v").alias("m"))
+    got = {r.i: r.t_matched if r.m is None else (r.t_matched, set(r.m)) for r in R.join_asof(left, maps, "k", "t").collect()}
+    assert got == {i: (want(k, t)[0], {"v"}) if want(k, t)[0] is not None else None for i, k, t in asks}
