@@ -67,12 +67,14 @@ def _repeated(w: Words, n: int, texts: np.ndarray):
 
 
 def _lines(raw: bytes) -> tuple[int, int, int]:
-    """Repeated lines, their bytes, and the bytes of all lines with a word."""
+    """Repeated lines, their characters (code points), and those of all lines
+    with a word; characters are counted only where a line is repeated."""
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    size = sum(map(len, lines))
     if len(set(lines)) == len(lines):
-        return 0, 0, size
-    seen: set[bytes] = set()
+        return 0, 0, 0
+    lines = [x.decode() for x in lines]
+    size = sum(map(len, lines))
+    seen: set[str] = set()
     n = chars = 0
     for x in lines:
         if x in seen:

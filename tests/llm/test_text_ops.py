@@ -525,3 +525,10 @@ def test_registered_digests(spark, sf, library):
     for r in QUERIES["op9_packing"](spark, sf).limit(50).collect():
         ids = (library.encode_ordinary(docs[r["doc_id"]] or "") + [0])[r["start"]:r["start"] + r["length"]]
         assert r["ids_crc32"] == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+
+
+def test_line_share_counts_code_points():
+    text = "ééééé\nééééé\nplain line\n"
+    data = np.frombuffer(text.encode(), np.uint8)
+    got = quality.measure(data, np.array([0, len(data)]))
+    assert got["n_dup_lines"][0] == 1 and got["line_share"][0] == 5 / 20
