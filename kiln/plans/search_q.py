@@ -257,6 +257,13 @@ CONDITIONAL = {"model": {"linear": {"regParam": ("float", 0.0, 2.0), "elasticNet
 @query("model_search")
 def model_search(spark, sf):
     """H5/H6: the model and its own parameters are searched together."""
+    return _searched(spark, sf, lambda p: _tree_stages(p["model"], **{k: v for k, v in p.items() if k != "model"}),
+                     CONDITIONAL, 16)
+
+
+@query("model_search_full")
+def model_search_full(spark, sf):
+    """H5/H6 with the whole budget of 30 trials."""
     return _searched(spark, sf, lambda p: _tree_stages(p["model"], **{k: v for k, v in p.items() if k != "model"}),
                      CONDITIONAL, 30)
 

@@ -127,6 +127,13 @@ def test_conditional_search_tries_every_model(spark, sf):
     assert tree.maxDepth.between(2, 10).all() and (tree.maxDepth % 1 == 0).all()
 
 
+def test_conditional_search_at_the_whole_budget(spark, sf):
+    out = E.queries()["model_search_full"](spark, sf).toPandas()
+    assert out.trial.tolist() == list(range(30)) and set(out.model) == {"linear", "tree"} and out.error.isna().all()
+    best = out.sort_values("metric").model.iloc[0]
+    assert (out.model == best).sum() > 10                      # the search turns to the better model
+
+
 def test_integer_search_stays_in_its_ranges(spark, sf):
     out = E.queries()["int_search"](spark, sf).toPandas()
     assert len(out) == 20 and out.error.isna().all()
