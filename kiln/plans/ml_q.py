@@ -268,10 +268,19 @@ def feature_importance(spark, sf):
     return L.importances(spark, model)
 
 
-@query("fit_score_eval")
+@query("fit_score_eval", f"""
+WITH RECURSIVE l AS ({LI_ROWS} WHERE l_quantity > 0),
+c AS (SELECT 0 AS id, 0.0 AS reg, 0.0 AS mix, {correlations(LI_X, 'y')} FROM l WHERE is_train),
+{descent_sql(4, 'c', ['id'], 600)},
+e AS (SELECT y, y - (a + b0 * x0 + b1 * x1 + b2 * x2 + b3 * x3) AS e FROM l, fit WHERE NOT is_train)
+SELECT round(sqrt(avg(e * e)), 6) AS rmse, round(1 - sum(e * e) / (var_pop(y) * count(*)), 10) AS r2, round(avg(e * e), 4) AS mse,
+       round(avg(abs(e)), 6) AS mae, count(*) AS n FROM e""")
 def fit_score_eval(spark, sf):
+    """The flagship: least squares on scaled features, against coordinate
+    descent without a penalty in SQL."""
     from kiln.plans.flagship import flagship
-    return flagship(spark, sf)
+    return flagship(spark, sf).select(rnd("rmse").alias("rmse"), rnd("r2", 10).alias("r2"), rnd("mse", 4).alias("mse"),
+                                      rnd("mae").alias("mae"), "n")
 
 
 # ---------------------------------------------------------------- E: evaluation
