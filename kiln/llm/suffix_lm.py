@@ -1,55 +1,66 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
 A text is its lower-cased words and one end. The probability of the next
-symbol depends on the longest *retained* suffix of the last ``DEPTH`` symbols:
-
-1. *Symbols.* A word that makes up ``LEAST_SHARE`` of the training tokens is a
-   symbol of its own; all others share the symbol *rare* and keep their odds
-   among each other by their counts. There are at most ``1 / LEAST_SHARE``.
-2. *Contexts* grow level by level: one of ``d`` symbols is counted only if its
-   last ``d - 1`` are frequent, and is a candidate if it makes up
-   ``LEAST_SHARE`` of the positions. So a level has at most ``1 / LEAST_SHARE``
-   candidates whatever the corpus, while every position is counted.
-3. *Smoothing.* A context's distribution mixes its counts with that of its
-   longest retained suffix in proportion to the number of different symbols
-   seen next; the root is the base distribution. Next symbols below
-   ``PAIR_SHARE`` are told by the suffix alone, and what they had goes to it,
-   so every distribution sums to one.
-4. *Divergence test.* A context is retained if it tells its next symbols better
-   than its suffix does by more than ``DIVERGENCE`` nats in all.
-5. *Scoring.* Each position looks up its longest candidate context, level by
-   level, and from there the retained suffix that gives the probability.
-
-The tree has at most ``DEPTH / LEAST_SHARE`` nodes and ``DEPTH / PAIR_SHARE``
-edges (parameters), which bounds the driver and the broadcast; counts are
-aggregated by Spark. Counts of rare words are looked up by a join on their
-64-bit hashes.
+symbol depends on the longest *retained* suffix of the words before it, up to
+the text's beginning (the end of another text) or ``depth`` words:
+
+1. *Base.* The root of the tree is the distribution of single symbols.
+2. *Contexts* grow by one word a level. One of ``d`` words is a candidate if it
+   has ``least`` training positions, an absolute number: nodes and edges grow
+   with the corpus, and a phrase counts alike in a small and in a large one.
+3. *Smoothing.* ``P(x | s) = (n(s x) + prior * P(x | suffix)) / (n(s) + prior)``,
+   where the suffix is the longest retained one.
+4. *Divergence test.* A context is retained if its distribution tells its
+   training symbols better than its suffix's by more than ``divergence`` nats in
+   all; the test reads the suffix's log-probabilities in steps of 1/64 nat. One
+   with more than ``assured`` positions (an absolute number) is retained untested.
+5. *Scoring.* Each symbol has the probability of its longest retained suffix.
+
+No task and no driver holds the tree. Texts are cut into *chunks* of whole texts
+(``slices``: 4 MB or one text), written once as numbers. A level is one exchange:
+each chunk sends its distinct pairs (context, next symbol) with their training
+counts and the suffix's log-probability to the bucket of the context, packed;
+the bucket sums and numbers the pairs, tests the contexts, and answers in the
+order asked. The number of a pair names the context of one word more, and its
+count is that context's total, so a chunk knows before it asks which contexts
+are too rare, and which are so frequent that their pairs are dealt by the next
+symbol too. A chunk's state is told anew from its answers, so a lost task needs
+nothing but tables of the shared folder; these are bucketed by chunk and meet
+without another shuffle. Words are told apart by 64-bit hashes, contexts by
+their numbers. The driver sees two sums.
 
 Null text counts as empty, a null id as the empty string (training). Repeated
 rows count and are scored each; an empty table gives an empty result; without
-training texts every word has probability one.
+training texts every word has probability one. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.components import _written
 from kiln.llm.words import Words, mix, slices, text_buffer
+from kiln.session import scratch_path
 
 DEPTH = 3
-LEAST_SHARE = 5e-6
-PAIR_SHARE = 5e-7
+LEAST = 2
+PRIOR = 4.0
 DIVERGENCE = 8.0
-#: Counts a task holds before it sends them on (memory, not a cap on counts).
-HELD = 2_000_000
-
-#: Buckets that counts are merged in.
-BUCKETS = 256
-PACKED = "bucket int, keys binary, n binary"
+#: Positions from which a context is retained untested and its pairs are dealt by the next symbol.
+ASSURED = 200_000
+#: Tokens per bucket of an exchange (memory of a task; there are more buckets in a larger corpus).
+BUCKET_TOKENS = 400_000
+#: Steps a nat in which the divergence test reads the suffix's log-probability.
+STEPS = 64.0
+#: Stands for the end among the word hashes.
+END = np.uint64(0x656E64)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
@@ -59,327 +70,276 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-class Tally:
-    """Counts of 64-bit keys, merged in numpy."""
-
-    def __init__(self):
-        self.keys, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def add(self, keys: np.ndarray) -> None:
-        if not len(keys):
-            return
-        u, c = np.unique(keys, return_counts=True)
-        both, count = np.concatenate([self.keys, u]), np.concatenate([self.n, c])
-        order = np.argsort(both, kind="stable")
-        both, count = both[order], count[order]
-        head = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
-        self.keys, self.n = both[head], np.add.reduceat(count, head)
-
-    def rows(self, over: int = 1, parts: int = BUCKETS):
-        """Counts as one row per bucket of ``key // over``: sorted keys and their
-        counts in bytes, which travel and merge without a row for each key."""
-        bucket = (mix((self.keys // over).astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(parts + 1))
-        full = np.flatnonzero(np.diff(edges))
-        own = [order[edges[b]:edges[b + 1]] for b in full]
-        if len(full):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full.astype(np.int32)), pa.array([self.keys[o].tobytes() for o in own], pa.binary()),
-                 pa.array([self.n[o].tobytes() for o in own], pa.binary())], ["bucket", "keys", "n"])
-        self.__init__()
+def pack(values: np.ndarray) -> bytes:
+    """Unsigned 64-bit values by byte planes, compressed."""
+    v = np.ascontiguousarray(values, "<u8")
+    width = max(1, (int(v.max()).bit_length() + 7) // 8) if len(v) else 1
+    planes = v.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes)
 
 
-def merged(batches):
-    """``(keys, counts)`` of each bucket from its rows, which follow each other."""
-    def summed(parts):
-        keys, n = (np.concatenate([np.frombuffer(x[k], np.int64) for x in parts]) for k in (0, 1))
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        return keys[head], np.add.reduceat(n, head)
+def unpack(data) -> np.ndarray:
+    if data is None:                                               # a chunk that had nothing to ask
+        return np.zeros(0, np.uint64)
+    data = memoryview(data)
+    width, planes = data[0], np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
+    out = np.zeros((len(planes) // width, 8), np.uint8)
+    out[:, :width] = planes.reshape(width, -1).T
+    return out.reshape(-1).view("<u8")
 
-    last, held = None, []
-    for batch in batches:
-        for b, k, n in zip(batch.column("bucket").to_pylist(), batch.column("keys"), batch.column("n")):
-            if b != last and held:
-                yield summed(held)
-                held = []
-            last = b
-            held.append((k.as_buffer(), n.as_buffer()))
-    if held:
-        yield summed(held)
-
-
-def by_bucket(packed: DataFrame) -> DataFrame:
-    n = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return packed.repartition(n, "bucket").sortWithinPartitions("bucket")
-
-
-def lookup(ordered: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Index of each key in a sorted array, -1 where it is not."""
-    if not len(ordered):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(ordered, keys), len(ordered) - 1)
-    return np.where(ordered[at] == keys, at, -1)
-
-
-class Alphabet:
-    """Frequent words by their sorted hashes, then END and RARE."""
-
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
-        order = np.argsort(hashes)
-        self.hashes, self.counts = hashes[order], counts[order]
-        self.end, self.rare, self.size = len(hashes), len(hashes) + 1, len(hashes) + 2
-
-
-class Tree:
-    """Contexts by level. ``levels[d - 1]`` has the sorted keys of candidate
-    contexts of ``d`` symbols: the context of the last ``d - 1`` symbols (its
-    number in the level above) and the symbol before them."""
-
-    def __init__(self, size: int, root: np.ndarray):
-        self.size, self.root = size, root              # root: probability of each symbol
-        self.levels: list[np.ndarray] = []
-        self.first = [0]                               # number of the first state of each level
-        self.parent = np.zeros(0, np.int64)            # state of one symbol less, -1: the root
-        self.emit = np.zeros(0, np.int64)              # longest retained suffix, -1: the root
-        self.back = np.zeros(0)                        # weight of the parent's distribution
-        self.edges = np.zeros(0, np.int64)             # sorted (state, symbol)
-        self.own = np.zeros(0)                         # own share of each edge
-
-    def key(self, d: int, above: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Key of a context of ``d`` symbols."""
-        return symbol if d == 1 else above * self.size + symbol
-
-    def contexts(self, before: np.ndarray, depth: int) -> list[np.ndarray]:
-        """Per level the number of each position's context (-1: none);
-        ``before[k - 1]`` holds the symbols ``k`` places before."""
-        out, above = [], np.zeros(before.shape[1], np.int64)
-        for d in range(1, depth + 1):
-            keys = np.where(above >= 0, self.key(d, above, before[d - 1]), -1)
-            above = lookup(self.levels[d - 1], keys)
-            out.append(above)
-        return out
-
-    def prob(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Probability of each symbol in each (emitting) state."""
-        p, weight, state = np.zeros(len(symbol)), np.ones(len(symbol)), state.copy()
-        live = np.flatnonzero(state >= 0)
-        while len(live):
-            s = state[live]
-            at = lookup(self.edges, s * self.size + symbol[live])
-            p[live] += weight[live] * np.where(at >= 0, self.own[at] if len(self.own) else 0.0, 0.0)
-            weight[live] *= self.back[s]
-            up = self.parent[s]
-            state[live] = np.where(up >= 0, self.emit[up] if len(self.emit) else -1, -1)
-            live = live[state[live] >= 0]
-        return p + weight * self.root[symbol]
-
-    def add_level(self, keys, total, kinds, ctx, symbol, n, divergence) -> None:
-        """Grow one level: candidate ``keys`` (sorted) with their positions and
-        different next symbols, and their edges (context number, symbol, count)."""
-        d = len(self.levels) + 1
-        first = self.first[-1]
-        parent = np.full(len(keys), -1) if d == 1 else self.first[d - 2] + keys // self.size
-        parent_emit = np.full(len(keys), -1) if d == 1 else self.emit[parent]
-        own = n / (total[ctx] + kinds[ctx])
-        back = 1.0 - np.bincount(ctx, weights=own, minlength=len(keys))
-        told = self.prob(parent_emit[ctx], symbol)
-        gain = np.bincount(ctx, weights=n * np.log((own + back[ctx] * told) / told), minlength=len(keys))
-        rest = total - np.bincount(ctx, weights=n, minlength=len(keys))
-        kept = gain + rest * np.log(np.maximum(back, 1e-300)) > divergence
-        state = first + np.arange(len(keys))
-        self.levels.append(keys)
-        self.first.append(first + len(keys))
-        self.parent = np.concatenate([self.parent, parent]).astype(np.int64)
-        self.emit = np.concatenate([self.emit, np.where(kept, state, parent_emit)]).astype(np.int64)
-        self.back = np.concatenate([self.back, back])
-        use = kept[ctx]
-        edges = np.concatenate([self.edges, (first + ctx[use]) * self.size + symbol[use]])
-        order = np.argsort(edges)
-        self.edges = edges[order].astype(np.int64)
-        self.own = np.concatenate([self.own, own[use]])[order]
-
-    def state(self, contexts: list[np.ndarray]) -> np.ndarray:
-        """The emitting state of each position from its contexts."""
-        out = np.full(len(contexts[0]) if contexts else 0, -1, np.int64)
-        for d, c in enumerate(contexts):
-            out = np.where(c >= 0, self.first[d] + c, out)
-        return np.where(out >= 0, self.emit[out] if len(self.emit) else -1, -1)
-
-
-def symbols(batch: pa.RecordBatch, depth: int, end: int):
-    """All symbols of the texts of a batch, each text with its end; those up to
-    ``depth`` places before (ends before a text's beginning); and text edges."""
-    col = batch.column("syms")
-    offs = np.asarray(col.offsets).astype(np.int64)
-    flat = np.asarray(col.values)[offs[0]:offs[-1]].astype(np.int64)
-    offs = offs - offs[0]
-    index = np.arange(len(flat)) - np.repeat(offs[:-1], np.diff(offs))
-    before = np.full((depth, len(flat)), end, np.int64)
-    for k in range(1, depth + 1):
-        inside = index >= k
-        before[k - 1, inside] = flat[np.flatnonzero(inside) - k]
-    return flat, before, offs
-
-
-def count_words(docs: DataFrame) -> DataFrame:
-    """``(key, n)``: training count of every word hash of ``docs(text)``."""
-    def run(batches):
-        words = Tally()
-        for batch in batches:
-            data, offs = text_buffer(batch.column("text"))
-            for i, j in slices(offs):
-                own = offs[i:j + 1]
-                words.add(Words(LOWER[data[own[0]:own[-1]]], own - own[0]).hash.view(np.int64))
-                if len(words.keys) > HELD:
-                    yield from words.rows()
-        yield from words.rows()
 
-    def total(batches):
-        for keys, n in merged(batches):
-            for i in range(0, len(keys), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 100_000]), pa.array(n[i:i + 100_000])], ["key", "n"])
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending values by their differences."""
+    return pack(np.diff(values.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def unpack_sorted(data) -> np.ndarray:
+    return np.cumsum(unpack(data), dtype=np.uint64)
+
 
-    made = docs.filter("not held_out").select("text").mapInArrow(run, PACKED)
-    return by_bucket(made).mapInArrow(total, "key long, n long")
+def heads(*keys: np.ndarray) -> np.ndarray:
+    """Where a new key begins among rows sorted by all ``keys``."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(new)
 
 
-def encode(docs: DataFrame, alphabet) -> DataFrame:
-    """Per text its symbols and the hashes of its rare words."""
+def chunks(docs: DataFrame) -> DataFrame:
+    """Rows ``(chunk, ids, held, sizes, words, codes, tokens, train)``: whole
+    texts as numbers of the chunk's sorted distinct word hashes."""
     def run(batches):
-        abc = alphabet.value
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            if not batch.num_rows:
-                continue
             data, offs = text_buffer(batch.column("text"))
-            syms, rare, n_syms, n_rare = [], [], [], []
             for i, j in slices(offs):
                 own = offs[i:j + 1]
                 w = Words(LOWER[data[own[0]:own[-1]]], own - own[0])
-                h = w.hash.view(np.int64)
-                at = lookup(abc.hashes, h)
-                out = np.full(len(h) + j - i, abc.end, np.int32)
-                place = np.arange(len(h)) + w.doc                  # one end after each text
-                out[place] = np.where(at >= 0, at, abc.rare)
-                syms.append(out)
-                n_syms.append(w.n_words + 1)
-                rare.append(h[at < 0])
-                n_rare.append(np.bincount(w.doc[at < 0], minlength=j - i))
-
-            def lists(values, sizes):
-                edges = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).astype(np.int32)
-                return pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(values)))
-
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), lists(syms, n_syms),
-                                              lists(rare, n_rare)], ["id", "held_out", "syms", "rare"])
+                words, code = np.unique(w.hash, return_inverse=True)
+                codes = np.full(len(w.hash) + j - i, len(words), np.int64)
+                codes[np.arange(len(w.hash)) + w.doc] = code       # one end after each text
+                held = np.asarray(batch.column("held_out").slice(i, j - i).to_pylist(), bool)
+                sizes = w.n_words + 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), batch.column("id").slice(i, j - i)),
+                     pa.array([held.tobytes()], pa.binary()), pa.array([pack(sizes)], pa.binary()),
+                     pa.array([pack_sorted(words)], pa.binary()), pa.array([pack(codes)], pa.binary()),
+                     pa.array([len(codes)]), pa.array([int(sizes[~held].sum())])],
+                    ["chunk", "ids", "held", "sizes", "words", "codes", "tokens", "train"])
+                number += 1
 
     kind = dict(docs.dtypes)["id"]
-    return (docs.mapInArrow(run, f"id {kind}, held_out boolean, syms array<int>, rare array<long>")
-            .withColumn("row", F.monotonically_increasing_id()))
-
-
-def grow(encoded: DataFrame, tree: Tree, end: int, depth: int, least: float, least_pair: float, divergence: float) -> None:
-    """Grow the tree level by level from the training rows of ``encoded``."""
-    spark = encoded.sparkSession
-    train = encoded.filter("not held_out").select("syms")
-    size = tree.size
-    for d in range(1, depth + 1):
-        shared = spark.sparkContext.broadcast(tree)
-
-        def run(batches, d=d, shared=shared):
-            tally, held = Tally(), shared.value
-            for batch in batches:
-                step = max(1, int(500_000 * batch.num_rows / max(1, len(batch.column("syms").flatten()))))
-                for i in range(0, batch.num_rows, step):
-                    flat, before, _ = symbols(batch.slice(i, step), d, end)
-                    above = held.contexts(before, d - 1)[-1] if d > 1 else np.zeros(len(flat), np.int64)
-                    on = above >= 0
-                    tally.add(held.key(d, above[on], before[d - 1][on]) * size + flat[on])
-                    if len(tally.keys) > HELD:
-                        yield from tally.rows(size)
-            yield from tally.rows(size)
-
-        def frequent(batches):
-            # a context's edges share its bucket: its positions and different next symbols are known here
-            for keys, n in merged(batches):
-                ctx = keys // size
-                head = np.flatnonzero(np.concatenate(([True], ctx[1:] != ctx[:-1])))
-                kinds, total = np.diff(np.append(head, len(ctx))), np.add.reduceat(n, head)
-                often = total >= least
-                edge = np.flatnonzero(np.repeat(often, kinds) & (n >= least_pair))
-                m = int(often.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([ctx[head][often], ctx[edge]])),
-                     pa.array(np.concatenate([np.full(m, -1), keys[edge] % size])),
-                     pa.array(np.concatenate([total[often], n[edge]])),
-                     pa.array(np.concatenate([kinds[often], np.zeros(len(edge), np.int64)]))], ["ctx", "x", "n", "kinds"])
-
-        level = _written(by_bucket(train.mapInArrow(run, PACKED)).mapInArrow(frequent, "ctx long, x long, n long, kinds long"),
-                         f"level-{d}").toPandas()                  # at most 1 / least share and 1 / pair share rows
-        shared.unpersist()
-        found, pairs = level[level["x"] < 0].rename(columns={"n": "all"}).sort_values("ctx"), level[level["x"] >= 0]
-        if not len(found):
-            return
-        keys = found["ctx"].to_numpy(np.int64)
-        tree.add_level(keys, found["all"].to_numpy(float), found["kinds"].to_numpy(float),
-                       np.searchsorted(keys, pairs["ctx"].to_numpy(np.int64)), pairs["x"].to_numpy(np.int64),
-                       pairs["n"].to_numpy(float), divergence)
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-          least_share: float = LEAST_SHARE, pair_share: float = PAIR_SHARE, divergence: float = DIVERGENCE) -> DataFrame:
+    return docs.mapInArrow(run, f"chunk long, ids array<{kind}>, held binary, sizes binary, words binary, codes binary, "
+                                "tokens long, train long")
+
+
+class Chunk:
+    """The state of a chunk after the answers of some levels: ``told`` is the
+    probability of each symbol, ``at`` the positions whose context of one word
+    more is a candidate, ``ctx`` and ``total`` its number and positions."""
+
+    def __init__(self, row: dict, least: int, prior: float, assured: int):
+        self.least, self.prior, self.assured = least, prior, assured
+        self.words = np.append(unpack_sorted(row["words"]), END)
+        self.codes = unpack(row["codes"]).astype(np.int64)
+        self.sizes = unpack(row["sizes"]).astype(np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.held = np.frombuffer(row["held"], bool)
+        self.train = np.repeat(~self.held, self.sizes)
+
+    def start(self, answer: np.ndarray, ids: np.ndarray, z: float) -> None:
+        """Take the counts and numbers of the words."""
+        back = np.argsort(self.asked(np.zeros(len(self.words), np.int64)), kind="stable")
+        n, self.word_id = np.empty(len(back), np.int64), np.empty(len(back), np.int64)
+        n[back], self.word_id[back] = answer >> 1, ids - 1
+        self.root = ((n + 0.5) / z)[self.codes]
+        self.known = (n > 0)[self.codes]
+        self.told = self.root.copy()
+        before = np.empty_like(self.codes)
+        before[1:] = self.codes[:-1]
+        before[self.first] = len(self.words) - 1                   # a text begins after another's end
+        total = n[before]
+        self.at = np.flatnonzero(total >= self.least)
+        self.ctx, self.total = self.word_id[before[self.at]], total[self.at]
+
+    def buckets(self, n: int) -> None:
+        self.n_buckets = n
+
+    def asked(self, ctx, x=None, split=None) -> np.ndarray:
+        """Buckets of contexts, or of pairs where these are dealt by the next symbol."""
+        key = self.words if x is None else mix(ctx.astype(np.uint64) + np.uint64(1)) ^ np.where(split, mix(x.astype(np.uint64) + np.uint64(3)), np.uint64(0))
+        return (mix(key) % np.uint64(self.n_buckets)).astype(np.int64)
+
+    def word_question(self):
+        n = np.bincount(self.codes[self.train], minlength=len(self.words))
+        none = np.zeros(len(n), np.int64)
+        return self.asked(none), none, self.words, n, none
+
+    def pairs(self):
+        """Distinct pairs of the candidates: their first position and the pair of each position."""
+        uc, rank = np.unique(self.ctx, return_inverse=True)
+        code = self.codes[self.at]
+        code = np.where(self.word_id[code] >= 0, code, len(self.words))    # words without training count are one
+        return np.unique(rank * (len(self.words) + 1) + code, return_index=True, return_inverse=True)[1:]
+
+    def question(self):
+        """``(bucket, context, next, training count, log-probability steps)`` of the distinct pairs."""
+        first, pair = self.pairs()
+        here = self.at[first]
+        ctx, x = self.ctx[first], self.word_id[self.codes[here]] + 1
+        n = np.bincount(pair[self.train[self.at]], minlength=len(first))
+        steps = np.rint(-np.log(self.told[here]) * STEPS).astype(np.int64)
+        return self.asked(ctx, x, self.total[first] > self.assured), ctx, x, n, steps
+
+    def advance(self, answer: np.ndarray, ids: np.ndarray) -> None:
+        """Take the answers to ``question`` and go one word deeper."""
+        first, pair = self.pairs()
+        x = self.word_id[self.codes[self.at[first]]] + 1
+        back = np.argsort(self.asked(self.ctx[first], x, self.total[first] > self.assured), kind="stable")
+        n, keep, number = (np.empty(len(back), np.int64) for _ in range(3))
+        n[back], keep[back], number[back] = answer >> 1, answer & 1, ids - 1
+        n, number = n[pair], number[pair]
+        kept = (keep[pair] > 0) | (self.total > self.assured)
+        told = self.told[self.at]
+        self.told[self.at] = np.where(kept, (n + self.prior * told) / (self.total + self.prior), told)
+        # the pair at a position is the context of the next one, unless the text ends with it
+        on = (number >= 0) & (self.codes[self.at] < len(self.words) - 1)
+        self.at, self.ctx, self.total = self.at[on] + 1, number[on], n[on]
+
+
+def replayed(batches, levels: int, z: float, n_buckets: int, least: int, prior: float, assured: int):
+    """``(row, chunk)`` of each row, with the answers of ``levels`` levels taken."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            c = Chunk(row, least, prior, assured)
+            c.buckets(n_buckets)
+            for d in range(levels):
+                answer, ids = (unpack(row[f"{k}{d}"]).astype(np.int64) for k in ("answer", "number"))
+                c.start(answer, ids, z) if d == 0 else c.advance(answer, ids)
+            yield row, c
+
+
+def met(rows, level: int, n_buckets: int, least: int, prior: float, divergence: float):
+    """Answer the questions of one bucket: sums, numbers and tests."""
+    bucket, sizes = rows[0][0], [len(r[3]) for r in rows]
+    ctx, x, n, steps = (np.concatenate([r[k] for r in rows]) for k in range(2, 6))
+    order = np.lexsort((x, ctx))
+    head = heads(ctx[order], x[order])
+    pair = np.empty(len(order), np.int64)
+    pair[order] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(order))))
+    count = np.add.reduceat(n[order], head)
+    kept = np.zeros(len(head), np.int64)
+    if level:
+        own = ctx[order][head]
+        at = heads(own)
+        width = np.diff(np.append(at, len(own)))
+        total = np.repeat(np.add.reduceat(count, at), width)
+        told = np.exp(-steps[order][head] / STEPS)
+        gain = count * np.log((count + prior * told) / ((total + prior) * told))
+        kept = np.repeat(np.add.reduceat(gain, at) > divergence, width).astype(np.int64)
+    often = count >= (least if level else 1)
+    number = np.where(often, (np.cumsum(often) - 1) * n_buckets + bucket + 1, 0)
+    answer = (count << 1) | kept
+    kinds = int((count > 0).sum())
+    for (_, chunk, *_), a, m in zip(rows, np.split(answer[pair], np.cumsum(sizes)[:-1]), np.split(number[pair], np.cumsum(sizes)[:-1])):
+        yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([bucket], pa.int32()), pa.array([pack(a)], pa.binary()),
+                                          pa.array([pack(m)], pa.binary()), pa.array([kinds])],
+                                         ["chunk", "bucket", "answer", "number", "kinds"])
+        kinds = 0
+
+
+def groups(batches, key: str):
+    """Lists of the rows of each key from rows sorted by it."""
+    held = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and held[-1][key] != row[key]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def exchange(asking: DataFrame, level: int, n_buckets: int, z: float, least: int, prior: float, divergence: float,
+             assured: int) -> DataFrame:
+    """One level: questions to buckets, answers back, one row per chunk."""
+    def ask(batches):
+        for row, c in replayed(batches, level, z, n_buckets, least, prior, assured):
+            bucket, *columns = c.question() if level else c.word_question()
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+            full = np.flatnonzero(np.diff(edges))
+            ctx, *rest = (col[order] for col in columns)
+            packed = [[pack_sorted(ctx[edges[b]:edges[b + 1]]) for b in full]]
+            packed += [[pack(col[edges[b]:edges[b + 1]]) for b in full] for col in rest]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), row["chunk"]))]
+                + [pa.array(p, pa.binary()) for p in packed], ["bucket", "chunk", "ctx", "x", "n", "steps"])
+
+    def meet(batches):
+        for rows in groups(batches, "bucket"):
+            own = [(r["bucket"], r["chunk"], unpack_sorted(r["ctx"]).astype(np.int64), unpack(r["x"]),
+                    unpack(r["n"]).astype(np.int64), unpack(r["steps"]).astype(np.int64)) for r in rows]
+            yield from met(own, level, n_buckets, least, prior, divergence)
+
+    def gather(batches):
+        for rows in groups(batches, "chunk"):
+            whole = [pack(np.concatenate([unpack(r[k]) for r in rows])) for k in ("answer", "number")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([rows[0]["chunk"]]), *(pa.array([w], pa.binary()) for w in whole),
+                 pa.array([sum(r["kinds"] for r in rows)])], ["chunk", f"answer{level}", f"number{level}", "kinds"])
+
+    parts = int(asking.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (asking.mapInArrow(ask, "bucket int, chunk long, ctx binary, x binary, n binary, steps binary")
+            .repartition(parts, "bucket").sortWithinPartitions("bucket", "chunk")
+            .mapInArrow(meet, "chunk long, bucket int, answer binary, number binary, kinds long")
+            .repartition(parts, "chunk").sortWithinPartitions("chunk", "bucket")
+            .mapInArrow(gather, f"chunk long, answer{level} binary, number{level} binary, kinds long"))
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, least: int = LEAST,
+          prior: float = PRIOR, divergence: float = DIVERGENCE, assured: int = ASSURED) -> DataFrame:
     """Learn from the rows that are not held out and score all: rows ``(id,
     held_out, n_tokens, n_known, train_tokens, base_score, score)``."""
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"))
-    counts = _written(count_words(src), "word-counts")
-    sums = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n")).first()
-    texts = src.filter("not held_out").count()
-    total, kinds = (sums["n"] or 0) + texts, sums["v"] + (texts > 0)
-    z = total + 0.5 * (kinds + 1)
-    least = max(2.0, least_share * total)
-    top = counts.filter(F.col("n") >= least).toPandas()            # at most 1 / least_share words
-    abc = Alphabet(top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64))
-    named = np.concatenate([abc.counts + 0.5, [texts + 0.5]]) / z
-    root = np.concatenate([named, [max(1e-300, 1.0 - named.sum())]])
-    # what is left for rare words: those counted and the unknown one
-    encoded = _written(encode(src, spark.sparkContext.broadcast(abc)), "symbols")
-    tree = Tree(abc.size, root)
-    grow(encoded, tree, abc.end, depth, least, max(1.0, pair_share * total), divergence)
-    model = spark.sparkContext.broadcast(tree)                     # bounded by the parameters
-    end, rare = abc.end, abc.rare
-
-    def run(batches):
-        tree = model.value
-        base = np.log10(tree.root)
-        for batch in batches:
-            step = max(1, int(500_000 * batch.num_rows / max(1, len(batch.column("syms").flatten()))))
-            for i in range(0, batch.num_rows, step):
-                part = batch.slice(i, step)
-                flat, before, offs = symbols(part, max(1, len(tree.levels)), end)
-                state = tree.state(tree.contexts(before, len(tree.levels))) if tree.levels else np.full(len(flat), -1)
-                own = np.log10(tree.prob(state, flat))
-                out = [np.add.reduceat(v, offs[:-1]) for v in (own, np.where(flat == rare, 0.0, base[flat]))]
-                n_rare = np.add.reduceat((flat == rare).astype(np.int64), offs[:-1])
+    kind, parts = dict(src.dtypes)["id"], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = []
+
+    def by_chunk(rows: DataFrame) -> DataFrame:
+        """Rows written in buckets of their chunk: tables that join without a shuffle."""
+        name = f"kiln_lm_{uuid.uuid4().hex}"
+        (rows.repartition(parts, "chunk").write.bucketBy(parts, "chunk").sortBy("chunk")
+         .option("path", scratch_path(spark, "lm-chunks")).saveAsTable(name))
+        tables.append(name)
+        return spark.table(name)
+
+    try:
+        state = by_chunk(chunks(src))
+        sums = state.agg(F.sum("tokens").alias("tokens"), F.sum("train").alias("train")).first()
+        total = sums["train"] or 0
+        n_buckets = max(parts, -(-(sums["tokens"] or 0) // BUCKET_TOKENS))
+        z = 1.0
+        for d in range(depth + 1):
+            answers = by_chunk(exchange(state, d, n_buckets, z, least, prior, divergence, assured))
+            if d == 0:
+                z = total + 0.5 * ((answers.agg(F.sum("kinds")).first()[0] or 0) + 1)
+            state = state.join(answers.drop("kinds"), "chunk", "left")
+
+        def run(batches):
+            for row, c in replayed(batches, depth + 1, z, n_buckets, least, prior, assured):
+                add = [np.add.reduceat(v, c.first) for v in (c.known.astype(np.int64), np.log10(c.root), np.log10(c.told))]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("held_out"), part.column("row"), pa.array(np.diff(offs)),
-                     pa.array(n_rare), pa.array(out[0]), pa.array(out[1])],
-                    ["id", "held_out", "row", "n_tokens", "n_rare", "own", "base"])
-
-    kind = dict(src.dtypes)["id"]
-    part = encoded.select("id", "held_out", "row", "syms").mapInArrow(
-        run, f"id {kind}, held_out boolean, row long, n_tokens long, n_rare long, own double, base double")
-    # one row per occurrence: a word is rare in a text too, so counting there first would only shuffle twice
-    seldom = encoded.select("row", F.explode("rare").alias("key"))
-    odds = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / z)
-    looked = (seldom.join(counts, "key", "left").groupBy("row")
-              .agg(F.count("n").alias("known"), F.sum(odds).alias("odds")))
-    known, odds = F.coalesce("known", F.lit(0)), F.coalesce("odds", F.lit(0.0))
-    unseen_end = int(texts == 0)
-    return part.join(looked, "row", "left").select(
-        F.col("id").alias(id_col), "held_out", "n_tokens",
-        (F.col("n_tokens") - F.col("n_rare") + known - unseen_end).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + odds).alias("base_score"),
-        (F.col("own") + odds - F.col("n_rare") * float(np.log10(root[-1]))).alias("score"))
+                    [pa.array(row["ids"], ids_type), pa.array(c.held), pa.array(c.sizes), *(pa.array(a) for a in add)],
+                    ["id", "held_out", "n_tokens", "n_known", "base", "own"])
+
+        from pyspark.sql.pandas.types import to_arrow_type
+        ids_type = to_arrow_type(src.schema["id"].dataType)
+        scored = _written(state.mapInArrow(run, f"id {kind}, held_out boolean, n_tokens long, n_known long, base double, "
+                                                "own double"), "scores")
+    finally:
+        for name in tables:                                        # the catalog's entry; the files are the shared folder's
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return scored.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known",
+                         F.lit(total).cast("long").alias("train_tokens"), F.col("base").alias("base_score"),
+                         F.col("own").alias("score"))

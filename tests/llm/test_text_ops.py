@@ -481,25 +481,86 @@ def test_lm_beats_word_counts_on_held_out_texts(spark, sf):
     assert held.score.sum() > held.base_score.sum()
 
 
-def test_lm_distributions_sum_to_one(spark, sf):
-    """Every state of a grown tree is a distribution over its symbols."""
-    rng = np.random.default_rng(3)
-    tree = suffix_lm.Tree(6, np.array([0.3, 0.2, 0.2, 0.1, 0.1, 0.1]))
-    flat = rng.integers(0, 6, 4000)
-    flat[1::2] = (flat[::2] + 1) % 6
-    for d in (1, 2):
-        before = np.stack([np.roll(flat, k) for k in range(1, d + 1)])
-        above = tree.contexts(before, d - 1)[-1] if d > 1 else np.zeros(len(flat), np.int64)
-        on = above >= 0
-        ctx, x = tree.key(d, above[on], before[d - 1][on]), flat[on]
-        keys, ci = np.unique(ctx, return_inverse=True)
-        pair, n = np.unique(ci * 6 + x, return_counts=True)
-        keep = n > 3
-        tree.add_level(keys, np.bincount(ci).astype(float), np.bincount(pair // 6).astype(float), pair[keep] // 6,
-                       pair[keep] % 6, n[keep].astype(float), 2.0)
-    assert (tree.emit >= 0).any()
-    for s in np.unique(tree.emit):
-        assert tree.prob(np.full(6, s), np.arange(6)).sum() == pytest.approx(1.0)
+def brute_tree(rows, depth, least, prior, divergence, assured):
+    """``(log10 probability of each row, retained contexts, probability function)``
+    of a suffix tree in dictionaries; None is the end."""
+    texts = [(t or "").encode().lower().split() + [None] for _, t in rows]
+    train = [w for (i, _), w in zip(rows, texts) if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1]
+    words = Counter(x for w in train for x in w)
+    z = sum(words.values()) + 0.5 * (len(words) + 1)
+
+    def contexts(w, i):
+        before = [None, *w[:i]]
+        return [tuple(before[-d:]) for d in range(1, min(depth, len(before)) + 1)]
+
+    seen = {}
+    for w in train:
+        for i, x in enumerate(w):
+            for c in contexts(w, i):
+                seen.setdefault(c, Counter())[x] += 1
+    kept = set()
+
+    def prob(c, x):
+        while c and c not in kept:
+            c = c[1:]
+        if not c:
+            return (words.get(x, 0) + 0.5) / z
+        return (seen[c][x] + prior * prob(c[1:], x)) / (sum(seen[c].values()) + prior)
+
+    for c in sorted(seen, key=len):
+        total = sum(seen[c].values())
+        told = {x: math.exp(-np.rint(-math.log(prob(c[1:], x)) * 64) / 64) for x in seen[c]}
+        gain = sum(n * math.log((n + prior * told[x]) / ((total + prior) * told[x])) for x, n in seen[c].items())
+        if total >= least and (total > assured or gain > divergence):
+            kept.add(c)
+    scores = [sum(math.log10(prob(contexts(w, i)[-1], x)) for i, x in enumerate(w)) for w in texts]
+    return scores, kept, prob, words
+
+
+@pytest.mark.parametrize("model", [dict(depth=3, least=2, prior=4.0, divergence=8.0, assured=10 ** 6),
+                                   dict(depth=5, least=3, prior=1.5, divergence=0.5, assured=12)])
+def test_lm_scores_equal_a_suffix_tree(spark, odd, model):
+    """Also across chunks, and with frequent contexts dealt by the next symbol."""
+    rng, follow = np.random.default_rng(6), {}
+    odd = list(odd)
+    for i in range(100, 112):                               # texts whose next word hangs on more than one
+        w = [0, 1, 2, 0, 1]
+        while len(w) < 150:
+            w.append(follow.setdefault(tuple(w[-model["depth"]:]), int(rng.integers(0, 4))) if rng.random() < 0.9
+                     else int(rng.integers(0, 4)))
+        odd.append((i, " ".join(f"m{x}" for x in w), None, None, None))
+    docs = spark.createDataFrame(odd, SCHEMA).repartition(3)
+    want, kept, prob, words = brute_tree([(r[0], r[1]) for r in odd], **model)
+    assert {len(c) for c in kept} == set(range(1, model["depth"] + 1))
+    for c in list(kept)[::25]:
+        assert sum(prob(c, x) for x in [*words, b"never seen"]) == pytest.approx(1.0)
+    got = suffix_lm.score(docs, **model).collect()
+    assert sorted((str(r["doc_id"]), round(r["score"], 4)) for r in got) == \
+        sorted((str(r[0]), round(s, 4)) for r, s in zip(odd, want))
+
+
+def test_lm_learns_a_phrase_alike_in_a_larger_corpus(spark):
+    """Counts decide, not shares: a phrase seen five times is learnt from 40
+    texts and from 40 times as many words."""
+    rng = np.random.default_rng(8)
+    ids = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 5 != 1]
+    phrase = "one very odd phrase nobody else writes"
+
+    def ratio(n):
+        rows = [(i, " ".join(f"v{k}" for k in rng.integers(0, 300, 50))) for i in ids[:n]]
+        rows[:5] = [(i, phrase) for i in ids[:5]]
+        got = suffix_lm.score(spark.createDataFrame(rows, "doc_id long, text string"))
+        return got.filter(f"doc_id = {ids[0]}").first()["score"] / 7
+
+    small, large = ratio(40), ratio(1600)
+    assert small > -0.5 and large > -0.9                    # of the mean symbol; about -3 without contexts
+
+
+def test_lm_packs_and_unpacks():
+    for v in ([], [0], [1, 2 ** 63, 2 ** 64 - 1], list(range(1000))):
+        v = np.array(v, np.uint64)
+        assert (suffix_lm.unpack(suffix_lm.pack(v)) == v).all()
+        assert (suffix_lm.unpack_sorted(suffix_lm.pack_sorted(v)) == v).all()
 
 
 def test_lm_empty(empty):
