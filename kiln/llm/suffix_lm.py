@@ -44,6 +44,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from kiln.llm.components import _written
 from kiln.llm.words import Words, mix, slices, text_buffer
@@ -59,6 +60,8 @@ ASSURED = 200_000
 BUCKET_TOKENS = 400_000
 #: Steps a nat in which the divergence test reads the suffix's log-probability.
 STEPS = 64.0
+#: Spark's setting that removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Stands for the end among the word hashes.
 END = np.uint64(0x656E64)
 
@@ -99,14 +102,32 @@ def unpack_sorted(data) -> np.ndarray:
 
 def heads(*keys: np.ndarray) -> np.ndarray:
     """Where a new key begins among rows sorted by all ``keys``."""
+    if not len(keys[0]):
+        return np.zeros(0, np.int64)
     new = np.ones(len(keys[0]), bool)
     new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
     return np.flatnonzero(new)
 
 
+def by_pair(a: np.ndarray, b: np.ndarray):
+    """``(order, where a new pair begins)`` of unsigned pairs in their order."""
+    bits = int(b.max()).bit_length() if len(b) else 0
+    top = int(a.max()).bit_length() if len(a) else 0
+    order = np.argsort((a << np.uint64(bits % 64)) | b) if top + bits <= 64 else np.lexsort((b, a))
+    return order, heads(a[order], b[order])
+
+
+def distinct(order: np.ndarray, head: np.ndarray):
+    """A place of each distinct key, and the number of the key at each place."""
+    number = np.empty(len(order), np.int64)
+    number[order] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(order))))
+    return order[head], number
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """Rows ``(chunk, ids, held, sizes, words, codes, tokens, train)``: whole
-    texts as numbers of the chunk's sorted distinct word hashes."""
+    """Rows ``(chunk, ids, held, sizes, words, ranks, codes, tokens, train)``:
+    whole texts as ranks of the chunk's distinct word hashes by their number
+    there, so that most are small; 0 is the end."""
     def run(batches):
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -114,22 +135,24 @@ def chunks(docs: DataFrame) -> DataFrame:
             for i, j in slices(offs):
                 own = offs[i:j + 1]
                 w = Words(LOWER[data[own[0]:own[-1]]], own - own[0])
-                words, code = np.unique(w.hash, return_inverse=True)
-                codes = np.full(len(w.hash) + j - i, len(words), np.int64)
-                codes[np.arange(len(w.hash)) + w.doc] = code       # one end after each text
+                words, code, n = np.unique(w.hash, return_inverse=True, return_counts=True)
+                rank = np.empty(len(words), np.int64)
+                rank[np.argsort(-n, kind="stable")] = np.arange(1, len(words) + 1)
+                codes = np.zeros(len(w.hash) + j - i, np.int64)    # one end after each text
+                codes[np.arange(len(w.hash)) + w.doc] = rank[code]
                 held = np.asarray(batch.column("held_out").slice(i, j - i).to_pylist(), bool)
                 sizes = w.n_words + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), batch.column("id").slice(i, j - i)),
                      pa.array([held.tobytes()], pa.binary()), pa.array([pack(sizes)], pa.binary()),
-                     pa.array([pack_sorted(words)], pa.binary()), pa.array([pack(codes)], pa.binary()),
-                     pa.array([len(codes)]), pa.array([int(sizes[~held].sum())])],
-                    ["chunk", "ids", "held", "sizes", "words", "codes", "tokens", "train"])
+                     pa.array([pack_sorted(words)], pa.binary()), pa.array([pack(rank)], pa.binary()),
+                     pa.array([pack(codes)], pa.binary()), pa.array([len(codes)]), pa.array([int(sizes[~held].sum())])],
+                    ["chunk", "ids", "held", "sizes", "words", "ranks", "codes", "tokens", "train"])
                 number += 1
 
     kind = dict(docs.dtypes)["id"]
-    return docs.mapInArrow(run, f"chunk long, ids array<{kind}>, held binary, sizes binary, words binary, codes binary, "
-                                "tokens long, train long")
+    return docs.mapInArrow(run, f"chunk long, ids array<{kind}>, held binary, sizes binary, words binary, ranks binary, "
+                                "codes binary, tokens long, train long")
 
 
 class Chunk:
@@ -139,7 +162,9 @@ class Chunk:
 
     def __init__(self, row: dict, least: int, prior: float, assured: int):
         self.least, self.prior, self.assured = least, prior, assured
-        self.words = np.append(unpack_sorted(row["words"]), END)
+        hashes, rank = unpack_sorted(row["words"]), unpack(row["ranks"]).astype(np.int64)
+        self.words = np.full(len(hashes) + 1, END)
+        self.words[rank] = hashes
         self.codes = unpack(row["codes"]).astype(np.int64)
         self.sizes = unpack(row["sizes"]).astype(np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
@@ -156,7 +181,7 @@ class Chunk:
         self.told = self.root.copy()
         before = np.empty_like(self.codes)
         before[1:] = self.codes[:-1]
-        before[self.first] = len(self.words) - 1                   # a text begins after another's end
+        before[self.first] = 0                                     # a text begins after another's end
         total = n[before]
         self.at = np.flatnonzero(total >= self.least)
         self.ctx, self.total = self.word_id[before[self.at]], total[self.at]
@@ -175,11 +200,10 @@ class Chunk:
         return self.asked(none), none, self.words, n, none
 
     def pairs(self):
-        """Distinct pairs of the candidates: their first position and the pair of each position."""
-        uc, rank = np.unique(self.ctx, return_inverse=True)
+        """Distinct pairs of the candidates: a position of each, and the pair of each position."""
         code = self.codes[self.at]
         code = np.where(self.word_id[code] >= 0, code, len(self.words))    # words without training count are one
-        return np.unique(rank * (len(self.words) + 1) + code, return_index=True, return_inverse=True)[1:]
+        return distinct(*by_pair(self.ctx.astype(np.uint64), code.astype(np.uint64)))
 
     def question(self):
         """``(bucket, context, next, training count, log-probability steps)`` of the distinct pairs."""
@@ -202,7 +226,7 @@ class Chunk:
         told = self.told[self.at]
         self.told[self.at] = np.where(kept, (n + self.prior * told) / (self.total + self.prior), told)
         # the pair at a position is the context of the next one, unless the text ends with it
-        on = (number >= 0) & (self.codes[self.at] < len(self.words) - 1)
+        on = (number >= 0) & (self.codes[self.at] > 0)
         self.at, self.ctx, self.total = self.at[on] + 1, number[on], n[on]
 
 
@@ -218,14 +242,13 @@ def replayed(batches, levels: int, z: float, n_buckets: int, least: int, prior:
             yield row, c
 
 
-def met(rows, level: int, n_buckets: int, least: int, prior: float, divergence: float):
-    """Answer the questions of one bucket: sums, numbers and tests."""
+def met(rows, level: int, last: bool, n_buckets: int, least: int, prior: float, divergence: float):
+    """Answer the questions of one bucket: sums, numbers and tests. Frequent
+    pairs have small numbers; after the last level none are needed."""
     bucket, sizes = rows[0][0], [len(r[3]) for r in rows]
     ctx, x, n, steps = (np.concatenate([r[k] for r in rows]) for k in range(2, 6))
-    order = np.lexsort((x, ctx))
-    head = heads(ctx[order], x[order])
-    pair = np.empty(len(order), np.int64)
-    pair[order] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(order))))
+    order, head = by_pair(ctx, x)
+    _, pair = distinct(order, head)
     count = np.add.reduceat(n[order], head)
     kept = np.zeros(len(head), np.int64)
     if level:
@@ -236,8 +259,10 @@ def met(rows, level: int, n_buckets: int, least: int, prior: float, divergence:
         told = np.exp(-steps[order][head] / STEPS)
         gain = count * np.log((count + prior * told) / ((total + prior) * told))
         kept = np.repeat(np.add.reduceat(gain, at) > divergence, width).astype(np.int64)
-    often = count >= (least if level else 1)
-    number = np.where(often, (np.cumsum(often) - 1) * n_buckets + bucket + 1, 0)
+    number = np.zeros(len(head), np.int64)
+    often = np.flatnonzero(count >= (least if level else 1))
+    if not last:
+        number[often[np.argsort(-count[often], kind="stable")]] = np.arange(len(often)) * n_buckets + bucket + 1
     answer = (count << 1) | kept
     kinds = int((count > 0).sum())
     for (_, chunk, *_), a, m in zip(rows, np.split(answer[pair], np.cumsum(sizes)[:-1]), np.split(number[pair], np.cumsum(sizes)[:-1])):
@@ -260,7 +285,7 @@ def groups(batches, key: str):
         yield held
 
 
-def exchange(asking: DataFrame, level: int, n_buckets: int, z: float, least: int, prior: float, divergence: float,
+def exchange(asking: DataFrame, level: int, last: bool, n_buckets: int, z: float, least: int, prior: float, divergence: float,
              assured: int) -> DataFrame:
     """One level: questions to buckets, answers back, one row per chunk."""
     def ask(batches):
@@ -278,9 +303,9 @@ def exchange(asking: DataFrame, level: int, n_buckets: int, z: float, least: int
 
     def meet(batches):
         for rows in groups(batches, "bucket"):
-            own = [(r["bucket"], r["chunk"], unpack_sorted(r["ctx"]).astype(np.int64), unpack(r["x"]),
+            own = [(r["bucket"], r["chunk"], unpack_sorted(r["ctx"]), unpack(r["x"]),
                     unpack(r["n"]).astype(np.int64), unpack(r["steps"]).astype(np.int64)) for r in rows]
-            yield from met(own, level, n_buckets, least, prior, divergence)
+            yield from met(own, level, last, n_buckets, least, prior, divergence)
 
     def gather(batches):
         for rows in groups(batches, "chunk"):
@@ -304,7 +329,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"))
     kind, parts = dict(src.dtypes)["id"], int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tables = []
+    tables, cleanup = [], spark.conf.get(CLEANUP, "false")
 
     def by_chunk(rows: DataFrame) -> DataFrame:
         """Rows written in buckets of their chunk: tables that join without a shuffle."""
@@ -314,6 +339,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
         tables.append(name)
         return spark.table(name)
 
+    spark.conf.set(CLEANUP, "true")                                # every exchange is read once, by the write it is for
     try:
         state = by_chunk(chunks(src))
         sums = state.agg(F.sum("tokens").alias("tokens"), F.sum("train").alias("train")).first()
@@ -321,11 +347,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
         n_buckets = max(parts, -(-(sums["tokens"] or 0) // BUCKET_TOKENS))
         z = 1.0
         for d in range(depth + 1):
-            answers = by_chunk(exchange(state, d, n_buckets, z, least, prior, divergence, assured))
+            answers = by_chunk(exchange(state, d, d == depth, n_buckets, z, least, prior, divergence, assured))
             if d == 0:
                 z = total + 0.5 * ((answers.agg(F.sum("kinds")).first()[0] or 0) + 1)
             state = state.join(answers.drop("kinds"), "chunk", "left")
 
+        ids_type = to_arrow_type(src.schema["id"].dataType)
+
         def run(batches):
             for row, c in replayed(batches, depth + 1, z, n_buckets, least, prior, assured):
                 add = [np.add.reduceat(v, c.first) for v in (c.known.astype(np.int64), np.log10(c.root), np.log10(c.told))]
@@ -333,11 +361,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
                     [pa.array(row["ids"], ids_type), pa.array(c.held), pa.array(c.sizes), *(pa.array(a) for a in add)],
                     ["id", "held_out", "n_tokens", "n_known", "base", "own"])
 
-        from pyspark.sql.pandas.types import to_arrow_type
-        ids_type = to_arrow_type(src.schema["id"].dataType)
         scored = _written(state.mapInArrow(run, f"id {kind}, held_out boolean, n_tokens long, n_known long, base double, "
                                                 "own double"), "scores")
     finally:
+        spark.conf.set(CLEANUP, cleanup)
         for name in tables:                                        # the catalog's entry; the files are the shared folder's
             spark.sql(f"DROP TABLE IF EXISTS {name}")
     return scored.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known",
