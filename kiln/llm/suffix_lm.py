@@ -52,7 +52,7 @@ from kiln.session import scratch_path
 
 DEPTH = 3
 LEAST = 2
-PRIOR = 4.0
+PRIOR = 100.0
 DIVERGENCE = 8.0
 #: Positions from which a context is retained untested and its pairs are dealt by the next symbol.
 ASSURED = 200_000

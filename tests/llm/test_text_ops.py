@@ -549,7 +549,7 @@ def test_lm_learns_a_phrase_alike_in_a_larger_corpus(spark):
     def ratio(n):
         rows = [(i, " ".join(f"v{k}" for k in rng.integers(0, 300, 50))) for i in ids[:n]]
         rows[:5] = [(i, phrase) for i in ids[:5]]
-        got = suffix_lm.score(spark.createDataFrame(rows, "doc_id long, text string"))
+        got = suffix_lm.score(spark.createDataFrame(rows, "doc_id long, text string"), prior=4.0)
         return got.filter(f"doc_id = {ids[0]}").first()["score"] / 7
 
     small, large = ratio(40), ratio(1600)
