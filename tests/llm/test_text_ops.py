@@ -539,6 +539,28 @@ def test_lm_scores_equal_a_suffix_tree(spark, odd, model):
         sorted((str(r[0]), round(s, 4)) for r, s in zip(odd, want))
 
 
+@pytest.mark.parametrize("dealt", [3, 7])
+def test_lm_scores_do_not_depend_on_what_is_dealt(spark, dealt):
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join("abc"[k] if rng.random() < 0.8 else f"w{k}{rng.integers(0, 9)}" for k in rng.integers(0, 3, 40)))
+            for i in range(60)]
+    model = dict(depth=3, least=2, prior=4.0, divergence=8.0)
+    want, kept, _, words = brute_tree(rows, assured=math.inf, **model)
+    assert kept and any((w,) not in kept for w, n in words.items() if n > dealt)        # a dealt context that fails
+    got = suffix_lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), dealt=dealt, **model).collect()
+    assert sorted((r["doc_id"], round(r["score"], 6)) for r in got) == [(r[0], round(s, 6)) for r, s in zip(rows, want)]
+
+
+def test_lm_tests_contexts_of_any_size(spark):
+    """Two words at random: neither says anything of the next one, however often it occurs."""
+    rng = np.random.default_rng(10)
+    rows = [(i, " ".join("ab"[k] for k in rng.integers(0, 2, 9000))) for i in range(70)]
+    want, kept, _, words = brute_tree(rows, 1, 2, 4.0, 8.0, math.inf)
+    assert min(words[b"a"], words[b"b"]) > 200_000 and (b"a",) not in kept and (b"b",) not in kept
+    got = suffix_lm.score(spark.createDataFrame(rows, "doc_id long, text string"), depth=1, prior=4.0).collect()
+    assert sorted((r["doc_id"], round(r["score"], 4)) for r in got) == [(r[0], round(s, 4)) for r, s in zip(rows, want)]
+
+
 def test_lm_learns_a_phrase_alike_in_a_larger_corpus(spark):
     """Counts decide, not shares: a phrase seen five times is learnt from 40
     texts and from 40 times as many words."""
