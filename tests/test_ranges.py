@@ -105,6 +105,22 @@ def test_quantile_narrows_until_it_fits(spark):
     assert Counter(R.exact_quantiles(none, ["a"]).collect()) == Counter()
 
 
+@pytest.mark.parametrize("fan", [2, 5])
+def test_asof_left_rows_carry_one_block_of_cuts(spark, monkeypatch, fan):
+    """However many cuts there are, a left row is joined with ``ASOF_FAN`` of them at a time."""
+    monkeypatch.setattr(R, "ASOF_ROWS", 1)
+    monkeypatch.setattr(R, "ASOF_FAN", fan)
+    sizes, own = [], R.F.broadcast
+    monkeypatch.setattr(R.F, "broadcast", lambda df: (sizes.append(df), own(df))[1])
+    right = spark.range(60).selectExpr("id % 2 AS k", "2 * id AS t", "id AS v")
+    left = spark.range(130).selectExpr("id % 3 AS k", "id - 5 AS t", "id AS i")
+    got = {r.i: r.v for r in R.join_asof(left, right, "k", "t", parts=4).collect()}
+    want = {i: max((v for v in range(60) if v % 2 == i % 3 and 2 * v <= i - 5), default=None) for i in range(130)}
+    assert got == want
+    blocks = [max(len(r["_cuts"]) for r in df.collect()) for df in sizes]
+    assert len(blocks) > 1 and max(blocks) <= fan
+
+
 @pytest.mark.parametrize("rows,cuts", [(1, 10 ** 6), (3, 10 ** 6), (1024, 10 ** 6), (1024, 5)])
 def test_asof_cuts_of_any_size(spark, monkeypatch, rows, cuts):
     """Hot keys, equal times, features that are maps, other key types on each
