@@ -45,6 +45,10 @@ EXPIRED_SCHEMA = T.StructType([
 ])
 
 
+#: Row groups of the segments' files: a read can be split no finer than these.
+ROW_GROUP_BYTES = 16 * 1024 * 1024
+
+
 def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
@@ -85,7 +89,7 @@ def _write_segment(df: DataFrame, root: str, version: int, partition_by=()) -> t
     no second pass over the new files is needed."""
     seg = f"{root}/seg-{version:08d}-{uuid.uuid4().hex[:8]}"
     obs = Observation(f"rows-{uuid.uuid4().hex[:8]}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
+    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").option("parquet.block.size", ROW_GROUP_BYTES)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(seg)

@@ -129,3 +129,35 @@ def test_zorder_of_an_empty_table(spark):
     V.write_version(points(spark, 0, 0), root)
     Y.zorder(spark, root, ["x", "y"])
     assert V.read_as_of(spark, root).count() == 0
+
+
+def test_zorder_tasks_read_bounded_splits(spark, monkeypatch):
+    """A task of the rewrite holds a share of a file, however large the file is."""
+    root, tasks, write, n, key = scratch_path(spark, "z"), [], V.write_version, 1_500_000, "spark.sql.files.minPartitionNum"
+    noise = spark.range(n).select("id", *[F.xxhash64("id", F.lit(i)).alias(c) for i, c in enumerate("xyuv")])
+    V.write_version(noise.coalesce(1), root, prepared=True)
+    first = V.latest(spark, root)
+    assert first.n_files == 1 and first.n_bytes > 3 << 24
+
+    def written(out, *args, **kw):
+        tasks.append(V.segments_of(spark, first, first.segments).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
+        return write(out, *args, **kw)
+
+    spark.conf.set(key, "1")
+    try:
+        monkeypatch.setattr(V, "write_version", written)
+        Y.zorder(spark, root, ["x", "y"], bits=2)
+        assert spark.conf.get(key) == "1"
+    finally:
+        spark.conf.unset(key)
+    assert tasks[0] <= n / 2                                       # whole row groups, of about 16 MB together
+    now = V.read_as_of(spark, root)
+    assert now.count() == n and now.agg(F.sum("id")).first()[0] == n * (n - 1) // 2
+
+
+def test_fine_splits_are_put_back(spark):
+    key = "spark.sql.files.minPartitionNum"
+    with pytest.raises(ZeroDivisionError), Y.fine_splits(spark, 1000 * Y.SPLIT_BYTES):
+        assert spark.conf.get(key) == "1000"
+        1 / 0
+    assert spark.conf.get(key, None) is None
