@@ -37,3 +37,10 @@ def duck():
               "benchmark labels conversations").split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
+
+
+@pytest.fixture(scope="module", autouse=True)
+def caches_end_with_their_file(spark):
+    """Frames that the tests of one file cached are no concern of the next."""
+    yield
+    spark.catalog.clearCache()
